@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled program reads its sources once and answers its questions in
+batch; it has no stream source, watermark, window or state. Nothing is built
+here so as not to add behaviour the program does not have.
+"""
