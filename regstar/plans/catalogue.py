@@ -109,7 +109,7 @@ def bk_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(variant == 0, F.concat(F.lit("  "), F.lower("p_brand"), F.lit("\t")))
         .when(variant == 1, F.col("p_brand"))
         .when(variant == 2, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("\n"), F.initcap("p_brand"), F.lit(" \r")))
+        .otherwise(F.concat(F.lit("\n"), F.upper("p_brand"), F.lit(" \r")))
     )
     return p.select("p_partkey", raw.alias("raw_brand")).select(
         "p_partkey", "raw_brand", clean_bk("raw_brand").alias("brand_bk")

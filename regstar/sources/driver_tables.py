@@ -69,6 +69,11 @@ def factory_code(n: Column) -> Column:
     return F.concat(F.lit("F"), (F.lit(100) + n).cast("string"))
 
 
+def family_id(family_name: Column) -> Column:
+    """Integer family key: the first 28 bits of the name's MD5."""
+    return F.conv(F.substring(F.md5(family_name), 1, 7), 16, 10).cast("int")
+
+
 def claim_number(orderkey: Column, linenumber: Column) -> Column:
     return F.concat(F.lit("CL-"), orderkey.cast("string"), F.lit("-"), linenumber.cast("string"))
 
@@ -131,7 +136,7 @@ def drugproduct_source(t: dict[str, DataFrame]) -> DataFrame:
         F.lit("A").alias("recordstatus"),
         F.col("p_name").alias("drugproductname"),
         F.lit(None).cast(StringType()).alias("ronumber"),
-        F.hash("p_type").alias("drugproductfamilyid"),
+        family_id(F.col("p_type")).alias("drugproductfamilyid"),
     )
 
 
@@ -139,7 +144,7 @@ def drugproductfamily_source(t: dict[str, DataFrame]) -> DataFrame:
     """Families: distinct part types except promotional ones."""
     types = t["part"].select("p_type").where(~F.col("p_type").startswith("PROMO")).distinct()
     return types.select(
-        F.hash("p_type").alias("drugproductfamilyid"),
+        family_id(F.col("p_type")).alias("drugproductfamilyid"),
         F.col("p_type").alias("drugproductfamilyname"),
     )
 
