@@ -180,20 +180,25 @@ def dim_calendar_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_role_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registration claims with three date roles resolved through one calendar."""
+    """Registration claims with three date roles resolved through one calendar.
+
+    One calendar projection is broadcast once; the three role joins alias
+    the same frame, so the planner reuses that broadcast for every role."""
     star = _star(spark, sf_dir)
     fact = star.registration()
-    out = fact.select("claimnumber", "submission_date_id", "expectedresponse_date_id", "response_date_id")
-    for role, key in (("submission", "submission_date_id"), ("expected", "expectedresponse_date_id"), ("response", "response_date_id")):
-        cal = F.broadcast(
-            star.calendar.select(
-                F.col("date_id").alias(f"__{role}_id"),
-                F.col("year").alias(f"{role}_year"),
-                F.col("quarter").alias(f"{role}_quarter"),
-            )
-        )
-        out = out.join(cal, F.col(key) == F.col(f"__{role}_id"), "left").drop(f"__{role}_id")
-    return out.drop("submission_date_id", "expectedresponse_date_id", "response_date_id")
+    cal = F.broadcast(star.calendar.select("date_id", "year", "quarter"))
+    out = fact.select("claimnumber", "submission_date_id", "expectedresponse_date_id", "response_date_id").alias("f")
+    roles = (("submission", "submission_date_id"), ("expected", "expectedresponse_date_id"), ("response", "response_date_id"))
+    for role, key in roles:
+        out = out.join(cal.alias(role), F.col(f"f.{key}") == F.col(f"{role}.date_id"), "left")
+    return out.select(
+        F.col("f.claimnumber").alias("claimnumber"),
+        *[
+            c
+            for role, _ in roles
+            for c in (F.col(f"{role}.year").alias(f"{role}_year"), F.col(f"{role}.quarter").alias(f"{role}_quarter"))
+        ],
+    )
 
 
 def join_role_factory(spark: SparkSession, sf_dir: str) -> DataFrame:

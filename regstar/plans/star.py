@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,60 +16,126 @@ from regstar.sources import Sources
 # time by ``bounded_broadcast``; beyond it the planner decides.
 SMALL_DIM_ROWS = 100_000
 
+DIMENSIONS = ("country", "factory", "indication", "response", "product", "calendar")
+FACTS = ("registration_claim", "reimbursement_claim")
+
 
-@dataclass
 class Star:
-    spark: SparkSession
-    sources: Sources
-    country: DataFrame
-    factory: DataFrame
-    indication: DataFrame
-    response: DataFrame
-    product: DataFrame
-    calendar: DataFrame
+    """Dimensions (``country``, ``factory``, ``indication``, ``response``,
+    ``product``, ``calendar``) and the two facts over one set of sources.
+
+    Every dimension plan is built on first use, so a question pays only for
+    the dimensions it touches. ``dims`` / ``facts`` supply already built
+    frames (e.g. read back by :func:`materialize`).
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sources: Sources,
+        *,
+        check_small_dims: bool = True,
+        dims: dict[str, DataFrame] | None = None,
+        facts: dict[str, DataFrame] | None = None,
+    ):
+        self.spark = spark
+        self.sources = sources
+        self.check_small_dims = check_small_dims
+        self._dims: dict[str, DataFrame] = dict(dims or {})
+        self.facts: dict[str, DataFrame] = dict(facts or {})
+
+    def _dim(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._dims:
+            self._dims[name] = build()
+        return self._dims[name]
+
+    def _small(self, df: DataFrame) -> DataFrame:
+        return bounded_broadcast(df, SMALL_DIM_ROWS) if self.check_small_dims else df
+
+    @property
+    def country(self) -> DataFrame:
+        """Country list (a small file): broadcast once its size is proven."""
+        return self._dim("country", lambda: self._small(D.dim_country(self.sources.countries)))
+
+    @property
+    def factory(self) -> DataFrame:
+        """Factory list (small files): broadcast once its size is proven."""
+        return self._dim("factory", lambda: self._small(D.dim_factory(self.sources.factories)))
+
+    @property
+    def indication(self) -> DataFrame:
+        return self._dim("indication", lambda: D.dim_indication(self.sources.indication))
+
+    @property
+    def response(self) -> DataFrame:
+        return self._dim(
+            "response", lambda: D.dim_response(self.sources.responses, self.sources.dictionary)
+        )
+
+    @property
+    def product(self) -> DataFrame:
+        return self._dim(
+            "product", lambda: D.dim_product(self.sources.drugproduct, self.sources.drugproductfamily)
+        )
+
+    @property
+    def calendar(self) -> DataFrame:
+        return self._dim("calendar", lambda: dim_calendar(self.spark))
 
     def registration(self, *, with_attributes: bool = False) -> DataFrame:
-        from regstar.plans.facts import registration_fact
+        from regstar.plans.facts import REGISTRATION_COLUMNS, registration_fact
 
+        if "registration_claim" in self.facts:
+            f = self.facts["registration_claim"]
+            return f if with_attributes else f.select(*REGISTRATION_COLUMNS)
         return registration_fact(self, with_attributes=with_attributes)
 
     def reimbursement(self, *, with_attributes: bool = False) -> DataFrame:
-        from regstar.plans.facts import reimbursement_fact
+        from regstar.plans.facts import REIMBURSEMENT_COLUMNS, reimbursement_fact
 
+        if "reimbursement_claim" in self.facts:
+            f = self.facts["reimbursement_claim"]
+            return f if with_attributes else f.select(*REIMBURSEMENT_COLUMNS)
         return reimbursement_fact(self, with_attributes=with_attributes)
 
     def register_views(self) -> None:
         """Temp views under the names the SQL forms use."""
         self.sources.claim.createOrReplaceTempView("claim")
-        self.response.createOrReplaceTempView("response")
-        self.calendar.createOrReplaceTempView("calendar")
-        self.country.createOrReplaceTempView("country")
-        self.factory.createOrReplaceTempView("factory")
-        self.indication.createOrReplaceTempView("indication")
-        self.product.createOrReplaceTempView("product")
+        for name in DIMENSIONS:
+            getattr(self, name).createOrReplaceTempView(name)
         self.registration().createOrReplaceTempView("registration_claim")
         self.reimbursement().createOrReplaceTempView("reimbursement_claim")
 
 
 def build_star(spark: SparkSession, sources: Sources, *, check_small_dims: bool = True) -> Star:
-    """Lazy dimension plans over ``sources`` (nothing large runs here).
+    """Lazy star over ``sources`` (nothing runs until a plan is executed,
+    except the size proof of a small dimension when it is first used)."""
+    return Star(spark, sources, check_small_dims=check_small_dims)
 
-    Country and factory lists come from small files; with
-    ``check_small_dims`` their row count is proven (a limited count) before
-    they are hinted as broadcast sides.
+
+def materialize(star: Star, path: str | None = None) -> Star:
+    """Write the dimensions and both facts (with attributes) as Parquet and
+    return a star that reads them back.
+
+    This is the build step of the modelled program (which caches its frames
+    before asking its questions), done as written tables: several questions
+    then share one build, and their plans start from the written files, so
+    lineage is cut and a lost executor costs a re-read, not a rebuild. The
+    default location is a fresh folder under ``spark.checkpoint.dir``.
     """
-    country = D.dim_country(sources.countries)
-    factory = D.dim_factory(sources.factories)
-    if check_small_dims:
-        country = bounded_broadcast(country, SMALL_DIM_ROWS)
-        factory = bounded_broadcast(factory, SMALL_DIM_ROWS)
+    from regstar.session import shared_dir
+
+    base = path or shared_dir(star.spark, "star")
+    tables = {name: getattr(star, name) for name in DIMENSIONS}
+    tables["registration_claim"] = star.registration(with_attributes=True)
+    tables["reimbursement_claim"] = star.reimbursement(with_attributes=True)
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+    read = {name: star.spark.read.parquet(f"{base}/{name}") for name in tables}
     return Star(
-        spark=spark,
-        sources=sources,
-        country=country,
-        factory=factory,
-        indication=D.dim_indication(sources.indication),
-        response=D.dim_response(sources.responses, sources.dictionary),
-        product=D.dim_product(sources.drugproduct, sources.drugproductfamily),
-        calendar=dim_calendar(spark),
+        star.spark,
+        star.sources,
+        check_small_dims=star.check_small_dims,
+        dims={name: read[name] for name in DIMENSIONS},
+        facts={name: read[name] for name in FACTS},
     )

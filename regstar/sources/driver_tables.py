@@ -35,7 +35,7 @@ supplier):
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,8 +57,52 @@ PACKAGE_MODULUS = 30
 RESPONSE_DICTIONARY_ROWS = (("F", "Approved"), ("O", "Declined"))
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+# Fact-grain tables and the key they are joined on first.
+FACT_GRAIN_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
+class Tables(Mapping[str, DataFrame]):
+    """Driver tables of one folder, opened on first use with their declared
+    schemas (no inference job, nothing opened that a plan does not use).
+
+    A fact-grain table whose scan yields fewer splits than the cluster has
+    cores (a file written as one row group cannot be split) is
+    hash-partitioned on its join key right after the scan, so the work
+    before the first shuffle is not serialised in one task; the joins on
+    that key then reuse the partitioning. A scan with enough splits (any
+    large input) is left alone, so this costs nothing at scale.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names=DRIVER_TABLES, *, rebalance: bool = True):
+        self._spark, self._dir, self._names = spark, sf_dir.rstrip("/"), tuple(names)
+        self._rebalance = rebalance
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._open:
+            reader = self._spark.read
+            if name in schemas.DRIVER:
+                reader = reader.schema(schemas.DRIVER[name])
+            df = reader.parquet(f"{self._dir}/{name}.parquet")
+            key = FACT_GRAIN_KEYS.get(name)
+            if self._rebalance and key is not None:
+                cores = self._spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < cores:
+                    df = df.repartition(cores, key)
+            self._open[name] = df
+        return self._open[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def load_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> Tables:
+    return Tables(spark, sf_dir, names)
 
 
 def country_code(nationkey: Column) -> Column:
@@ -78,7 +122,7 @@ def claim_number(orderkey: Column, linenumber: Column) -> Column:
     return F.concat(F.lit("CL-"), orderkey.cast("string"), F.lit("-"), linenumber.cast("string"))
 
 
-def claim_source(t: dict[str, DataFrame]) -> DataFrame:
+def claim_source(t: Mapping[str, DataFrame]) -> DataFrame:
     """Rows in the shape of the relational ``claim`` table."""
     li = t["lineitem"].select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
@@ -125,7 +169,7 @@ def claim_source(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def drugproduct_source(t: dict[str, DataFrame]) -> DataFrame:
+def drugproduct_source(t: Mapping[str, DataFrame]) -> DataFrame:
     """Product catalogue: parts up to size 45. Every 17th code is stored in
     lower case with a trailing blank (cleaned when the dimension is built)."""
     p = t["part"].where(F.col("p_size") <= PRODUCT_MAX_SIZE)
@@ -140,7 +184,7 @@ def drugproduct_source(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def drugproductfamily_source(t: dict[str, DataFrame]) -> DataFrame:
+def drugproductfamily_source(t: Mapping[str, DataFrame]) -> DataFrame:
     """Families: distinct part types except promotional ones."""
     types = t["part"].select("p_type").where(~F.col("p_type").startswith("PROMO")).distinct()
     return types.select(
@@ -149,7 +193,7 @@ def drugproductfamily_source(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def indication_source(t: dict[str, DataFrame]) -> DataFrame:
+def indication_source(t: Mapping[str, DataFrame]) -> DataFrame:
     seg = t["customer"].select("c_mktsegment").distinct()
     return seg.select(
         F.concat(F.lit("IND-"), F.col("c_mktsegment")).alias("indicationid"),
@@ -158,7 +202,7 @@ def indication_source(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def countries_source(t: dict[str, DataFrame]) -> DataFrame:
+def countries_source(t: Mapping[str, DataFrame]) -> DataFrame:
     """Rows in the shape of the countries CSV (header names kept)."""
     n = t["nation"]
     code = country_code(F.col("n_nationkey"))
@@ -172,7 +216,7 @@ def countries_source(t: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def factories_sources(t: dict[str, DataFrame]) -> list[DataFrame]:
+def factories_sources(t: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Two factory files with overlapping rows (shape: code, name, country)."""
     n = t["nation"]
     k = F.col("n_nationkey")
@@ -193,7 +237,7 @@ def factories_sources(t: dict[str, DataFrame]) -> list[DataFrame]:
     return [first, second]
 
 
-def responses_sources(t: dict[str, DataFrame]) -> list[DataFrame]:
+def responses_sources(t: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Response file rows: one per claim number (latest ship date, order status).
 
     The line items are aggregated per claim key before they meet the orders,
@@ -218,29 +262,47 @@ def response_dictionary(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(RESPONSE_DICTIONARY_ROWS), schemas.RESPONSE_DICTIONARY)
 
 
-@dataclass
 class Sources:
-    """Claim-shaped inputs of the star (reference shape, raw values)."""
+    """Claim-shaped inputs of the star (reference shape, raw values).
+
+    Each source is given as a DataFrame (a list of them for the multi-file
+    sources ``factories`` and ``responses``) or as a zero-argument function
+    that builds it; functions run on first use only, so a plan that needs
+    one source never builds the others.
+    """
+
+    NAMES = (
+        "claim", "drugproduct", "drugproductfamily", "indication", "countries",
+        "factories", "responses", "dictionary",
+    )
+
+    def __init__(self, **sources):
+        unknown = set(sources) - set(self.NAMES)
+        if unknown:
+            raise TypeError(f"unknown sources: {sorted(unknown)}")
+        self._given = sources
+        self._built: dict[str, object] = {}
 
-    claim: DataFrame
-    drugproduct: DataFrame
-    drugproductfamily: DataFrame
-    indication: DataFrame
-    countries: DataFrame
-    factories: list[DataFrame] = field(default_factory=list)
-    responses: list[DataFrame] = field(default_factory=list)
-    dictionary: DataFrame | None = None
+    def __getattr__(self, name: str):
+        if name.startswith("_") or name not in self.NAMES:
+            raise AttributeError(name)
+        if name not in self._built:
+            if name not in self._given:
+                raise AttributeError(f"source {name!r} was not given")
+            v = self._given[name]
+            self._built[name] = v() if callable(v) else v
+        return self._built[name]
 
 
 def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
     t = load_tables(spark, sf_dir)
     return Sources(
-        claim=claim_source(t),
-        drugproduct=drugproduct_source(t),
-        drugproductfamily=drugproductfamily_source(t),
-        indication=indication_source(t),
-        countries=countries_source(t),
-        factories=factories_sources(t),
-        responses=responses_sources(t),
-        dictionary=response_dictionary(spark),
+        claim=lambda: claim_source(t),
+        drugproduct=lambda: drugproduct_source(t),
+        drugproductfamily=lambda: drugproductfamily_source(t),
+        indication=lambda: indication_source(t),
+        countries=lambda: countries_source(t),
+        factories=lambda: factories_sources(t),
+        responses=lambda: responses_sources(t),
+        dictionary=lambda: response_dictionary(spark),
     )

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     DateType,
+    DoubleType,
     IntegerType,
+    LongType,
     ShortType,
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
 )
 
 
@@ -81,3 +84,34 @@ RESPONSE_DICTIONARY = _strings("from", "to")
 # Positional names used after reading.
 COUNTRY_COLUMNS = ("country_name", "alpha_2_code", "alpha_3_code", "numeric_code", "link")
 RESPONSE_COLUMNS = ("claim_number", "response_date", "response")
+
+
+# Driver tables (Parquet). Declared so that opening a table needs no footer
+# inference job; a file with other types fails loudly at read time.
+def _fields(*spec: tuple[str, object]) -> StructType:
+    return StructType([StructField(n, t, True) for n, t in spec])
+
+
+_S, _I, _L, _D, _TS = StringType(), IntegerType(), LongType(), DoubleType(), TimestampNTZType()
+
+DRIVER = {
+    "region": _fields(("r_regionkey", _I), ("r_name", _S)),
+    "nation": _fields(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
+    "customer": _fields(
+        ("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D), ("c_mktsegment", _S)
+    ),
+    "supplier": _fields(("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I), ("s_acctbal", _D)),
+    "part": _fields(
+        ("p_partkey", _L), ("p_name", _S), ("p_brand", _S), ("p_type", _S), ("p_size", _I),
+        ("p_retailprice", _D),
+    ),
+    "orders": _fields(
+        ("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
+        ("o_orderdate", _TS), ("o_orderpriority", _S),
+    ),
+    "lineitem": _fields(
+        ("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
+        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS),
+    ),
+}
