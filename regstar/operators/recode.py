@@ -7,6 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regstar.operators.lookup import bounded_broadcast
+
+# Largest dictionary (rows) that is hinted as a broadcast side once its
+# size is proven; a larger one is joined by shuffle.
+DICTIONARY_MAX_ROWS = 100_000
+
 
 def recode(
     df: DataFrame,
@@ -19,11 +25,12 @@ def recode(
 ) -> DataFrame:
     """Replace ``code`` by its dictionary value; rows with unknown codes drop.
 
-    Matching is exact (case sensitive). The dictionary is a broadcast side:
-    it is an inline or file-based list of codes, bounded by construction.
+    Matching is exact (case sensitive). The dictionary is broadcast only
+    after its row count is proven to be at most ``DICTIONARY_MAX_ROWS``.
     ``quality.unmapped_codes`` reports what the inner join drops.
     """
-    d = F.broadcast(dictionary.select(F.col(from_col).alias("__from"), F.col(to_col).alias(out)))
+    d = dictionary.select(F.col(from_col).alias("__from"), F.col(to_col).alias(out))
+    d = bounded_broadcast(d, DICTIONARY_MAX_ROWS)
     return df.join(d, F.col(code) == F.col("__from"), "inner").drop("__from")
 
 
