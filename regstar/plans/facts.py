@@ -15,7 +15,7 @@ the same joins, so no question has to join a dimension a second time by id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regstar.functions import clean_bk, date_key, has_price, price_amount, price_currency
@@ -102,8 +102,25 @@ def _shared_lookups(star: Star, claims: DataFrame, with_attributes: bool) -> Dat
     return f
 
 
-def _claims(star: Star, claimtype: str) -> DataFrame:
-    c = star.sources.claim.where(F.col("claimtype") == claimtype)
+REGISTER = "REGISTER"
+REFUND = "REFUND"
+
+
+def _fact_rows(claimtype: str) -> Column:
+    """Claims that enter a fact: every registration claim; reimbursement
+    claims only with a price (neither SQL null nor the ``'null'`` marker)."""
+    is_type = F.col("claimtype") == claimtype
+    return is_type & has_price("drugprice") if claimtype == REFUND else is_type
+
+
+def _claims(star: Star, claimtypes: tuple[str, ...]) -> DataFrame:
+    """Claim source rows that enter the facts of ``claimtypes`` (filtered
+    before any lookup, so the filter reaches the scan), with the cleaned
+    claim number and the computed submission and expected date keys."""
+    cond = None
+    for t in claimtypes:
+        cond = _fact_rows(t) if cond is None else (cond | _fact_rows(t))
+    c = star.sources.claim.where(cond)
     return c.withColumns(
         {
             "claimnumber": clean_bk("claimnumber"),
@@ -113,12 +130,20 @@ def _claims(star: Star, claimtype: str) -> DataFrame:
     )
 
 
-def registration_fact(star: Star, *, with_attributes: bool = False) -> DataFrame:
-    """Registration claims: every ``REGISTER`` claim, with product, indication,
-    three factory roles, three date roles, country and response keys."""
-    f = _shared_lookups(star, _claims(star, "REGISTER"), with_attributes)
+def claim_lookups(star: Star, claimtypes: tuple[str, ...], *, with_attributes: bool = False) -> DataFrame:
+    """Claims of ``claimtypes`` with the lookups both facts share (product,
+    response, indication, country, date keys). Both facts are finished from
+    this frame, so a plan that needs both runs these lookups once (identical
+    subplans share their exchanges), and ``materialize`` writes it once."""
+    return _shared_lookups(star, _claims(star, claimtypes), with_attributes)
+
+
+def finish_registration(f: DataFrame, star: Star, *, with_attributes: bool = False) -> DataFrame:
+    """Registration fact from shared lookups: the three factory roles
+    (fan-out through non-unique factory codes happens here, after every
+    shuffle) and the reference columns."""
     f = role_lookup(
-        f,
+        f.where(F.col("claimtype") == REGISTER),
         star.factory,
         roles={role: clean_bk(f"factory{role}") for role in FACTORY_ROLES},
         dim_key="factory_bk",
@@ -130,12 +155,10 @@ def registration_fact(star: Star, *, with_attributes: bool = False) -> DataFrame
     return f.select(*cols)
 
 
-def reimbursement_fact(star: Star, *, with_attributes: bool = False) -> DataFrame:
-    """Reimbursement claims: ``REFUND`` claims with a price (neither null nor
-    the ``'null'`` marker), the price split into amount and currency, and the
-    percentage under its claimed and approved names."""
-    claims = _claims(star, "REFUND").where(has_price("drugprice"))
-    claims = claims.withColumns(
+def finish_reimbursement(f: DataFrame, *, with_attributes: bool = False) -> DataFrame:
+    """Reimbursement fact from shared lookups: the price split into amount
+    and currency, the percentage under its claimed and approved names."""
+    f = f.where(_fact_rows(REFUND)).withColumns(
         {
             "drug_price": price_amount("drugprice"),
             "drug_price_currency": price_currency("drugprice"),
@@ -143,8 +166,30 @@ def reimbursement_fact(star: Star, *, with_attributes: bool = False) -> DataFram
             "reimbursement_app_prc": F.col("reimbursementprct"),
         }
     )
-    f = _shared_lookups(star, claims, with_attributes)
     cols = list(REIMBURSEMENT_COLUMNS)
     if with_attributes:
         cols += list(ATTRIBUTE_COLUMNS)
     return f.select(*cols)
+
+
+def registration_fact(star: Star, *, with_attributes: bool = False) -> DataFrame:
+    """Registration claims: every ``REGISTER`` claim, with product, indication,
+    three factory roles, three date roles, country and response keys."""
+    f = claim_lookups(star, (REGISTER,), with_attributes=with_attributes)
+    return finish_registration(f, star, with_attributes=with_attributes)
+
+
+def reimbursement_fact(star: Star, *, with_attributes: bool = False) -> DataFrame:
+    """Reimbursement claims: ``REFUND`` claims with a price, with product,
+    indication, three date roles, country and response keys."""
+    f = claim_lookups(star, (REFUND,), with_attributes=with_attributes)
+    return finish_reimbursement(f, with_attributes=with_attributes)
+
+
+def both_facts(star: Star, *, with_attributes: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(registration, reimbursement) finished from one shared-lookup plan."""
+    f = claim_lookups(star, (REGISTER, REFUND), with_attributes=with_attributes)
+    return (
+        finish_registration(f, star, with_attributes=with_attributes),
+        finish_reimbursement(f, with_attributes=with_attributes),
+    )

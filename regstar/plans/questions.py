@@ -54,14 +54,16 @@ def q2b_share(star: Star, *, denominator: str = "reimbursement") -> DataFrame:
     """Q2.b: registration claims approved on time, over the number of
     ``denominator`` claims: ``'reimbursement'`` (as the modelled program
     computes it) or ``'registration'`` (its SQL form)."""
-    reg = star.registration(with_attributes=True)
     if denominator == "registration":
+        reg = star.registration(with_attributes=True)
         return share_of(reg, on_time_approved(), numerator="on_time", total="total", share="share")
     if denominator != "reimbursement":
         raise ValueError("denominator is 'reimbursement' or 'registration'")
+    # Both facts from one shared-lookup plan: its shuffles run once.
+    reg, reimb = star.both_facts(with_attributes=True)
     cols = ["response", "response_date_id", "expectedresponse_date_id"]
     both = reg.select(F.lit(True).alias("__reg"), *cols).unionByName(
-        star.reimbursement(with_attributes=True).select(F.lit(False).alias("__reg"), *cols)
+        reimb.select(F.lit(False).alias("__reg"), *cols)
     )
     return share_between(
         both,

@@ -98,6 +98,18 @@ class Star:
             return f if with_attributes else f.select(*REIMBURSEMENT_COLUMNS)
         return reimbursement_fact(self, with_attributes=with_attributes)
 
+    def both_facts(self, *, with_attributes: bool = False) -> tuple[DataFrame, DataFrame]:
+        """(registration, reimbursement); built from one shared-lookup plan
+        unless the facts are already written."""
+        if all(name in self.facts for name in FACTS):
+            return (
+                self.registration(with_attributes=with_attributes),
+                self.reimbursement(with_attributes=with_attributes),
+            )
+        from regstar.plans.facts import both_facts
+
+        return both_facts(self, with_attributes=with_attributes)
+
     def register_views(self) -> None:
         """Temp views under the names the SQL forms use."""
         self.sources.claim.createOrReplaceTempView("claim")
@@ -114,28 +126,41 @@ def build_star(spark: SparkSession, sources: Sources, *, check_small_dims: bool
 
 
 def materialize(star: Star, path: str | None = None) -> Star:
-    """Write the dimensions and both facts (with attributes) as Parquet and
+    """Write the dimensions, then both facts (with attributes), as Parquet and
     return a star that reads them back.
 
     This is the build step of the modelled program (which caches its frames
     before asking its questions), done as written tables: several questions
     then share one build, and their plans start from the written files, so
     lineage is cut and a lost executor costs a re-read, not a rebuild. The
-    default location is a fresh folder under ``spark.checkpoint.dir``.
+    facts are built from the written dimensions, so no dimension is derived
+    twice. The default location is a fresh folder under
+    ``spark.checkpoint.dir``.
     """
     from regstar.session import shared_dir
 
-    base = path or shared_dir(star.spark, "star")
-    tables = {name: getattr(star, name) for name in DIMENSIONS}
-    tables["registration_claim"] = star.registration(with_attributes=True)
-    tables["reimbursement_claim"] = star.reimbursement(with_attributes=True)
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
-    read = {name: star.spark.read.parquet(f"{base}/{name}") for name in tables}
-    return Star(
-        star.spark,
-        star.sources,
-        check_small_dims=star.check_small_dims,
-        dims={name: read[name] for name in DIMENSIONS},
-        facts={name: read[name] for name in FACTS},
+    spark = star.spark
+    base = path or shared_dir(spark, "star")
+    for name in DIMENSIONS:
+        getattr(star, name).write.mode("overwrite").parquet(f"{base}/{name}")
+    dims = {name: spark.read.parquet(f"{base}/{name}") for name in DIMENSIONS}
+    if star.check_small_dims:
+        for name in ("country", "factory"):
+            dims[name] = bounded_broadcast(dims[name], SMALL_DIM_ROWS)
+    from regstar.plans.facts import REFUND, REGISTER, claim_lookups, finish_registration, finish_reimbursement
+
+    written = Star(spark, star.sources, check_small_dims=star.check_small_dims, dims=dims)
+    # The lookups both facts share run once and are written; each fact is
+    # finished from the written rows.
+    claim_lookups(written, (REGISTER, REFUND), with_attributes=True).write.mode("overwrite").parquet(
+        f"{base}/_claim_lookups"
+    )
+    shared = spark.read.parquet(f"{base}/_claim_lookups")
+    finish_registration(shared, written, with_attributes=True).write.mode("overwrite").parquet(
+        f"{base}/registration_claim"
+    )
+    finish_reimbursement(shared, with_attributes=True).write.mode("overwrite").parquet(
+        f"{base}/reimbursement_claim"
     )
+    facts = {name: spark.read.parquet(f"{base}/{name}") for name in FACTS}
+    return Star(spark, star.sources, check_small_dims=star.check_small_dims, dims=dims, facts=facts)
