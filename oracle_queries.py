@@ -369,4 +369,13 @@ GROUP BY response
 """,
 }
 
+# The SQL-text builds compute the same rows as their DataFrame forms.
+for _sql_form, _same_as in (
+    ("dim_product_sql", "dim_product"),
+    ("dim_response_sql", "dim_response"),
+    ("fact_registration_sql", "fact_registration"),
+    ("fact_reimbursement_sql", "fact_reimbursement"),
+):
+    _QUERIES[_sql_form] = _QUERIES[_same_as]
+
 ORACLE_SQL: dict[str, str] = {k: v.strip() for k, v in _QUERIES.items()}

@@ -314,6 +314,25 @@ def sql_view_question(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.q4_sql(star, Q4_COUNTRY, Q4_START, Q4_END, "reimbursement_claimed_prc")
 
 
+# ---------------------------------------------------------------- builds as SQL text
+
+
+def dim_product_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.dim_product_sql(_star(spark, sf_dir))
+
+
+def dim_response_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.dim_response_sql(_star(spark, sf_dir))
+
+
+def fact_registration_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.fact_registration_sql(_star(spark, sf_dir))
+
+
+def fact_reimbursement_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.fact_reimbursement_sql(_star(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- data quality
 
 
@@ -418,6 +437,10 @@ CATALOGUE: dict[str, Query] = {
     "q4a_sql": q4a_sql,
     "q4b_top_percent": q4b_top_percent,
     "sql_view_question": sql_view_question,
+    "dim_product_sql": dim_product_sql,
+    "dim_response_sql": dim_response_sql,
+    "fact_registration_sql": fact_registration_sql,
+    "fact_reimbursement_sql": fact_reimbursement_sql,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_orphans": dq_orphans,
     "dq_fanout_guard": dq_fanout_guard,

@@ -150,11 +150,12 @@ def materialize(star: Star, path: str | None = None) -> Star:
     from regstar.plans.facts import REFUND, REGISTER, claim_lookups, finish_registration, finish_reimbursement
 
     written = Star(spark, star.sources, check_small_dims=star.check_small_dims, dims=dims)
-    # The lookups both facts share run once and are written; each fact is
-    # finished from the written rows.
-    claim_lookups(written, (REGISTER, REFUND), with_attributes=True).write.mode("overwrite").parquet(
-        f"{base}/_claim_lookups"
-    )
+    # The lookups both facts share run once and are written, partitioned by
+    # claim type; each fact is finished from its own partition (the claim
+    # type filter prunes the other one at planning time).
+    claim_lookups(written, (REGISTER, REFUND), with_attributes=True).write.mode("overwrite").partitionBy(
+        "claimtype"
+    ).parquet(f"{base}/_claim_lookups")
     shared = spark.read.parquet(f"{base}/_claim_lookups")
     finish_registration(shared, written, with_attributes=True).write.mode("overwrite").parquet(
         f"{base}/registration_claim"
