@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def arg_max_rows(df: DataFrame, value: str) -> DataFrame:
+def arg_max_rows(df: DataFrame, value: str, *, compute_once: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``value`` equals the maximum of ``value``; ties kept.
 
     The maximum is a one-row aggregate (partial max per task, one tiny final
@@ -14,7 +14,15 @@ def arg_max_rows(df: DataFrame, value: str) -> DataFrame:
     against a single row, never a global sort or single-partition window.
     A null maximum (no rows, or only nulls) gives no rows. Compare a column
     computed once, so a floating-point expression equals its own maximum.
+
+    ``df`` is read twice (for the maximum and for the rows). When it is an
+    expensive plan rather than a scan, ``compute_once`` checkpoints it first
+    (see ``regstar.session.cut_lineage``) so it is evaluated once.
     """
+    if compute_once:
+        from regstar.session import cut_lineage
+
+        df = cut_lineage(df)
     top = df.agg(F.max(value).alias("__max"))
     return df.join(F.broadcast(top), F.col(value) == F.col("__max"), "inner").drop("__max")
 

@@ -133,8 +133,8 @@ def _claims(star: Star, claimtypes: tuple[str, ...]) -> DataFrame:
 def claim_lookups(star: Star, claimtypes: tuple[str, ...], *, with_attributes: bool = False) -> DataFrame:
     """Claims of ``claimtypes`` with the lookups both facts share (product,
     response, indication, country, date keys). Both facts are finished from
-    this frame, so a plan that needs both runs these lookups once (identical
-    subplans share their exchanges), and ``materialize`` writes it once."""
+    this frame: ``both_facts`` checkpoints it and ``materialize`` writes it,
+    so the lookups run once for the two facts."""
     return _shared_lookups(star, _claims(star, claimtypes), with_attributes)
 
 
@@ -187,8 +187,12 @@ def reimbursement_fact(star: Star, *, with_attributes: bool = False) -> DataFram
 
 
 def both_facts(star: Star, *, with_attributes: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(registration, reimbursement) finished from one shared-lookup plan."""
-    f = claim_lookups(star, (REGISTER, REFUND), with_attributes=with_attributes)
+    """(registration, reimbursement) finished from one computation of the
+    shared lookups: the two facts prune different columns, so without the
+    checkpoint a plan using both would run every shared shuffle twice."""
+    from regstar.session import cut_lineage
+
+    f = cut_lineage(claim_lookups(star, (REGISTER, REFUND), with_attributes=with_attributes))
     return (
         finish_registration(f, star, with_attributes=with_attributes),
         finish_reimbursement(f, with_attributes=with_attributes),

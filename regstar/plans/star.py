@@ -11,12 +11,14 @@ from regstar.plans import dims as D
 from regstar.plans.calendar import dim_calendar
 from regstar.sources import Sources
 
-# Largest dimension, in rows, that a file-backed dimension may have to be
-# hinted as a broadcast side (country and factory lists). Checked at run
-# time by ``bounded_broadcast``; beyond it the planner decides.
+# Largest dimension, in rows, that a code list (country, factory,
+# indication) may have to be hinted as a broadcast side. Checked at run time
+# by ``bounded_broadcast``; beyond it the planner decides.
 SMALL_DIM_ROWS = 100_000
 
 DIMENSIONS = ("country", "factory", "indication", "response", "product", "calendar")
+# Code lists whose row count is proven before they are broadcast.
+SMALL_DIMENSIONS = ("country", "factory", "indication")
 FACTS = ("registration_claim", "reimbursement_claim")
 
 
@@ -64,7 +66,8 @@ class Star:
 
     @property
     def indication(self) -> DataFrame:
-        return self._dim("indication", lambda: D.dim_indication(self.sources.indication))
+        """Indication list (a code table): broadcast once its size is proven."""
+        return self._dim("indication", lambda: self._small(D.dim_indication(self.sources.indication)))
 
     @property
     def response(self) -> DataFrame:
@@ -98,10 +101,15 @@ class Star:
             return f if with_attributes else f.select(*REIMBURSEMENT_COLUMNS)
         return reimbursement_fact(self, with_attributes=with_attributes)
 
+    @property
+    def facts_written(self) -> bool:
+        return all(name in self.facts for name in FACTS)
+
     def both_facts(self, *, with_attributes: bool = False) -> tuple[DataFrame, DataFrame]:
-        """(registration, reimbursement); built from one shared-lookup plan
-        unless the facts are already written."""
-        if all(name in self.facts for name in FACTS):
+        """(registration, reimbursement). Unless the facts are already
+        written, the lookups they share are computed once (checkpointed) and
+        both facts are finished from that."""
+        if self.facts_written:
             return (
                 self.registration(with_attributes=with_attributes),
                 self.reimbursement(with_attributes=with_attributes),
@@ -110,13 +118,20 @@ class Star:
 
         return both_facts(self, with_attributes=with_attributes)
 
-    def register_views(self) -> None:
-        """Temp views under the names the SQL forms use."""
+    def register_views(self, *, compute_facts_once: bool = False) -> None:
+        """Temp views under the names the SQL forms use. With
+        ``compute_facts_once`` (for SQL that reads a fact twice, e.g. in a
+        scalar subquery) facts that are not written yet are checkpointed."""
+        from regstar.session import cut_lineage
+
         self.sources.claim.createOrReplaceTempView("claim")
         for name in DIMENSIONS:
             getattr(self, name).createOrReplaceTempView(name)
-        self.registration().createOrReplaceTempView("registration_claim")
-        self.reimbursement().createOrReplaceTempView("reimbursement_claim")
+        reg, reimb = self.registration(), self.reimbursement()
+        if compute_facts_once and not self.facts_written:
+            reg, reimb = cut_lineage(reg), cut_lineage(reimb)
+        reg.createOrReplaceTempView("registration_claim")
+        reimb.createOrReplaceTempView("reimbursement_claim")
 
 
 def build_star(spark: SparkSession, sources: Sources, *, check_small_dims: bool = True) -> Star:
@@ -145,7 +160,7 @@ def materialize(star: Star, path: str | None = None) -> Star:
         getattr(star, name).write.mode("overwrite").parquet(f"{base}/{name}")
     dims = {name: spark.read.parquet(f"{base}/{name}") for name in DIMENSIONS}
     if star.check_small_dims:
-        for name in ("country", "factory"):
+        for name in SMALL_DIMENSIONS:
             dims[name] = bounded_broadcast(dims[name], SMALL_DIM_ROWS)
     from regstar.plans.facts import REFUND, REGISTER, claim_lookups, finish_registration, finish_reimbursement
 

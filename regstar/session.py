@@ -9,7 +9,7 @@ import posixpath
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -33,6 +33,37 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The reliable checkpoint folder of the session's context.
+
+    Taken from ``spark.checkpoint.dir`` (the cluster's shared folder); only a
+    session without that setting (a local test) gets a fresh local one.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    base = spark.conf.get(CHECKPOINT_CONF, None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="regstar-ckpt-")
+        spark.conf.set(CHECKPOINT_CONF, base)
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the reliable checkpoint folder and return a
+    frame that reads it back.
+
+    Used where one plan would otherwise evaluate the same expensive frame
+    twice (its two consumers prune different columns, so the planner cannot
+    share the exchanges). The data is written to the shared folder, so a lost
+    executor does not force a recomputation of the lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
