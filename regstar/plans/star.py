@@ -118,20 +118,21 @@ class Star:
 
         return both_facts(self, with_attributes=with_attributes)
 
-    def register_views(self, *, compute_facts_once: bool = False) -> None:
-        """Temp views under the names the SQL forms use. With
-        ``compute_facts_once`` (for SQL that reads a fact twice, e.g. in a
-        scalar subquery) facts that are not written yet are checkpointed."""
+    def register_views(self, *, compute_once: tuple[str, ...] = ()) -> None:
+        """Temp views under the names the SQL forms use. Fact views named in
+        ``compute_once`` (SQL that reads the fact twice, e.g. in a scalar
+        subquery and outside it) are checkpointed unless already written;
+        the other views stay lazy plans."""
         from regstar.session import cut_lineage
 
         self.sources.claim.createOrReplaceTempView("claim")
         for name in DIMENSIONS:
             getattr(self, name).createOrReplaceTempView(name)
-        reg, reimb = self.registration(), self.reimbursement()
-        if compute_facts_once and not self.facts_written:
-            reg, reimb = cut_lineage(reg), cut_lineage(reimb)
-        reg.createOrReplaceTempView("registration_claim")
-        reimb.createOrReplaceTempView("reimbursement_claim")
+        for view, build in (("registration_claim", self.registration), ("reimbursement_claim", self.reimbursement)):
+            df = build()
+            if view in compute_once and not self.facts_written:
+                df = cut_lineage(df)
+            df.createOrReplaceTempView(view)
 
 
 def build_star(spark: SparkSession, sources: Sources, *, check_small_dims: bool = True) -> Star:
