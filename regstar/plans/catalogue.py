@@ -260,7 +260,7 @@ def q1_claims_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q1_sql_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.q1_sql(_star(spark, sf_dir), "reimbursement_claim")
+    return S.q1_sql(_star(spark, sf_dir), S.REIMB)
 
 
 def q2a_on_time_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,7 +268,7 @@ def q2a_on_time_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q2a_sql_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.q2_sql(_star(spark, sf_dir), "reimbursement_claim")
+    return S.q2_sql(_star(spark, sf_dir), S.REIMB)
 
 
 def q2b_share_as_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +280,7 @@ def q2b_share_own_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q2b_sql_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.q2_sql(_star(spark, sf_dir), "registration_claim")
+    return S.q2_sql(_star(spark, sf_dir), S.REG)
 
 
 def q3_top_price(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +298,7 @@ def q4a_top_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q4a_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.q4_sql(
         _star(spark, sf_dir), Q4_COUNTRY, Q4_START, Q4_END,
-        "try_divide(reimbursement_claim.drug_price, reimbursement_claimed_prc)",
+        "try_divide(f.drug_price, f.reimbursement_claimed_prc)",
     )
 
 
@@ -311,7 +311,7 @@ def sql_view_question(spark: SparkSession, sf_dir: str) -> DataFrame:
     available to SQL as an inlined SQL function."""
     star = _star(spark, sf_dir)
     register_sql_functions(spark)
-    return S.q4_sql(star, Q4_COUNTRY, Q4_START, Q4_END, "reimbursement_claimed_prc")
+    return S.q4_sql(star, Q4_COUNTRY, Q4_START, Q4_END, "f.reimbursement_claimed_prc")
 
 
 # ---------------------------------------------------------------- builds as SQL text

@@ -125,10 +125,10 @@ class Star:
         the other views stay lazy plans."""
         from regstar.session import cut_lineage
 
-        self.sources.claim.createOrReplaceTempView("claim")
+        self.sources.claim.createOrReplaceTempView("claim_src")
         for name in DIMENSIONS:
-            getattr(self, name).createOrReplaceTempView(name)
-        for view, build in (("registration_claim", self.registration), ("reimbursement_claim", self.reimbursement)):
+            getattr(self, name).createOrReplaceTempView(f"dim_{name}")
+        for view, build in (("fact_registration", self.registration), ("fact_reimbursement", self.reimbursement)):
             df = build()
             if view in compute_once and not self.facts_written:
                 df = cut_lineage(df)

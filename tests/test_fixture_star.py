@@ -69,8 +69,8 @@ def fixture_sources(spark, tmp_path_factory):
         )
         + "\n",
     )
-    fac1 = _write(d / "factories.tsv", "F1\tAlpha\tPoland\nF2 \tBeta\tSpain\n", bom=True)
-    fac2 = _write(d / "factories_2.tsv", "F1\tAlpha\tGermany\nF2 \tBeta\tSpain\nF3\tGamma\tItaly\n")
+    fac1 = _write(d / "factory_list_1.tsv", "F1\tAlpha\tPoland\nF2 \tBeta\tSpain\n", bom=True)
+    fac2 = _write(d / "factory_list_2.tsv", "F1\tAlpha\tGermany\nF2 \tBeta\tSpain\nF3\tGamma\tItaly\n")
     resp_header = ",".join(f'"{f.name}"' for f in schemas.RESPONSES.fields)
     resp1 = _write(d / "responses_1.csv", resp_header + "\n" + "\n".join(f'"{a}",{b},"{c}"' for a, b, c in RESPONSES[:5]) + "\n")
     resp2 = _write(d / "responses_2.csv", resp_header + "\n" + "\n".join(f'"{a}",{b},"{c}"' for a, b, c in RESPONSES[4:]) + "\n")
@@ -131,7 +131,7 @@ def test_fact_reference_columns(star):
 def test_q1_and_twin(star):
     assert rows(Q.q1_claims_per_year(star)) == [(2009, 3), (2010, 1)]
     assert [tuple(r) for r in Q.q1_claims_per_year(star).collect()] == [(2009, 3), (2010, 1)]  # ordered
-    twin = S.q1_sql(star, "reimbursement_claim")
+    twin = S.q1_sql(star, S.REIMB)
     assert [(r.year, r.number_of_claims) for r in twin.collect()] == [
         (2006, 1), (2007, 1), (2009, 1), (2010, 2), (2011, 3)
     ]
@@ -144,8 +144,8 @@ def test_q2(star):
     assert (b.on_time, b.total, b.share) == (2, 8, 0.25)
     own = Q.q2b_share(star, denominator="registration").collect()[0]
     assert (own.on_time, own.total, own.share) == (2, 4, 0.5)
-    assert S.q2_sql(star, "reimbursement_claim").collect()[0].share == 0.5
-    assert S.q2_sql(star, "registration_claim").collect()[0].share == 0.5
+    assert S.q2_sql(star, S.REIMB).collect()[0].share == 0.5
+    assert S.q2_sql(star, S.REG).collect()[0].share == 0.5
 
 
 def test_q3_ties_kept_and_empty(star):
@@ -162,9 +162,9 @@ def test_q4(star):
     b = rows(Q.q4_top(star, "PL", date(2005, 1, 1), date(2010, 12, 31), measure="pct"))
     assert b == [("P3", "Gamma pill", 50, 100)]
     sql_a = S.q4_sql(star, "PL", date(2005, 1, 1), date(2010, 12, 31),
-                     "try_divide(reimbursement_claim.drug_price, reimbursement_claimed_prc)")
+                     "try_divide(f.drug_price, f.reimbursement_claimed_prc)")
     assert rows(sql_a) == a
-    assert rows(S.q4_sql(star, "PL", date(2005, 1, 1), date(2010, 12, 31), "reimbursement_claimed_prc")) == b
+    assert rows(S.q4_sql(star, "PL", date(2005, 1, 1), date(2010, 12, 31), "f.reimbursement_claimed_prc")) == b
     # The approval filter the modelled question lacks: C7 and C13 only; C13
     # was answered in 2011, so C7 remains.
     appr = rows(Q.q4_top(star, "PL", date(2005, 1, 1), date(2010, 12, 31), measure="pct", approved_only=True))
