@@ -2,7 +2,7 @@
 
 from regstar.operators.aggregates import arg_max_rows, share_between, share_of
 from regstar.operators.lookup import bounded_broadcast, lookup, role_lookup
-from regstar.operators.quality import duplicate_keys, orphans, unmapped_codes
+from regstar.operators.quality import duplicate_keys, orphans, orphans_by_key, unmapped_codes
 from regstar.operators.recode import recode, union_all, union_distinct
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "duplicate_keys",
     "lookup",
     "orphans",
+    "orphans_by_key",
     "recode",
     "role_lookup",
     "share_between",

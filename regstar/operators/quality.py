@@ -53,6 +53,41 @@ def orphans(
     return per_key.join(p, F.col(key_name) == F.col("__pk"), "left_anti")
 
 
+def orphans_by_key(
+    child: DataFrame,
+    checks: Sequence[tuple[str, Column, DataFrame, Column]],
+    *,
+    check_name: str = "foreign_key",
+    key_name: str = "key",
+    n: str = "n_rows",
+) -> DataFrame:
+    """Several foreign keys of one child checked in one pass over the child.
+
+    ``checks`` holds ``(name, child_key, parent, parent_key)``; keys are
+    compared as strings. Each child row emits one ``(name, key)`` pair per
+    check, the pairs are counted (partial aggregation before the shuffle),
+    and one anti join against the tagged parent keys leaves the orphans. The
+    child, however expensive, is evaluated once.
+    """
+    pairs = F.array(
+        *[F.struct(F.lit(name).alias("c"), key.cast("string").alias("k")) for name, key, _, _ in checks]
+    )
+    per_key = (
+        child.select(F.explode(pairs).alias("p"))
+        .select(F.col("p.c").alias(check_name), F.col("p.k").alias(key_name))
+        .where(F.col(key_name).isNotNull())
+        .groupBy(check_name, key_name)
+        .agg(F.count(F.lit(1)).alias(n))
+    )
+    parents = None
+    for name, _, parent, parent_key in checks:
+        keys = parent.select(F.lit(name).alias("__c"), parent_key.cast("string").alias("__pk"))
+        parents = keys if parents is None else parents.unionByName(keys)
+    parents = parents.where(F.col("__pk").isNotNull())
+    cond = (F.col(check_name) == F.col("__c")) & (F.col(key_name) == F.col("__pk"))
+    return per_key.join(parents, cond, "left_anti")
+
+
 def unmapped_codes(
     df: DataFrame,
     dictionary: DataFrame,

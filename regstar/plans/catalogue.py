@@ -26,6 +26,7 @@ from regstar.functions import (
 from regstar.operators import (
     duplicate_keys,
     orphans,
+    orphans_by_key,
     role_lookup,
     union_all,
     union_distinct,
@@ -356,28 +357,24 @@ def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Foreign keys (on cleaned business keys): claim to product, claim to
-    indication, product to family."""
+    """Foreign keys (on cleaned business keys): claim to product and claim to
+    indication (one pass over the claims), product to family."""
     src = driver_sources(spark, sf_dir)
-    checks = [
-        ("claim.productcodeid", src.claim, clean_bk("productcodeid"), src.drugproduct, clean_bk("drugproductid")),
-        ("claim.indicationid", src.claim, clean_bk("indicationid"), src.indication, clean_bk("indicationid")),
-        (
-            "drugproduct.drugproductfamilyid",
-            src.drugproduct,
-            F.col("drugproductfamilyid").cast("string"),
-            src.drugproductfamily,
-            F.col("drugproductfamilyid").cast("string"),
-        ),
-    ]
-    return union_all(
+    claim_checks = orphans_by_key(
+        src.claim,
         [
-            orphans(child, parent, child_key=ck, parent_key=pk, key_name="key").select(
-                F.lit(name).alias("foreign_key"), "key", "n_rows"
-            )
-            for name, child, ck, parent, pk in checks
-        ]
+            ("claim.productcodeid", clean_bk("productcodeid"), src.drugproduct, clean_bk("drugproductid")),
+            ("claim.indicationid", clean_bk("indicationid"), src.indication, clean_bk("indicationid")),
+        ],
     )
+    family_check = orphans(
+        src.drugproduct,
+        src.drugproductfamily,
+        child_key=F.col("drugproductfamilyid").cast("string"),
+        parent_key=F.col("drugproductfamilyid").cast("string"),
+        key_name="key",
+    ).select(F.lit("drugproduct.drugproductfamilyid").alias("foreign_key"), "key", "n_rows")
+    return union_all([claim_checks, family_check])
 
 
 def dq_fanout_guard(spark: SparkSession, sf_dir: str) -> DataFrame:

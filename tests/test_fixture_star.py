@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regstar.functions import clean_bk
-from regstar.operators import duplicate_keys, orphans, unmapped_codes
+from regstar.operators import duplicate_keys, orphans, orphans_by_key, unmapped_codes
 from regstar.plans import dims as D
 from regstar.plans import questions as Q
 from regstar.plans import sql_forms as S
@@ -176,6 +176,14 @@ def test_quality_checks(star, fixture_sources):
     orph = orphans(src.claim, src.drugproduct, child_key=clean_bk("productcodeid"),
                    parent_key=clean_bk("drugproductid"), key_name="key")
     assert rows(orph) == [("P9", 1)]
+    both = orphans_by_key(
+        src.claim,
+        [
+            ("product", clean_bk("productcodeid"), src.drugproduct, clean_bk("drugproductid")),
+            ("indication", clean_bk("indicationid"), src.indication, clean_bk("indicationid")),
+        ],
+    )
+    assert rows(both) == [("product", "P9", 1)]
     unm = unmapped_codes(D.response_rows(src.responses), src.dictionary, code="response")
     assert rows(unm) == [("n", 1)]
     fan = duplicate_keys(star.factory.select("factory_bk"), ["factory_bk"])
