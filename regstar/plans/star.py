@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from regstar.operators import bounded_broadcast
 from regstar.plans import dims as D
@@ -83,7 +84,9 @@ class Star:
 
     @property
     def calendar(self) -> DataFrame:
-        return self._dim("calendar", lambda: dim_calendar(self.spark))
+        """Calendar: 73,050 rows by construction, so always a broadcast side
+        (in DataFrame plans and in SQL over its view alike)."""
+        return self._dim("calendar", lambda: F.broadcast(dim_calendar(self.spark)))
 
     def registration(self, *, with_attributes: bool = False) -> DataFrame:
         from regstar.plans.facts import REGISTRATION_COLUMNS, registration_fact
@@ -160,6 +163,7 @@ def materialize(star: Star, path: str | None = None) -> Star:
     for name in DIMENSIONS:
         getattr(star, name).write.mode("overwrite").parquet(f"{base}/{name}")
     dims = {name: spark.read.parquet(f"{base}/{name}") for name in DIMENSIONS}
+    dims["calendar"] = F.broadcast(dims["calendar"])
     if star.check_small_dims:
         for name in SMALL_DIMENSIONS:
             dims[name] = bounded_broadcast(dims[name], SMALL_DIM_ROWS)
