@@ -26,9 +26,43 @@ PLANNER_SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply :data:`PLANNER_SETTINGS` to a running session (runtime SQL confs)."""
-    for key, value in PLANNER_SETTINGS.items():
+# Target bytes per shuffle partition and per scan split: small enough that a
+# task's sort and hash buffers fit in executor memory without heavy spilling,
+# large enough that task overhead stays small.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MIN_SHUFFLE_PARTITIONS = 200
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def scale_settings(input_bytes: int, *, target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of (compressed) input.
+
+    The initial shuffle partition count is sized for the largest shuffle (a
+    fact shuffled on a lookup key moves about as many bytes as it reads) so
+    that no partition starts far above the target; AQE then coalesces small
+    partitions towards the advisory size and splits skewed ones. Scan splits
+    use the same target.
+    """
+    parts = -(-max(int(input_bytes), 1) // target_partition_bytes)
+    parts = max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, parts))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
+def tune(spark: SparkSession, *, input_bytes: int | None = None) -> SparkSession:
+    """Apply :data:`PLANNER_SETTINGS` (and, given the input volume,
+    :func:`scale_settings`) to a running session (runtime SQL confs)."""
+    settings = dict(PLANNER_SETTINGS)
+    if input_bytes is not None:
+        settings.update(scale_settings(input_bytes))
+    for key, value in settings.items():
         spark.conf.set(key, value)
     return spark
 
