@@ -5,7 +5,6 @@ answers worked out by hand."""
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from regstar.functions import clean_bk
 from regstar.operators import duplicate_keys, orphans, orphans_by_key, unmapped_codes

@@ -2,7 +2,6 @@
 
 from datetime import date
 
-from pyspark.sql import functions as F
 
 from regstar.functions import (
     CALENDAR_END,

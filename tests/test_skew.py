@@ -6,12 +6,10 @@ several claim numbers become hot). The queries must still agree with their
 DuckDB oracles on the same derived tables, and the largest join output stays
 proportional to the input (no group emits all its pairs)."""
 
-import os
 
 import duckdb
 import pytest
 
-import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare
 
