@@ -76,3 +76,34 @@ def test_driver_tables_use_declared_schemas(spark):
     assert dict(t["orders"].dtypes)["o_orderdate"] == "timestamp_ntz"
     assert t["lineitem"].where(F.col("l_returnflag") == "R").count() > 0
     assert set(t) >= {"lineitem", "orders", "customer", "supplier", "part", "nation"}
+
+
+def test_jdbc_and_file_sources_open_lazily(spark, tmp_path, monkeypatch):
+    import regstar.sources.layout as layout
+    from regstar.plans.dims import dim_country, dim_factory, dim_response
+
+    header = ",".join(f'"{f.name}"' for f in schemas.COUNTRIES.fields)
+    countries = _write(tmp_path / "c.csv", header + '\n"Poland","PL","POL",616,"ISO 3166-2:PL"\n')
+    f1 = _write(tmp_path / "f1.tsv", "F1\tAlpha\tPoland\n", bom=True)
+    f2 = _write(tmp_path / "f2.tsv", "F1\tAlpha\tGermany\n")
+    rh = ",".join(f'"{f.name}"' for f in schemas.RESPONSES.fields)
+    r1 = _write(tmp_path / "r1.csv", rh + '\n"C1",2009-06-01,"y"\n')
+    r2 = _write(tmp_path / "r2.csv", rh + '\n"C1",2009-06-01,"y"\n"C2",2009-07-01,"N"\n')
+    dic = _write(tmp_path / "d.tsv", "y\tApproved\nN\tDeclined\n")
+
+    calls = []
+    monkeypatch.setattr(layout, "_jdbc", lambda spark, url, table, creds, **part: calls.append((table, part)))
+    src = layout.jdbc_and_file_sources(
+        spark, jdbc_url="jdbc:postgresql://db/claims", countries=countries, factories=[f1, f2],
+        responses=[r1, r2], dictionary=dic, claim_partitions=64,
+    )
+    assert dim_country(src.countries).collect()[0].country_bk == "PL"
+    assert dim_factory(src.factories).count() == 2
+    assert sorted(r.response for r in dim_response(src.responses, src.dictionary).collect()) == ["Approved", "Declined"]
+    assert calls == []  # no table was opened for file-based dimensions
+    src.claim
+    assert calls == [("public.claim", {"partition_column": "submissiondate", "lower_bound": "1900-01-01",
+                                       "upper_bound": "2100-01-01", "num_partitions": 64})]
+    jdbc = jdbc_options("jdbc:postgresql://db/claims", "public.claim", partition_column="submissiondate",
+                        lower_bound="1900-01-01", upper_bound="2100-01-01", num_partitions=64)
+    assert jdbc["lowerBound"] == "1900-01-01" and jdbc["numPartitions"] == "64"
