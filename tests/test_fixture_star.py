@@ -197,3 +197,27 @@ def test_materialized_star_answers_the_same(spark, star):
     assert rows(Q.q3_top_price(m, NORDIC, 2011, "Q4")) == [("P1", "Alpha pill"), ("P2", "Beta pill")]
     a = Q.q2a_on_time_share(m).collect()[0]
     assert (a.on_time, a.total) == (4, 8)
+
+
+def test_duplicate_responses_multiply_rows_and_bad_dates_are_null(spark, fixture_sources):
+    """T7: two raw responses of one claim (``y`` and ``Y``) are two response
+    rows, so the claim appears twice in the fact (multiset semantics, as in
+    SQL). T17: a response date that is not a date becomes null and counts as
+    not answered on time."""
+    src = fixture_sources
+    extra = spark.createDataFrame(
+        [("C4", "2011-11-15", "Y"), ("C7", "not a date", "y")], schemas.RESPONSES
+    )
+    dup = Sources(
+        claim=src.claim, drugproduct=src.drugproduct, drugproductfamily=src.drugproductfamily,
+        indication=src.indication, countries=src.countries, factories=src.factories,
+        responses=list(src.responses) + [extra], dictionary=src.dictionary,
+    )
+    star = build_star(spark, dup)
+    fact = star.reimbursement(with_attributes=True)
+    assert fact.count() == 10  # 8 claims; C4 and C7 each gain a second response row
+    c7 = sorted((r.response_date is None, r.response) for r in fact.where("claimnumber = 'C7'").collect())
+    assert c7 == [(False, "Approved"), (True, "Approved")]
+    a = Q.q2a_on_time_share(star).collect()[0]
+    # On time: C4 twice, C7 once (its unparsable twin is not), C11, C13.
+    assert (a.on_time, a.total) == (5, 10)
