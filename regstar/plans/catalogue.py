@@ -398,6 +398,32 @@ def dq_fanout_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Surrogate ids held by more than one dimension row.
+
+    Ids are 64-bit hashes of raw rows, so an id shared by two rows is a hash
+    collision, or a source key that is not unique upstream (e.g. a product
+    whose family id is listed twice). The lookups rely on this being empty.
+    Spark's xxhash64 has no DuckDB equivalent, so this query has no SQL
+    oracle; it is tested against a brute-force count of the ids."""
+    star = build_star(spark, driver_sources(spark, sf_dir), check_small_dims=False)
+    checks = [
+        ("country", star.country, "country_id"),
+        ("factory", star.factory, "factory_id"),
+        ("indication", star.indication, "indication_id"),
+        ("product", star.product, "product_id"),
+        ("response", star.response, "response_id"),
+    ]
+    return union_all(
+        [
+            duplicate_keys(df.select(F.col(k).alias("id")), ["id"]).select(
+                F.lit(name).alias("dimension"), "id", "n_rows"
+            )
+            for name, df, k in checks
+        ]
+    )
+
+
 def dq_unmapped_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Response codes the dictionary does not know, with their row counts."""
     src = driver_sources(spark, sf_dir)
@@ -442,4 +468,5 @@ CATALOGUE: dict[str, Query] = {
     "dq_orphans": dq_orphans,
     "dq_fanout_guard": dq_fanout_guard,
     "dq_unmapped_codes": dq_unmapped_codes,
+    "dq_key_collisions": dq_key_collisions,
 }
