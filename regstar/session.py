@@ -31,7 +31,6 @@ PLANNER_SETTINGS = {
 # large enough that task overhead stays small.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 MIN_SHUFFLE_PARTITIONS = 200
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def scale_settings(input_bytes: int, *, target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
@@ -43,8 +42,7 @@ def scale_settings(input_bytes: int, *, target_partition_bytes: int = TARGET_PAR
     partitions towards the advisory size and splits skewed ones. Scan splits
     use the same target.
     """
-    parts = -(-max(int(input_bytes), 1) // target_partition_bytes)
-    parts = max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, parts))
+    parts = max(MIN_SHUFFLE_PARTITIONS, -(-max(int(input_bytes), 1) // target_partition_bytes))
     size = str(target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(parts),
@@ -67,46 +65,42 @@ def tune(spark: SparkSession, *, input_bytes: int | None = None) -> SparkSession
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint folder of the session's context.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Taken from ``spark.checkpoint.dir`` (the cluster's shared folder); only a
-    session without that setting (a local test) gets a fresh local one.
+    A session on a local master (a test), where every task runs on this
+    machine, gets a fresh local folder if the setting is missing. On a cluster
+    a missing setting is an error: executors could not see a local folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    base = spark.conf.get(CHECKPOINT_CONF, None)
+    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="regstar-ckpt-")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors of {master} share")
+        base = tempfile.mkdtemp(prefix="regstar-shared-")
         spark.conf.set(CHECKPOINT_CONF, base)
-    sc.setCheckpointDir(base)
-    return sc.getCheckpointDir()
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the reliable checkpoint folder and return a
-    frame that reads it back.
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder name under :func:`shared_root`."""
+    return posixpath.join(shared_root(spark), "regstar", *parts, uuid.uuid4().hex)
 
-    Used where one plan would otherwise evaluate the same expensive frame
-    twice (its two consumers prune different columns, so the planner cannot
-    share the exchanges). The data is written to the shared folder, so a lost
-    executor does not force a recomputation of the lineage.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`shared_dir` named, in whatever store holds it."""
+    if "/regstar/" not in path:
+        raise ValueError(f"{path} is not a folder of shared_dir")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is read from the session.
-    Only when it is unset (a local test session) is one created here.
-    """
-    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="regstar-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, base)
-        spark.sparkContext.setCheckpointDir(base)
-    return posixpath.join(base, "regstar", *parts, uuid.uuid4().hex)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and return a frame
+    that reads it back: columns are pruned and filters pushed on reading, and
+    a lost executor costs a re-read, not the lineage."""
+    path = shared_dir(df.sparkSession, "tables")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

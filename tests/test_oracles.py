@@ -7,14 +7,15 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare
 
-from oracle_queries import WITHOUT_ORACLE
+from oracle_queries import ORACLE_SQL, WITHOUT_ORACLE
+from regstar.plans.catalogue import CATALOGUE
 
-NAMES = sorted(set(E.queries()) - set(WITHOUT_ORACLE))
+NAMES = sorted(set(CATALOGUE) - set(WITHOUT_ORACLE))
 
 
 def test_every_query_has_an_oracle_or_a_brute_force_test():
-    assert set(E.oracle_sql()) == set(E.queries()) - set(WITHOUT_ORACLE)
-    assert set(WITHOUT_ORACLE) <= set(E.queries())
+    assert set(ORACLE_SQL) == set(CATALOGUE) - set(WITHOUT_ORACLE)
+    assert set(WITHOUT_ORACLE) <= set(CATALOGUE) <= set(E.queries())
 
 
 def test_key_collisions_against_brute_force(spark):
