@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from regstar.session import remove_dir, shared_dir
 
@@ -44,3 +45,20 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
     """Just these columns, by exact name, whatever other columns there are."""
     have = {c.lower(): c for c in df.columns}
     return df.select(*(df[f"`{have[n.lower()]}`"].alias(n) for n in names))
+
+
+def numbered(df: DataFrame, group: str, salt: Column, order: list, shared: SharedTables, *, rows_per_bucket: int):
+    """(frame, sizes): ``df`` with ``index``: 0, 1, ... within each value of ``group``, without
+    gathering a group in one task. Rows are ranked by ``salt`` and ``order``
+    within (group, hash bucket of salt), and the sizes of the group's buckets
+    before are added; those are a few numbers for each ``rows_per_bucket`` rows.
+    ``sizes`` has them as (group, bucket_, n_)."""
+    buckets = max(64, df.count() // rows_per_bucket)
+    df = df.withColumn("bucket_", F.pmod(salt, F.lit(buckets)))
+    sizes = shared.put(df.groupBy(group, "bucket_").agg(F.count("*").alias("n_")), f"sizes_of_{group}")
+    before = sizes.select(
+        group, "bucket_", (F.sum("n_").over(Window.partitionBy(group).orderBy("bucket_")) - F.col("n_")).alias("before_")
+    )
+    rank = F.row_number().over(Window.partitionBy(group, "bucket_").orderBy(salt, *order)) - 1
+    ranked = df.withColumn("rank_", rank).join(before, [group, "bucket_"])
+    return ranked.withColumn("index", F.col("rank_") + F.col("before_")).drop("bucket_", "before_", "rank_"), sizes
