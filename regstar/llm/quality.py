@@ -3,9 +3,9 @@
 Every rule is a condition under which a document fails. On a bounded sample
 each rule's cost (seconds to evaluate it alone) and selectivity (share of
 documents that it rejects) are measured, and the rules are ordered by
-rejection per cost. The cascade is one CASE expression in that order: a row
-that fails a rule is not given to the later ones. The order changes the time
-only, never the verdict.
+rejection per cost. In that order, what a rule needs is measured only where the
+rules before it passed (CASE WHEN skips the rest of a row that failed). The
+order changes the time only, never the verdict.
 
 Words are maximal runs of characters other than ``\\x20`` and ``\\x09-\\x0D``.
 
@@ -154,4 +154,7 @@ def judge(
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, **options) -> DataFrame:
     """The rows of ``docs`` that pass all rules, with their columns."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    return judge(docs.select("text", row.alias("row")), rules, **options).where("kept").select("row.*")
+    judged = judge(docs.select("text", row.alias("row")), rules, **options)
+    # Not a filter: the optimiser would copy the rules into it, down through
+    # every layer, and each layer multiplies the copies.
+    return judged.select(F.explode(F.when(F.col("kept"), F.array("row"))).alias("row")).select("row.*")
