@@ -177,7 +177,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable, max_rows: int) -
     return texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text", "toxic").limit(max_rows).toPandas()
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, usable, *, max_rows: int = 6000) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, usable, *, max_rows: int = 4000) -> DataFrame:
     """(doc_id, score) for each row of ``docs`` (doc_id, text), by a model of
     the ``labels`` (doc_id, toxic) for whose doc_id ``usable`` holds."""
     spark = for_workers(docs.sparkSession)
