@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Whitespace stripped from both ends of a key: blank, tab, newline, vertical
-# tab, form feed, carriage return (the \s class of Java regular expressions),
-# so tab-padded codes clean like blank-padded ones. Plain SQL TRIM would only
-# remove blanks.
-KEY_WHITESPACE = " \t\n\x0b\x0c\r"
+# The characters that Python's ``str.strip`` removes from both
+# ends of a text (ASCII white space, the separators U+001C to U+001F, U+0085,
+# the no-break space and the Unicode spaces).
+KEY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -31,21 +33,22 @@ def clean_bk(c: ColumnOrName) -> Column:
 
 
 # SQL body of the same expression, for SQL text (see ``register_sql_functions``).
-CLEAN_BK_SQL = "upper(btrim(s, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))))"
+CLEAN_BK_SQL = "upper(btrim(s, '" + "".join(f"\\u{ord(c):04x}" for c in KEY_WHITESPACE) + "'))"
 
 
 def surrogate_key(*cols: ColumnOrName) -> Column:
-    """Deterministic 64-bit key over the raw source columns of a dimension row.
+    """Deterministic 128-bit key over the raw source columns of a dimension row.
 
-    Computed per row (no sort, no shuffle, no dependence on partitioning).
-    Spark's hash skips null inputs, so each column's null flag is hashed next
-    to it; otherwise ``('a', null)`` and ``(null, 'a')`` would collide.
+    Computed per row (no sort, no shuffle, no dependence on partitioning): the
+    MD5, as 16 bytes, of the columns' texts, each with its length before it and
+    a mark for null, so that no two different rows give one text. With 64 bits
+    some pairs of 10^12 rows would collide; with 128 none is expected.
     """
-    parts: list[Column] = []
+    parts = []
     for c in cols:
-        col = _col(c)
-        parts.extend([col, col.isNull()])
-    return F.xxhash64(*parts)
+        text = _col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.md5(F.concat(*parts).cast("binary")))
 
 
 # Fixed values of the calendar dimension: first and last day, both included.

@@ -1,22 +1,24 @@
 """Reusable plan fragments built from DataFrame operators."""
 
-from regstar.operators.aggregates import arg_max_rows, share_between, share_of
-from regstar.operators.lookup import bounded_broadcast, lookup, role_lookup
+from regstar.operators.aggregates import arg_max_rows, share_of, weighted_share
+from regstar.operators.lookup import bounded_broadcast, lookup, repeats, role_lookup
 from regstar.operators.quality import duplicate_keys, orphans, orphans_by_key, unmapped_codes
-from regstar.operators.recode import recode, union_all, union_distinct
+from regstar.operators.recode import latest_source, recode, union_all, union_distinct
 
 __all__ = [
     "arg_max_rows",
     "bounded_broadcast",
     "duplicate_keys",
+    "latest_source",
     "lookup",
     "orphans",
     "orphans_by_key",
     "recode",
+    "repeats",
     "role_lookup",
-    "share_between",
     "share_of",
     "union_all",
     "union_distinct",
     "unmapped_codes",
+    "weighted_share",
 ]

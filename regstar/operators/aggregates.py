@@ -6,25 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def arg_max_rows(df: DataFrame, value: str, *, compute_once: bool = False) -> DataFrame:
-    """Rows of ``df`` whose ``value`` equals the maximum of ``value``; ties kept.
-
-    The maximum is a one-row aggregate (partial max per task, one tiny final
-    merge) joined back by equality, so the plan is a broadcast hash join
-    against a single row, never a global sort or single-partition window.
-    A null maximum (no rows, or only nulls) gives no rows. Compare a column
-    computed once, so a floating-point expression equals its own maximum.
-
-    ``df`` is read twice (for the maximum and for the rows). When it is an
-    expensive plan rather than a scan, ``compute_once`` checkpoints it first
-    (see ``regstar.session.cut_lineage``) so it is evaluated once.
+def arg_max_rows(df: DataFrame, value: str) -> DataFrame:
+    """Rows of ``df`` whose ``value`` equals the maximum of ``value``; ties and
+    repeated rows kept.
+
+    One pass over ``df``: equal rows are counted (pre-aggregated in each task),
+    the maximum is a one-row aggregate over these counts, and the rows that
+    reach it are joined back from the same counts. Both readers need every
+    column of the counts, so the planner runs their shuffle once and reuses
+    it; no checkpoint, no global sort, no single-partition window. A null
+    maximum (no rows, or only nulls) gives no rows.
     """
-    if compute_once:
-        from regstar.session import cut_lineage
+    names = df.columns
+    counted = df.groupBy(*names).agg(F.count("*").alias("__n"))
+    # The count takes part in the comparison (last), so that it is not pruned.
+    top = counted.agg(F.max(F.struct(value, "__n"))[value].alias("__max"))
+    tied = counted.join(F.broadcast(top), F.col(value) == F.col("__max"))
+    return tied.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*names)
+
 
-        df = cut_lineage(df)
-    top = df.agg(F.max(value).alias("__max"))
-    return df.join(F.broadcast(top), F.col(value) == F.col("__max"), "inner").drop("__max")
+def weighted_share(df: DataFrame, counted: Column, over: Column, weight: Column) -> DataFrame:
+    """One row (on_time, total, share): the weights of rows that meet
+    ``counted``, of rows that meet ``over``, and their ratio (null for an
+    empty total). One aggregation."""
+    of = lambda condition: F.coalesce(F.sum(F.when(condition, weight)), F.lit(0))
+    sums = df.agg(of(counted).alias("on_time"), of(over).alias("total"))
+    return sums.withColumn("share", F.try_divide(F.col("on_time").cast("double"), F.col("total").cast("double")))
 
 
 def share_of(df: DataFrame, condition: Column, *, numerator: str, total: str, share: str) -> DataFrame:
@@ -41,24 +48,3 @@ def share_of(df: DataFrame, condition: Column, *, numerator: str, total: str, sh
         total,
         F.try_divide(F.col(numerator).cast("double"), F.col(total).cast("double")).alias(share),
     )
-
-
-def share_between(
-    df: DataFrame,
-    numerator_condition: Column,
-    total_condition: Column,
-    *,
-    numerator: str,
-    total: str,
-    share: str,
-) -> DataFrame:
-    """Like :func:`share_of` with a denominator that counts a different subset
-    of the same rows (e.g. tagged rows of two unioned facts)."""
-    return df.agg(
-        F.count_if(numerator_condition).alias(numerator),
-        F.count_if(total_condition).alias(total),
-    ).select(
-        numerator,
-        total,
-        F.try_divide(F.col(numerator).cast("double"), F.col(total).cast("double")).alias(share),
-    )

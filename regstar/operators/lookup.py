@@ -18,16 +18,32 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regstar.session import cut_lineage
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only if it provably holds at most ``max_rows`` rows.
 
-    The proof reads at most ``max_rows + 1`` rows (a limit, not a full count).
-    Beyond the bound the frame is returned unhinted and the planner chooses
-    (shuffle join). Use for dimensions read from small tables or files.
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 16 << 20) -> DataFrame:
+    """``df``, with a broadcast hint only if it provably holds at most
+    ``max_rows`` rows and ``max_bytes`` bytes (as JSON text).
+
+    The list is computed once and written to the shared folder; the proof (one
+    job over the written list, which stops past ``max_rows``) and every later
+    use read it from there. Beyond a bound the frame has no hint and the
+    planner chooses (shuffle join). For code lists and small dimensions.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    table = cut_lineage(df)
+    size = F.octet_length(F.to_json(F.struct(*table.columns)))
+    held = table.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(size).alias("b")).first()
+    return F.broadcast(table) if held["n"] <= max_rows and (held["b"] or 0) <= max_bytes else table
+
+
+def repeats(dim: DataFrame, key: Column | str, name: str) -> DataFrame:
+    """Keys that more than one row of ``dim`` holds, as (``__<name>_key``,
+    ``__<name>_n``): what a lookup multiplies a fact row by. Such keys are
+    exceptions, so the list is broadcast once its size is proven."""
+    k, n = f"__{name}_key", f"__{name}_n"
+    column = F.col(key) if isinstance(key, str) else key
+    counted = dim.select(column.alias(k)).where(F.col(k).isNotNull()).groupBy(k).agg(F.count("*").alias(n))
+    return bounded_broadcast(counted.where(F.col(n) > 1))
 
 
 def lookup(

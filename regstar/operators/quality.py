@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 
 from regstar.operators.lookup import bounded_broadcast
 
-DICTIONARY_MAX_ROWS = 100_000
-
 
 def duplicate_keys(df: DataFrame, keys: Sequence[Column | str], *, n: str = "n_rows") -> DataFrame:
     """Keys held by more than one row, and keys that are null (primary key:
@@ -101,5 +99,5 @@ def unmapped_codes(
     Null codes are reported too: they match no dictionary entry either.
     """
     per_code = df.groupBy(F.col(code)).agg(F.count(F.lit(1)).alias(n))
-    d = bounded_broadcast(dictionary.select(F.col(from_col).alias("__from")), DICTIONARY_MAX_ROWS)
+    d = bounded_broadcast(dictionary.select(F.col(from_col).alias("__from")))
     return per_code.join(d, F.col(code).eqNullSafe(F.col("__from")), "left_anti")

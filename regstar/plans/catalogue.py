@@ -19,9 +19,9 @@ from regstar.functions import (
     date_key,
     date_of_key,
     has_price,
+    parse_date,
     price_amount,
     price_currency,
-    register_sql_functions,
 )
 from regstar.operators import (
     duplicate_keys,
@@ -36,7 +36,8 @@ from regstar.plans import dims as D
 from regstar.plans import questions as Q
 from regstar.plans import sql_forms as S
 from regstar.plans.calendar import dim_calendar
-from regstar.plans.star import Star, build_star
+from regstar.plans.facts import REGISTER, weighted_claims
+from regstar.plans.star import Star, build_star, materialize
 from regstar.session import shared_dir
 from regstar.sources import driver_sources, load_tables, read_delimited, schemas, write_delimited
 from regstar.sources.driver_tables import countries_source
@@ -48,8 +49,10 @@ Q3_QUARTER = "Q4"
 Q4_COUNTRY = "NH"
 Q4_START = date(1997, 1, 1)
 Q4_END = date(1999, 12, 31)
-UNION_SLICE_1 = (0, 14)  # supplier nations, inclusive
-UNION_SLICE_2 = (10, 24)
+# Two overlapping parts of the suppliers, by place of their nation in 25.
+UNION_NATIONS = 25
+UNION_PART_1_UNTIL = 14
+UNION_PART_2_FROM = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,7 +90,8 @@ def src_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _supplier_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     s = load_tables(spark, sf_dir, ("supplier",))["supplier"].select("s_suppkey", "s_name", "s_nationkey")
-    return [s.where(F.col("s_nationkey").between(*UNION_SLICE_1)), s.where(F.col("s_nationkey").between(*UNION_SLICE_2))]
+    place = F.col("s_nationkey") % UNION_NATIONS
+    return [s.where(place <= UNION_PART_1_UNTIL), s.where(place >= UNION_PART_2_FROM)]
 
 
 def src_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +102,31 @@ def src_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_distinct(_supplier_slices(spark, sf_dir))
 
 
+def src_files_factory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two factory lists written as headerless TSV (padded names, quotes,
+    empty and missing values), read in one scan, built into the dimension."""
+    base = shared_dir(spark, "files")
+    files = driver_sources(spark, sf_dir).factories
+    paths = [write_delimited(f, f"{base}/factories_{i}", header=False, sep="\t") for i, f in enumerate(files)]
+    read = read_delimited(spark, paths, schemas.FACTORIES, header=False, sep="\t")
+    return D.dim_factory([read]).drop("factory_id")
+
+
+def src_files_response(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping response files written as CSV with a header, and the
+    dictionary as TSV, read back and built into the dimension."""
+    base = shared_dir(spark, "files")
+    src = driver_sources(spark, sf_dir)
+    (rows,) = src.responses
+    line = F.substring_index(F.col(f"`{rows.columns[0]}`"), "-", -1).cast("int")
+    parts = [rows.where(line <= 4), rows.where(line >= 3)]
+    paths = [write_delimited(f, f"{base}/responses_{i}", header=True) for i, f in enumerate(parts)]
+    codes = write_delimited(src.dictionary, f"{base}/dictionary", header=False, sep="\t")
+    read = read_delimited(spark, paths, schemas.RESPONSES, header=True)
+    dictionary = read_delimited(spark, codes, schemas.RESPONSE_DICTIONARY, header=False, sep="\t")
+    return D.dim_response([read], dictionary).drop("response_id")
+
+
 # ---------------------------------------------------------------- functions
 
 
@@ -105,11 +134,12 @@ def bk_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands padded with blanks, tabs and newlines, in mixed case, or null,
     cleaned to business keys."""
     p = load_tables(spark, sf_dir, ("part",))["part"]
-    variant = F.col("p_partkey") % 4
+    variant = F.col("p_partkey") % 5
     raw = (
         F.when(variant == 0, F.concat(F.lit("  "), F.lower("p_brand"), F.lit("\t")))
         .when(variant == 1, F.col("p_brand"))
         .when(variant == 2, F.lit(None).cast("string"))
+        .when(variant == 3, F.concat(F.lit("\u00a0\u2003"), F.col("p_brand"), F.lit("\x1c\x85\u3000")))
         .otherwise(F.concat(F.lit("\n"), F.upper("p_brand"), F.lit(" \r")))
     )
     return p.select("p_partkey", raw.alias("raw_brand")).select(
@@ -161,20 +191,26 @@ def dim_response(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = driver_sources(spark, sf_dir)
-    return D.dim_product(src.drugproduct, src.drugproductfamily).drop("product_id")
+    return _star(spark, sf_dir).product.drop("product_id")
+
+
+def dim_factory_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factories where a later file replaces what an earlier one says."""
+    return D.dim_factory(driver_sources(spark, sf_dir).factories, dedupe="latest_source").drop("factory_id")
 
 
 def dim_calendar_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar rows of the days claims were submitted on, with the number of
-    claims per day. Claims are counted per day key first (partial
-    aggregation), then meet the broadcast calendar."""
+    """Every day of the calendar with the number of claims submitted on it.
+    Claims are counted per day key first (partial aggregation); what is left
+    is at most one row for each day."""
     claims = driver_sources(spark, sf_dir).claim
     per_day = claims.groupBy(date_key("submissiondate").alias("date_id")).agg(
         F.count(F.lit(1)).alias("n_claims")
     )
-    cal = F.broadcast(dim_calendar(spark))
-    return per_day.join(cal, "date_id").select("date", "year", "month", "day", "quarter", "n_claims")
+    days = dim_calendar(spark).join(per_day, "date_id", "left")
+    return days.select(
+        "date_id", "dt", "date", "year", "month", "day", "quarter", F.coalesce("n_claims", F.lit(0)).alias("n_claims")
+    )
 
 
 # ---------------------------------------------------------------- lookups and facts
@@ -186,7 +222,9 @@ def join_role_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     One calendar projection is broadcast once; the three role joins alias
     the same frame, so the planner reuses that broadcast for every role."""
     star = _star(spark, sf_dir)
-    fact = star.registration()
+    # Only the dates are shown: the other lookups count by their repeats.
+    claims = weighted_claims(star, (REGISTER,))
+    fact = claims.withColumn("time", F.explode(F.sequence(F.lit(1), F.col("weight"))))
     cal = F.broadcast(star.calendar.select("date_id", "year", "quarter"))
     out = fact.select("claimnumber", "submission_date_id", "expectedresponse_date_id", "response_date_id").alias("f")
     roles = (("submission", "submission_date_id"), ("expected", "expectedresponse_date_id"), ("response", "response_date_id"))
@@ -299,7 +337,7 @@ def q4a_top_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q4a_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.q4_sql(
         _star(spark, sf_dir), Q4_COUNTRY, Q4_START, Q4_END,
-        "try_divide(f.drug_price, f.reimbursement_claimed_prc)",
+        "try_divide(price, pct)",
     )
 
 
@@ -308,11 +346,27 @@ def q4b_top_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_view_question(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4.b as SQL text over the star's temp views, with ``format_bk``
-    available to SQL as an inlined SQL function."""
-    star = _star(spark, sf_dir)
-    register_sql_functions(spark)
-    return S.q4_sql(star, Q4_COUNTRY, Q4_START, Q4_END, "f.reimbursement_claimed_prc")
+    """Q4.b as SQL text over the star's temp views; its keys are cleaned by
+    ``format_bk``, an inlined SQL function."""
+    return S.q4_sql(_star(spark, sf_dir), Q4_COUNTRY, Q4_START, Q4_END, "pct")
+
+
+def q4_amount_granted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The highest amount granted (price times percentage) of approved claims."""
+    return Q.q4_top(
+        _star(spark, sf_dir), Q4_COUNTRY, Q4_START, Q4_END, measure="price_times_pct", approved_only=True
+    )
+
+
+def star_written_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 on the star as it is built and written."""
+    return Q.q3_top_price(materialize(_star(spark, sf_dir)), Q3_COUNTRIES, Q3_YEAR, Q3_QUARTER)
+
+
+def star_written_q4a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4.a on the star as it is built and written."""
+    star = materialize(_star(spark, sf_dir))
+    return Q.q4_top(star, Q4_COUNTRY, Q4_START, Q4_END, measure="price_over_pct")
 
 
 # ---------------------------------------------------------------- builds as SQL text
@@ -399,31 +453,29 @@ def dq_fanout_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Surrogate ids held by more than one dimension row.
-
-    Ids are 64-bit hashes of raw rows, so an id shared by two rows is a hash
-    collision, or a source key that is not unique upstream (e.g. a product
-    whose family id is listed twice). The lookups rely on this being empty.
-    Spark's xxhash64 has no DuckDB equivalent, so this query has no SQL
-    oracle; it is tested against a brute-force count of the ids."""
+    """Rows and distinct surrogate ids of each dimension: as many ids as
+    there are distinct raw rows, or two rows share an id."""
     star = build_star(spark, driver_sources(spark, sf_dir), check_small_dims=False)
-    checks = [
-        ("country", star.country, "country_id"),
-        ("factory", star.factory, "factory_id"),
-        ("indication", star.indication, "indication_id"),
-        ("product", star.product, "product_id"),
-        ("response", star.response, "response_id"),
-    ]
     return union_all(
         [
-            duplicate_keys(df.select(F.col(k).alias("id")), ["id"]).select(
-                F.lit(name).alias("dimension"), "id", "n_rows"
-            )
-            for name, df, k in checks
+            getattr(star, name)
+            .select(F.col(f"{name}_id").alias("id"))
+            .groupBy("id")
+            .agg(F.count("*").alias("n"))
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_ids"))
+            .select(F.lit(name).alias("dimension"), "n_rows", "n_ids")
+            for name in ("country", "factory", "indication", "product", "response")
         ]
     )
 
 
+def dq_unparsable_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Response dates that are given but are no dates, with their row counts."""
+    rows = D.response_rows(driver_sources(spark, sf_dir).responses)
+    bad = rows.where(F.col("response_date").isNotNull() & parse_date("response_date").isNull())
+    return bad.groupBy("response_date").agg(F.count("*").alias("n_rows"))
+
+
 def dq_unmapped_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Response codes the dictionary does not know, with their row counts."""
     src = driver_sources(spark, sf_dir)
@@ -433,6 +485,8 @@ def dq_unmapped_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CATALOGUE: dict[str, Query] = {
     "src_delimited_roundtrip": src_delimited_roundtrip,
+    "src_files_factory": src_files_factory,
+    "src_files_response": src_files_response,
     "src_union_all": src_union_all,
     "src_union_distinct": src_union_distinct,
     "bk_clean": bk_clean,
@@ -440,6 +494,7 @@ CATALOGUE: dict[str, Query] = {
     "dim_country": dim_country,
     "dim_indication": dim_indication,
     "dim_factory": dim_factory,
+    "dim_factory_latest": dim_factory_latest,
     "dim_response": dim_response,
     "dim_product": dim_product,
     "dim_calendar": dim_calendar_q,
@@ -460,6 +515,9 @@ CATALOGUE: dict[str, Query] = {
     "q4a_sql": q4a_sql,
     "q4b_top_percent": q4b_top_percent,
     "sql_view_question": sql_view_question,
+    "q4_amount_granted": q4_amount_granted,
+    "star_written_q3": star_written_q3,
+    "star_written_q4a": star_written_q4a,
     "dim_product_sql": dim_product_sql,
     "dim_response_sql": dim_response_sql,
     "fact_registration_sql": fact_registration_sql,
@@ -469,4 +527,5 @@ CATALOGUE: dict[str, Query] = {
     "dq_fanout_guard": dq_fanout_guard,
     "dq_unmapped_codes": dq_unmapped_codes,
     "dq_key_collisions": dq_key_collisions,
+    "dq_unparsable_dates": dq_unparsable_dates,
 }

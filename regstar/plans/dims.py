@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regstar.functions import clean_bk, parse_date, surrogate_key
-from regstar.operators import recode, union_distinct
+from regstar.operators import latest_source, recode, union_distinct
 from regstar.sources.schemas import COUNTRY_COLUMNS, FACTORIES, RESPONSE_COLUMNS
 
 
@@ -26,18 +26,27 @@ def dim_country(countries: DataFrame) -> DataFrame:
     )
 
 
-def factory_rows(factories: Sequence[DataFrame]) -> DataFrame:
-    """Distinct raw rows of all factory files (code, name, country)."""
+def _rows(files: list[DataFrame], key: str, dedupe: str) -> DataFrame:
+    if dedupe == "latest_source":
+        return latest_source(files, clean_bk(key))
+    if dedupe != "rows":
+        raise ValueError("dedupe is 'rows' or 'latest_source'")
+    return union_distinct(files)
+
+
+def factory_rows(factories: Sequence[DataFrame], dedupe: str = "rows") -> DataFrame:
+    """Distinct raw rows of all factory files (code, name, country); with
+    ``dedupe='latest_source'`` only those of the last file that lists a code."""
     names = [f.name for f in FACTORIES.fields]
-    return union_distinct([f.toDF(*names) for f in factories])
+    return _rows([f.toDF(*names) for f in factories], "code", dedupe)
 
 
-def dim_factory(factories: Sequence[DataFrame]) -> DataFrame:
+def dim_factory(factories: Sequence[DataFrame], dedupe: str = "rows") -> DataFrame:
     """Grain: a distinct raw (code, name, country) row, not a code. A code
     listed with two names or two countries gives two rows (see
     ``quality.duplicate_keys`` on ``factory_bk``). The code is cleaned after
     de-duplication, so ``'F105 '`` and ``'F105'`` would be two rows."""
-    rows = factory_rows(factories)
+    rows = factory_rows(factories, dedupe)
     return rows.select(
         clean_bk("code").alias("factory_bk"),
         F.col("name").alias("factory_name"),
@@ -54,16 +63,17 @@ def dim_indication(indication: DataFrame) -> DataFrame:
     )
 
 
-def response_rows(responses: Sequence[DataFrame]) -> DataFrame:
-    """Distinct raw response rows of all response files."""
-    return union_distinct([r.toDF(*RESPONSE_COLUMNS) for r in responses])
+def response_rows(responses: Sequence[DataFrame], dedupe: str = "rows") -> DataFrame:
+    """Distinct raw response rows of all response files; with
+    ``dedupe='latest_source'`` only those of the last file that has a claim."""
+    return _rows([r.toDF(*RESPONSE_COLUMNS) for r in responses], "claim_number", dedupe)
 
 
-def dim_response(responses: Sequence[DataFrame], dictionary: DataFrame) -> DataFrame:
+def dim_response(responses: Sequence[DataFrame], dictionary: DataFrame, dedupe: str = "rows") -> DataFrame:
     """Recoded responses. Grain: a distinct raw response row whose code the
     dictionary knows (unknown codes drop; ``quality.unmapped_codes``).
     The date text is parsed once; unparsable text becomes null."""
-    rows = response_rows(responses)
+    rows = response_rows(responses, dedupe)
     coded = recode(rows, dictionary, code="response", out="__recoded")
     return coded.select(
         surrogate_key("claim_number", "response_date", "response").alias("response_id"),

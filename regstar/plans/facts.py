@@ -1,12 +1,11 @@
 """Fact tables: claims of one type with their dimension keys.
 
 Plan shape (per fact): the claim scan is filtered on ``claimtype`` and pruned
-to the columns used (both reach the scan); date keys are computed, not joined;
-then come the lookups whose dimensions grow with the data (product, response:
-shuffle joins re-planned by AQE from runtime sizes), and last the lookups into
-small dimensions (indication, country, factory roles: broadcast, pipelined in
-one stage). A lookup that fans out (non-unique dimension key) comes after the
-shuffles so the extra rows are never shuffled.
+to the columns used; date keys are computed, not joined; then come the lookups
+into small lists (country, indication: broadcast, pipelined with the scan),
+then those whose dimensions grow with the data (response, product: shuffle
+joins re-planned by AQE from runtime sizes), and last the factory roles, whose
+codes are not unique, so that the extra rows are never shuffled.
 
 ``with_attributes=True`` also carries the business attributes the questions
 need (product key and name, response text and date, country code, ...) out of
@@ -15,6 +14,8 @@ the same joins, so no question has to join a dimension a second time by id.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,26 +65,39 @@ ATTRIBUTE_COLUMNS = (
 )
 
 
-def _shared_lookups(star: Star, claims: DataFrame, with_attributes: bool) -> DataFrame:
-    extra = with_attributes
-    f = lookup(
-        claims,
-        star.product,
-        fact_key=clean_bk("productcodeid"),
-        dim_key="product_bk",
-        carry={"product_id": "product_id", **({"product_bk": "product_bk", "product_name": "product_name"} if extra else {})},
-        name="product",
+def _country(star: Star, f: DataFrame, extra: bool, only: Iterable[str] | None = None) -> DataFrame:
+    """Country lookup; with ``only``, an inner one with these countries, which
+    so filters the claims before anything is shuffled."""
+    dim = star.country if only is None else star.country.where(F.col("country_bk").isin(list(only)))
+    return lookup(
+        f,
+        dim,
+        fact_key=clean_bk("countrycode"),
+        dim_key=clean_bk("country_bk"),
+        carry={"country_id": "country_id", **({"country_bk": "country_bk"} if extra else {})},
+        how="left" if only is None else "inner",
+        name="country",
     )
+
+
+def _response(star: Star, f: DataFrame, extra: bool, only: Column | None = None) -> DataFrame:
+    """Response lookup and the day of the answer; with ``only``, an inner one
+    with the responses that meet this condition."""
+    dim = star.response if only is None else star.response.where(only)
     f = lookup(
         f,
-        star.response,
+        dim,
         fact_key=F.col("claimnumber"),
         dim_key="response_bk",
         carry={"response_id": "response_id", "response_date": "response_date", **({"response": "response"} if extra else {})},
+        how="left" if only is None else "inner",
         name="response",
     )
-    f = f.withColumn("response_date_id", date_key("response_date"))
-    f = lookup(
+    return f.withColumn("response_date_id", date_key("response_date"))
+
+
+def _indication(star: Star, f: DataFrame, extra: bool) -> DataFrame:
+    return lookup(
         f,
         star.indication,
         fact_key=clean_bk("indicationid"),
@@ -91,15 +105,79 @@ def _shared_lookups(star: Star, claims: DataFrame, with_attributes: bool) -> Dat
         carry={"indication_id": "indication_id", **({"indication_bk": "indication_bk"} if extra else {})},
         name="indication",
     )
-    f = lookup(
+
+
+def _product(star: Star, f: DataFrame, extra: bool) -> DataFrame:
+    return lookup(
         f,
-        star.country,
-        fact_key=clean_bk("countrycode"),
-        dim_key=clean_bk("country_bk"),
-        carry={"country_id": "country_id", **({"country_bk": "country_bk"} if extra else {})},
-        name="country",
+        star.product,
+        fact_key=clean_bk("productcodeid"),
+        dim_key="product_bk",
+        carry={"product_id": "product_id", **({"product_bk": "product_bk", "product_name": "product_name"} if extra else {})},
+        name="product",
+    )
+
+
+def _shared_lookups(star: Star, claims: DataFrame, with_attributes: bool) -> DataFrame:
+    """Small lists first (broadcast, no shuffle), then response and product."""
+    f = _country(star, claims, with_attributes)
+    f = _indication(star, f, with_attributes)
+    f = _response(star, f, with_attributes)
+    return _product(star, f, with_attributes)
+
+
+def offers(star: Star, countries: Iterable[str], answers: Column) -> DataFrame:
+    """Priced reimbursement claims of ``countries`` whose response (a row of
+    the response dimension) meets ``answers``: product_key, drug_price,
+    reimbursement_claimed_prc. The country filter is applied right after the
+    claims' scan, then the responses join; the product is not looked up."""
+    f = _country(star, _claims(star, (REFUND,)), False, countries)
+    f = _response(star, f, False, answers)
+    f = _indication(star, f, False)
+    return f.select(
+        clean_bk("productcodeid").alias("product_key"),
+        price_amount("drugprice").alias("drug_price"),
+        F.col("reimbursementprct").alias("reimbursement_claimed_prc"),
     )
-    return f
+
+
+def with_products(star: Star, rows: DataFrame) -> DataFrame:
+    """Product attributes of ``rows`` (product_key); unknown products drop."""
+    carry = {"product_bk": "product_bk", "product_name": "product_name"}
+    return lookup(rows, star.product, fact_key=F.col("product_key"), dim_key="product_bk", carry=carry, how="inner")
+
+
+def weighted_claims(star: Star, claimtypes: tuple[str, ...], *, answers: bool = True) -> DataFrame:
+    """Claims of the facts of ``claimtypes``, each with ``weight``, the number
+    of fact rows it makes: a lookup matters to a count only where its key is
+    held by several rows of the dimension, and those keys are a short list.
+    With ``answers`` the responses are joined in earnest (response and
+    response_date_id); else they too are only counted."""
+    f = _claims(star, claimtypes)
+    weight = F.lit(1).cast("long")
+    keys = {
+        "country": clean_bk("countrycode"),
+        "indication": clean_bk("indicationid"),
+        "product": clean_bk("productcodeid"),
+    }
+    if not answers:
+        keys["response"] = F.col("claimnumber")
+    roles = [(name, name, key, None) for name, key in keys.items()]
+    if REGISTER in claimtypes:
+        register = F.col("claimtype") == REGISTER
+        roles += [("factory", f"factory_{r}", clean_bk(f"factory{r}"), register) for r in FACTORY_ROLES]
+    for name, role, key, only in roles:
+        many = star.repeats(name).select(
+            F.col(f"__{name}_key").alias(f"__{role}_k"), F.col(f"__{name}_n").alias(f"__{role}_times")
+        )
+        f = f.join(many, key == F.col(f"__{role}_k"), "left").drop(f"__{role}_k")
+        times = F.coalesce(f"__{role}_times", F.lit(1))
+        weight = weight * (times if only is None else F.when(only, times).otherwise(F.lit(1)))
+    cols = ["claimtype", "claimnumber", "submission_date_id", "expectedresponse_date_id", weight.alias("weight")]
+    if answers:
+        f = _response(star, f, True)
+        cols += ["response", "response_date_id"]
+    return f.select(*cols)
 
 
 REGISTER = "REGISTER"
@@ -133,8 +211,7 @@ def _claims(star: Star, claimtypes: tuple[str, ...]) -> DataFrame:
 def claim_lookups(star: Star, claimtypes: tuple[str, ...], *, with_attributes: bool = False) -> DataFrame:
     """Claims of ``claimtypes`` with the lookups both facts share (product,
     response, indication, country, date keys). Both facts are finished from
-    this frame: ``both_facts`` checkpoints it and ``materialize`` writes it,
-    so the lookups run once for the two facts."""
+    this frame; ``materialize`` writes it, so the lookups run once."""
     return _shared_lookups(star, _claims(star, claimtypes), with_attributes)
 
 
@@ -184,16 +261,3 @@ def reimbursement_fact(star: Star, *, with_attributes: bool = False) -> DataFram
     indication, three date roles, country and response keys."""
     f = claim_lookups(star, (REFUND,), with_attributes=with_attributes)
     return finish_reimbursement(f, with_attributes=with_attributes)
-
-
-def both_facts(star: Star, *, with_attributes: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(registration, reimbursement) finished from one computation of the
-    shared lookups: the two facts prune different columns, so without the
-    checkpoint a plan using both would run every shared shuffle twice."""
-    from regstar.session import cut_lineage
-
-    f = cut_lineage(claim_lookups(star, (REGISTER, REFUND), with_attributes=with_attributes))
-    return (
-        finish_registration(f, star, with_attributes=with_attributes),
-        finish_reimbursement(f, with_attributes=with_attributes),
-    )

@@ -12,8 +12,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regstar.operators import arg_max_rows, share_between, share_of
-from regstar.plans.star import Star
+from regstar.functions import date_key, quarter_label
+from regstar.operators import arg_max_rows, union_all, weighted_share
+from regstar.plans.facts import REFUND, REGISTER, offers, weighted_claims, with_products
+from regstar.plans.star import Star, in_countries
 
 APPROVED = "Approved"
 
@@ -31,8 +33,15 @@ def claims_per_year(fact: DataFrame, star: Star) -> DataFrame:
 
 
 def q1_claims_per_year(star: Star) -> DataFrame:
-    """Q1: registration claims per submission year."""
-    return claims_per_year(star.registration(), star)
+    """Q1: registration claims per submission year. On a star that is not
+    written, claims are counted by day with their weights: no fact is built."""
+    if star.facts_written:
+        return claims_per_year(star.registration(), star)
+    claims = weighted_claims(star, (REGISTER,), answers=False)
+    per_day = claims.groupBy("submission_date_id").agg(F.sum("weight").alias("n"))
+    cal = F.broadcast(star.calendar.select("date_id", "year"))
+    days = per_day.join(cal, per_day.submission_date_id == cal.date_id)
+    return days.groupBy("year").agg(F.sum("n").alias("count")).orderBy("year")
 
 
 def on_time_approved() -> Column:
@@ -44,35 +53,35 @@ def on_time_approved() -> Column:
     )
 
 
+def _claims_with_answers(star: Star, *claimtypes: str) -> DataFrame:
+    """claimtype, response and date keys, weight: of written facts, or of the
+    claims themselves (both claim types in one pass)."""
+    if not star.facts_written:
+        return weighted_claims(star, claimtypes)
+    parts = []
+    for claimtype in claimtypes:
+        fact = star.registration(with_attributes=True) if claimtype == REGISTER else star.reimbursement(with_attributes=True)
+        cols = ("response", "response_date_id", "expectedresponse_date_id")
+        parts.append(fact.select(F.lit(claimtype).alias("claimtype"), *cols, F.lit(1).cast("long").alias("weight")))
+    return union_all(parts)
+
+
 def q2a_on_time_share(star: Star) -> DataFrame:
     """Q2.a: share of reimbursement claims approved on time."""
-    fact = star.reimbursement(with_attributes=True)
-    return share_of(fact, on_time_approved(), numerator="on_time", total="total", share="share")
+    claims = _claims_with_answers(star, REFUND)
+    return weighted_share(claims, on_time_approved(), F.lit(True), F.col("weight"))
 
 
 def q2b_share(star: Star, *, denominator: str = "reimbursement") -> DataFrame:
     """Q2.b: registration claims approved on time, over the number of
     ``denominator`` claims: ``'reimbursement'`` (as the modelled program
     computes it) or ``'registration'`` (its SQL form)."""
-    if denominator == "registration":
-        reg = star.registration(with_attributes=True)
-        return share_of(reg, on_time_approved(), numerator="on_time", total="total", share="share")
-    if denominator != "reimbursement":
+    over = {"reimbursement": REFUND, "registration": REGISTER}.get(denominator)
+    if over is None:
         raise ValueError("denominator is 'reimbursement' or 'registration'")
-    # Both facts from one computation of their shared lookups.
-    reg, reimb = star.both_facts(with_attributes=True)
-    cols = ["response", "response_date_id", "expectedresponse_date_id"]
-    both = reg.select(F.lit(True).alias("__reg"), *cols).unionByName(
-        reimb.select(F.lit(False).alias("__reg"), *cols)
-    )
-    return share_between(
-        both,
-        F.col("__reg") & on_time_approved(),
-        ~F.col("__reg"),
-        numerator="on_time",
-        total="total",
-        share="share",
-    )
+    claims = _claims_with_answers(star, *dict.fromkeys((REGISTER, over)))
+    kind = F.col("claimtype")
+    return weighted_share(claims, (kind == REGISTER) & on_time_approved(), kind == over, F.col("weight"))
 
 
 def q3_top_price(
@@ -87,15 +96,16 @@ def q3_top_price(
     The maximum is taken over all matching claims; only then are claims whose
     product is unknown dropped (the product lookup is an inner join in the
     second step only)."""
-    cal = F.broadcast(
-        star.calendar.where((F.col("year") == year) & (F.col("quarter") == quarter)).select("date_id")
-    )
-    fact = star.reimbursement(with_attributes=True)
-    rows = fact.where(
-        (F.col("response") == APPROVED) & F.col("country_bk").isin(list(countries))
-    ).join(cal, fact.response_date_id == cal.date_id)
-    top = arg_max_rows(rows, "drug_price", compute_once=not star.facts_written)
-    return top.where(F.col("product_id").isNotNull()).select("product_bk", "product_name").distinct()
+    if star.facts_written:
+        cal = star.calendar.where((F.col("year") == year) & (F.col("quarter") == quarter)).select("date_id")
+        fact = in_countries(star.reimbursement(with_attributes=True), countries)
+        rows = fact.where(F.col("response") == APPROVED).join(cal, fact.response_date_id == cal.date_id)
+        top = arg_max_rows(rows.select("product_id", "product_bk", "product_name", "drug_price"), "drug_price")
+        return top.where(F.col("product_id").isNotNull()).select("product_bk", "product_name").distinct()
+    day = F.col("response_date")
+    answers = (F.col("response") == APPROVED) & (F.year(day) == year) & (quarter_label(day) == quarter)
+    rows = offers(star, countries, answers & date_key(day).isNotNull()).select("product_key", "drug_price").distinct()
+    return with_products(star, arg_max_rows(rows, "drug_price")).select("product_bk", "product_name").distinct()
 
 
 MEASURES = {
@@ -121,15 +131,18 @@ def q4_top(
     percentage gives null), ``pct`` (Q4.b), or ``price_times_pct`` (the
     amount granted, which the Q4.a title asks for). ``approved_only`` adds the
     approval filter the modelled questions lack."""
-    cal = F.broadcast(star.calendar.where(F.col("dt").between(start, end)).select("date_id"))
-    fact = star.reimbursement(with_attributes=True)
-    rows = fact.where(F.col("country_bk") == country)
-    if approved_only:
-        rows = rows.where(F.col("response") == APPROVED)
-    rows = rows.join(cal, fact.response_date_id == cal.date_id).withColumn(
-        "__measure", MEASURES[measure]()
-    )
-    top = arg_max_rows(rows, "__measure", compute_once=not star.facts_written)
-    return top.where(F.col("product_id").isNotNull()).select(
-        "product_bk", "product_name", "reimbursement_claimed_prc", "drug_price"
-    )
+    if star.facts_written:
+        cal = star.calendar.where(F.col("dt").between(start, end)).select("date_id")
+        fact = in_countries(star.reimbursement(with_attributes=True), [country])
+        if approved_only:
+            fact = fact.where(F.col("response") == APPROVED)
+        rows = fact.join(cal, fact.response_date_id == cal.date_id).withColumn("measure", MEASURES[measure]())
+        cols = ("product_id", "product_bk", "product_name", "reimbursement_claimed_prc", "drug_price", "measure")
+        top = arg_max_rows(rows.select(*cols), "measure").where(F.col("product_id").isNotNull())
+    else:
+        answers = F.col("response_date").between(start, end) & date_key("response_date").isNotNull()
+        if approved_only:
+            answers = answers & (F.col("response") == APPROVED)
+        rows = offers(star, [country], answers).withColumn("measure", MEASURES[measure]())
+        top = with_products(star, arg_max_rows(rows, "measure"))
+    return top.select("product_bk", "product_name", "reimbursement_claimed_prc", "drug_price")

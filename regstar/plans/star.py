@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regstar.operators import bounded_broadcast
+from regstar.functions import clean_bk
+from regstar.operators import bounded_broadcast, repeats
 from regstar.plans import dims as D
 from regstar.plans.calendar import dim_calendar
+from regstar.session import remove_dir, shared_dir
 from regstar.sources import Sources
 
-# Largest dimension, in rows, that a code list (country, factory,
-# indication) may have to be hinted as a broadcast side. Checked at run time
-# by ``bounded_broadcast``; beyond it the planner decides.
-SMALL_DIM_ROWS = 100_000
-
 DIMENSIONS = ("country", "factory", "indication", "response", "product", "calendar")
-# Code lists whose row count is proven before they are broadcast.
+# Code lists whose size is proven before they are broadcast.
 SMALL_DIMENSIONS = ("country", "factory", "indication")
 FACTS = ("registration_claim", "reimbursement_claim")
+# Written facts are partitioned by this text of the country code, which is
+# never empty or null, so that the code itself stays as it is.
+COUNTRY_PART = "country_part"
 
 
 class Star:
@@ -46,6 +46,7 @@ class Star:
         self.check_small_dims = check_small_dims
         self._dims: dict[str, DataFrame] = dict(dims or {})
         self.facts: dict[str, DataFrame] = dict(facts or {})
+        self._repeats: dict[str, DataFrame] = {}
 
     def _dim(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._dims:
@@ -53,7 +54,7 @@ class Star:
         return self._dims[name]
 
     def _small(self, df: DataFrame) -> DataFrame:
-        return bounded_broadcast(df, SMALL_DIM_ROWS) if self.check_small_dims else df
+        return bounded_broadcast(df) if self.check_small_dims else df
 
     @property
     def country(self) -> DataFrame:
@@ -79,9 +80,17 @@ class Star:
     @property
     def product(self) -> DataFrame:
         return self._dim(
-            "product", lambda: D.dim_product(self.sources.drugproduct, self.sources.drugproductfamily)
+            "product",
+            lambda: D.dim_product(self.sources.drugproduct, self._small(self.sources.drugproductfamily)),
         )
 
+    def repeats(self, name: str) -> DataFrame:
+        """Business keys that several rows of dimension ``name`` hold (proven
+        small and written once)."""
+        if name not in self._repeats:
+            self._repeats[name] = repeats(getattr(self, name), clean_bk(f"{name}_bk"), name)
+        return self._repeats[name]
+
     @property
     def calendar(self) -> DataFrame:
         """Calendar: 73,050 rows by construction, so always a broadcast side
@@ -108,34 +117,13 @@ class Star:
     def facts_written(self) -> bool:
         return all(name in self.facts for name in FACTS)
 
-    def both_facts(self, *, with_attributes: bool = False) -> tuple[DataFrame, DataFrame]:
-        """(registration, reimbursement). Unless the facts are already
-        written, the lookups they share are computed once (checkpointed) and
-        both facts are finished from that."""
-        if self.facts_written:
-            return (
-                self.registration(with_attributes=with_attributes),
-                self.reimbursement(with_attributes=with_attributes),
-            )
-        from regstar.plans.facts import both_facts
-
-        return both_facts(self, with_attributes=with_attributes)
-
-    def register_views(self, *, compute_once: tuple[str, ...] = ()) -> None:
-        """Temp views under the names the SQL forms use. Fact views named in
-        ``compute_once`` (SQL that reads the fact twice, e.g. in a scalar
-        subquery and outside it) are checkpointed unless already written;
-        the other views stay lazy plans."""
-        from regstar.session import cut_lineage
-
+    def register_views(self) -> None:
+        """Temp views under the names the SQL forms use; all are lazy plans."""
         self.sources.claim.createOrReplaceTempView("claim_src")
         for name in DIMENSIONS:
             getattr(self, name).createOrReplaceTempView(f"dim_{name}")
-        for view, build in (("fact_registration", self.registration), ("fact_reimbursement", self.reimbursement)):
-            df = build()
-            if view in compute_once and not self.facts_written:
-                df = cut_lineage(df)
-            df.createOrReplaceTempView(view)
+        self.registration(with_attributes=True).createOrReplaceTempView("fact_registration")
+        self.reimbursement(with_attributes=True).createOrReplaceTempView("fact_reimbursement")
 
 
 def build_star(spark: SparkSession, sources: Sources, *, check_small_dims: bool = True) -> Star:
@@ -156,8 +144,6 @@ def materialize(star: Star, path: str | None = None) -> Star:
     twice. The default location is a fresh folder under
     ``spark.checkpoint.dir``.
     """
-    from regstar.session import shared_dir
-
     spark = star.spark
     base = path or shared_dir(spark, "star")
     for name in DIMENSIONS:
@@ -166,17 +152,17 @@ def materialize(star: Star, path: str | None = None) -> Star:
     dims["calendar"] = F.broadcast(dims["calendar"])
     if star.check_small_dims:
         for name in SMALL_DIMENSIONS:
-            dims[name] = bounded_broadcast(dims[name], SMALL_DIM_ROWS)
+            dims[name] = bounded_broadcast(dims[name])
     from regstar.plans.facts import REFUND, REGISTER, claim_lookups, finish_registration, finish_reimbursement
 
     written = Star(spark, star.sources, check_small_dims=star.check_small_dims, dims=dims)
     # The lookups both facts share run once and are written, partitioned by
     # claim type; each fact is finished from its own partition (the claim
-    # type filter prunes the other one at planning time).
-    claim_lookups(written, (REGISTER, REFUND), with_attributes=True).write.mode("overwrite").partitionBy(
-        "claimtype"
-    ).parquet(f"{base}/_claim_lookups")
-    shared = spark.read.parquet(f"{base}/_claim_lookups")
+    # type filter prunes the other one at planning time). They are removed
+    # when both facts are written.
+    lookups = shared_dir(spark, "claim_lookups")
+    claim_lookups(written, (REGISTER, REFUND), with_attributes=True).write.partitionBy("claimtype").parquet(lookups)
+    shared = spark.read.parquet(lookups)
     finish_registration(shared, written, with_attributes=True).write.mode("overwrite").parquet(
         f"{base}/registration_claim"
     )
@@ -185,13 +171,28 @@ def materialize(star: Star, path: str | None = None) -> Star:
     # rebalance hint lets AQE split a country holding many claims over
     # several writers and merge small ones, so neither file count nor one
     # writer's load follows the skew.
-    reimb = finish_reimbursement(shared, with_attributes=True)
-    reimb.hint("rebalance", "country_bk").write.mode("overwrite").partitionBy("country_bk").parquet(
+    reimb = finish_reimbursement(shared, with_attributes=True).withColumn(COUNTRY_PART, country_part("country_bk"))
+    reimb.hint("rebalance", COUNTRY_PART).write.mode("overwrite").partitionBy(COUNTRY_PART).parquet(
         f"{base}/reimbursement_claim"
     )
+    remove_dir(spark, lookups)
     facts = {
         "registration_claim": spark.read.parquet(f"{base}/registration_claim"),
-        # Read with the written schema: partition values such as ``NA`` stay text.
         "reimbursement_claim": spark.read.schema(reimb.schema).parquet(f"{base}/reimbursement_claim"),
     }
     return Star(spark, star.sources, check_small_dims=star.check_small_dims, dims=dims, facts=facts)
+
+
+def country_part(code) -> Column:
+    """The partition text of a country code."""
+    column = F.col(code) if isinstance(code, str) else code
+    return F.concat(F.lit("code_"), F.coalesce(column, F.lit("")))
+
+
+def in_countries(fact: DataFrame, countries) -> DataFrame:
+    """Rows of a written fact of these countries; only their folders are read."""
+    codes = list(countries)
+    rows = fact.where(F.col("country_bk").isin(codes))
+    if COUNTRY_PART in fact.columns:
+        rows = rows.where(F.col(COUNTRY_PART).isin([f"code_{c}" for c in codes]))
+    return rows

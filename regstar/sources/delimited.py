@@ -34,12 +34,14 @@ def read_delimited(
         .option("header", header)
         .option("sep", sep)
         .option("encoding", "UTF-8")
+        .option("escape", '"')
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
     )
     if header:
         reader = reader.option("enforceSchema", not strict)
-    if null_value is not None:
-        reader = reader.option("nullValue", null_value)
+    # An empty field is null, a quoted empty one is empty text. Spark reads
+    # both as null unless null has another marker; no text holds this one.
+    reader = reader.option("nullValue", "\x00" if null_value is None else null_value)
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
@@ -52,6 +54,20 @@ def read_tsv(spark: SparkSession, paths, schema: StructType, **kw) -> DataFrame:
 
 
 def write_delimited(df: DataFrame, path: str, *, header: bool, sep: str = ",") -> str:
-    """Write a frame as delimited text (one file per task) and return the path."""
-    df.write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+    """Write a frame as delimited text (one file per task) and return the path.
+
+    Values come back from :func:`read_delimited` as they were: blanks at the
+    edges are kept, quotes are doubled, empty text is written in quotes and
+    null as nothing. (A line break inside a value is not supported.)"""
+    (
+        df.write.mode("overwrite")
+        .option("header", header)
+        .option("sep", sep)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("escape", '"')
+        .option("nullValue", "")
+        .option("emptyValue", '""')
+        .csv(path)
+    )
     return path

@@ -14,10 +14,11 @@ supplier):
 - claim type     ``l_returnflag``: ``R`` REGISTER, ``A`` REFUND, ``N`` OTHER
 - dates          submission ``o_orderdate``; expected answer 60 days later
 - country        the customer's nation, code ``N`` + letter (nation 0 is
-                 ``NA``, which must stay text)
+                 ``NA``, which must stay text; nation 26 is ``NA1``)
 - indication     the customer's market segment
-- product        the part (``PRD<l_partkey>``); the product catalogue omits
-                 parts larger than size 45, so some claims are orphans
+- product        the part (``PRD<l_partkey>``); every 29th part is claimed
+                 under ``PRX``, a code no product carries, so some claims are
+                 orphans
 - family         the part type; the family table omits ``PROMO`` types
 - factories      REGISTER rows only (others carry empty text, which matches
                  nothing): api = supplier's nation, bulk = customer's nation,
@@ -27,10 +28,13 @@ supplier):
 - percentage     ``round(l_discount * 100)``, zeros included
 - responses      one row per claim number: latest ship date (as text) and the
                  order status as the raw code (``F``, ``O``; ``P`` is a code
-                 the dictionary does not know)
-- factories file two overlapping nation ranges; factory 11 has two countries,
-                 factory 12 two names (so lookups fan out), factory 5 carries
-                 a trailing blank in the first file
+                 the dictionary does not know); every 97th order answers on a
+                 date that is no date (``unknown``)
+- factories file two overlapping lists of all nations; factory 11 has two
+                 countries, factory 12 two names (so lookups fan out),
+                 factory 5 carries a trailing blank in the first file, 3 has a
+                 padded name, 7 quotes and a backslash in it, 4 an empty
+                 country and 6 none
 """
 
 from __future__ import annotations
@@ -47,9 +51,17 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 # Fixed values of the mapping.
 EXPECTED_ANSWER_DAYS = 60
-PRODUCT_MAX_SIZE = 45
-FACTORY_FILE_1_NATIONS = (0, 14)  # inclusive range
-FACTORY_FILE_2_NATIONS = (10, 24)  # inclusive range
+UNKNOWN_PRODUCT_MODULUS = 29
+UNPARSABLE_DATE_MODULUS = 97
+# The two factory files overlap: of each 25 nations in a row, the first 15
+# are in the first file and the last 15 in the second.
+FACTORY_FILE_NATIONS = 25
+FACTORY_FILE_1_UNTIL = 14
+FACTORY_FILE_2_FROM = 10
+FACTORY_PADDED_NAME = 3
+FACTORY_EMPTY_COUNTRY = 4
+FACTORY_NO_COUNTRY = 6
+FACTORY_QUOTED_NAME = 7
 FACTORY_TWO_COUNTRIES = 11
 FACTORY_TWO_NAMES = 12
 FACTORY_TRAILING_BLANK = 5
@@ -57,25 +69,13 @@ PACKAGE_MODULUS = 30
 RESPONSE_DICTIONARY_ROWS = (("F", "Approved"), ("O", "Declined"))
 
 
-# Fact-grain tables and the key they are joined on first.
-FACT_GRAIN_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
-
-
 class Tables(Mapping[str, DataFrame]):
     """Driver tables of one folder, opened on first use with their declared
-    schemas (no inference job, nothing opened that a plan does not use).
-
-    A fact-grain table whose scan yields fewer splits than the cluster has
-    cores (a file written as one row group cannot be split) is
-    hash-partitioned on its join key right after the scan, so the work
-    before the first shuffle is not serialised in one task; the joins on
-    that key then reuse the partitioning. A scan with enough splits (any
-    large input) is left alone, so this costs nothing at scale.
-    """
+    schemas (no inference job, nothing opened that a plan does not use). A
+    plain scan: how it is split is Spark's decision."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, names=DRIVER_TABLES, *, rebalance: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, names=DRIVER_TABLES):
         self._spark, self._dir, self._names = spark, sf_dir.rstrip("/"), tuple(names)
-        self._rebalance = rebalance
         self._open: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -85,13 +85,7 @@ class Tables(Mapping[str, DataFrame]):
             reader = self._spark.read
             if name in schemas.DRIVER:
                 reader = reader.schema(schemas.DRIVER[name])
-            df = reader.parquet(f"{self._dir}/{name}.parquet")
-            key = FACT_GRAIN_KEYS.get(name)
-            if self._rebalance and key is not None:
-                cores = self._spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < cores:
-                    df = df.repartition(cores, key)
-            self._open[name] = df
+            self._open[name] = reader.parquet(f"{self._dir}/{name}.parquet")
         return self._open[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -106,7 +100,9 @@ def load_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> Tables
 
 
 def country_code(nationkey: Column) -> Column:
-    return F.concat(F.lit("N"), F.chr(F.lit(65) + nationkey))
+    """``N`` and a letter; beyond 26 nations the letter repeats with a number."""
+    letter = F.chr(F.lit(65) + nationkey % 26)
+    return F.concat(F.lit("N"), letter, F.when(nationkey < 26, F.lit("")).otherwise(F.floor(nationkey / 26).cast("string")))
 
 
 def factory_code(n: Column) -> Column:
@@ -114,8 +110,8 @@ def factory_code(n: Column) -> Column:
 
 
 def family_id(family_name: Column) -> Column:
-    """Integer family key: the first 28 bits of the name's MD5."""
-    return F.conv(F.substring(F.md5(family_name), 1, 7), 16, 10).cast("int")
+    """Integer family key: the first 60 bits of the name's MD5."""
+    return F.conv(F.substring(F.md5(family_name), 1, 15), 16, 10).cast("bigint")
 
 
 def claim_number(orderkey: Column, linenumber: Column) -> Column:
@@ -157,7 +153,10 @@ def claim_source(t: Mapping[str, DataFrame]) -> DataFrame:
         F.when(F.col("l_linenumber") == 3, F.concat(F.lit(" "), F.lower(number), F.lit("\t")))
         .otherwise(number)
         .alias("claimnumber"),
-        F.concat(F.lit("PRD"), F.col("l_partkey").cast("string")).alias("productcodeid"),
+        F.concat(
+            F.when(F.col("l_partkey") % UNKNOWN_PRODUCT_MODULUS == 0, "PRX").otherwise("PRD"),
+            F.col("l_partkey").cast("string"),
+        ).alias("productcodeid"),
         F.concat(F.lit("IND-"), F.col("c_mktsegment")).alias("indicationid"),
         F.when(register, "REGISTER").when(F.col("l_returnflag") == "A", "REFUND")
         .otherwise("OTHER").alias("claimtype"),
@@ -170,9 +169,9 @@ def claim_source(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def drugproduct_source(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Product catalogue: parts up to size 45. Every 17th code is stored in
-    lower case with a trailing blank (cleaned when the dimension is built)."""
-    p = t["part"].where(F.col("p_size") <= PRODUCT_MAX_SIZE)
+    """Product catalogue: all parts. Every 17th code is stored in lower case
+    with a trailing blank (cleaned when the dimension is built)."""
+    p = t["part"]
     code = F.concat(F.lit("PRD"), F.col("p_partkey").cast("string"))
     return p.select(
         F.when(F.col("p_partkey") % 17 == 0, F.concat(F.lower(code), F.lit(" ")))
@@ -220,16 +219,25 @@ def factories_sources(t: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Two factory files with overlapping rows (shape: code, name, country)."""
     n = t["nation"]
     k = F.col("n_nationkey")
-    name = F.concat(F.lit("Plant "), F.col("n_name"))
-    lo1, hi1 = FACTORY_FILE_1_NATIONS
-    lo2, hi2 = FACTORY_FILE_2_NATIONS
-    first = n.where(k.between(lo1, hi1)).select(
+    place = k % FACTORY_FILE_NATIONS
+    plain = F.concat(F.lit("Plant "), F.col("n_name"))
+    name = (
+        F.when(k == FACTORY_PADDED_NAME, F.concat(F.lit(" "), plain, F.lit("  ")))
+        .when(k == FACTORY_QUOTED_NAME, F.concat(F.lit('"A" \\ '), plain))
+        .otherwise(plain)
+    )
+    country = (
+        F.when(k == FACTORY_EMPTY_COUNTRY, F.lit(""))
+        .when(k == FACTORY_NO_COUNTRY, F.lit(None).cast(StringType()))
+        .otherwise(F.col("n_name"))
+    )
+    first = n.where(place <= FACTORY_FILE_1_UNTIL).select(
         F.when(k == FACTORY_TRAILING_BLANK, F.concat(factory_code(k), F.lit(" ")))
         .otherwise(factory_code(k)).alias("code"),
         name.alias("name"),
-        F.col("n_name").alias("country"),
+        country.alias("country"),
     )
-    second = n.where(k.between(lo2, hi2)).select(
+    second = n.where(place >= FACTORY_FILE_2_FROM).select(
         factory_code(k).alias("code"),
         F.when(k == FACTORY_TWO_NAMES, F.lower(name)).otherwise(name).alias("name"),
         F.when(k == FACTORY_TWO_COUNTRIES, F.lit("ELSEWHERE")).otherwise(F.col("n_name")).alias("country"),
@@ -252,7 +260,9 @@ def responses_sources(t: Mapping[str, DataFrame]) -> list[DataFrame]:
     return [
         rows.select(
             claim_number(F.col("l_orderkey"), F.col("l_linenumber")).alias(names[0]),
-            F.date_format(F.col("shipped").cast("date"), "yyyy-MM-dd").alias(names[1]),
+            F.when(F.col("l_orderkey") % UNPARSABLE_DATE_MODULUS == 0, F.lit("unknown"))
+            .otherwise(F.date_format(F.col("shipped").cast("date"), "yyyy-MM-dd"))
+            .alias(names[1]),
             F.col("o_orderstatus").alias(names[2]),
         )
     ]

@@ -55,6 +55,23 @@ def jdbc_options(
     return opts
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **kw) -> DataFrame:
-    """Read a table (or a parenthesised query) through JDBC."""
+def claim_predicates(buckets: int, column: str = "claimnumber") -> list[str]:
+    """Conditions that split a table into even parts, whatever the values of
+    ``column`` are: hash buckets (PostgreSQL's ``hashtext``), null in the first."""
+    if buckets < 1:
+        raise ValueError("buckets must be positive")
+    part = f"mod(abs(hashtext({column})::bigint), {buckets})"
+    return [f"{part} = {i}" if i else f"{part} = 0 OR {column} IS NULL" for i in range(buckets)]
+
+
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, *, predicates: list[str] | None = None, **kw
+) -> DataFrame:
+    """Read a table (or a parenthesised query) through JDBC; with
+    ``predicates``, one query for each of them."""
+    if predicates:
+        properties = jdbc_options(url, table, **kw)
+        return spark.read.jdbc(url, table, predicates=predicates, properties={
+            k: v for k, v in properties.items() if k not in ("url", "dbtable")
+        })
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **kw)).load()

@@ -4,8 +4,9 @@ dictionary).
 
 Every source is opened lazily, so building the star touches only what a plan
 uses. The claim table, the one that grows with the business, is read in
-parallel: ``claim_partitions`` range queries over ``submissiondate`` (a JDBC
-partition column may be a date). The small tables are read in one query each.
+parallel: ``claim_partitions`` queries, each for a hash bucket of the claim
+number, so that parts are even whatever the dates are. The small tables are
+read in one query each.
 """
 
 from __future__ import annotations
@@ -17,9 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regstar.sources import schemas
 from regstar.sources.delimited import read_delimited
 from regstar.sources.driver_tables import Sources
-from regstar.sources.jdbc import read_jdbc
-
-CLAIM_DATE_RANGE = ("1900-01-01", "2100-01-01")
+from regstar.sources.jdbc import claim_predicates, read_jdbc
 
 
 def _jdbc(spark: SparkSession, url: str, table: str, creds: dict, **partitioning) -> DataFrame:
@@ -35,10 +34,9 @@ def jdbc_and_file_sources(
     responses: Sequence[str],
     dictionary: str,
     table_prefix: str = "public.",
+    claim_partitions: int,
     user: str | None = None,
     password: str | None = None,
-    claim_partitions: int | None = None,
-    claim_date_range: tuple[str, str] = CLAIM_DATE_RANGE,
 ) -> Sources:
     """Claim-shaped sources read from a database and delimited files.
 
@@ -47,18 +45,11 @@ def jdbc_and_file_sources(
     wrong header fails the job), with every column as text.
     """
     creds = {"user": user, "password": password}
-    claim_part = {}
-    if claim_partitions:
-        lo, hi = claim_date_range
-        claim_part = dict(
-            partition_column="submissiondate", lower_bound=lo, upper_bound=hi, num_partitions=claim_partitions
-        )
-
     def table(name: str, **part):
         return lambda: _jdbc(spark, jdbc_url, f"{table_prefix}{name}", creds, **part)
 
     return Sources(
-        claim=table("claim", **claim_part),
+        claim=table("claim", predicates=claim_predicates(claim_partitions)),
         drugproduct=table("drugproduct"),
         drugproductfamily=table("drugproductfamily"),
         indication=table("indication"),

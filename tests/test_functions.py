@@ -27,6 +27,17 @@ def test_clean_bk_strips_all_edge_whitespace_and_upper_cases(spark):
     assert got == ["AB", "CD", "E F", "", None, "PRD0000000946"]
 
 
+def test_clean_bk_strips_what_python_strips(spark):
+    every = [chr(c) for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000]
+    spaces = [c for c in every if c.isspace()]
+    values = [c + "k" + c for c in spaces] + [c + "k" for c in every[:700] if not c.isspace()]
+    df = spark.createDataFrame([(v,) for v in values], "k string")
+    register_sql_functions(spark)
+    got = df.selectExpr("k", "format_bk(k) AS s").select("k", clean_bk("k").alias("c"), "s").collect()
+    assert len(spaces) == 29
+    assert all(r.s == r.c and r.c.upper() == r.k.strip().upper() for r in got)
+
+
 def test_clean_bk_is_idempotent(spark):
     import random
 

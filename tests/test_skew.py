@@ -68,3 +68,37 @@ def test_fact_stays_linear_in_claims(spark, skewed_dir):
     # Only the factory roles may fan out, and each factory code is listed at
     # most twice, so at most 2**3 rows per claim whatever the skew.
     assert claims <= fact <= 8 * claims
+
+
+def test_hot_order_is_split(spark, skewed_dir):
+    """The join on the order key is an ordinary shuffle, so AQE splits the
+    partition that holds the hot order."""
+    from pyspark.sql import functions as F
+
+    from regstar.sources import driver_sources
+
+    new = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "32k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k) for k in new}
+    try:
+        for k, v in new.items():
+            spark.conf.set(k, v)
+        li = spark.createDataFrame(
+            driver_sources(spark, skewed_dir).claim.sparkSession.read.parquet(f"{skewed_dir}/lineitem.parquet").toPandas()
+        ).repartition(16)
+        orders = spark.read.parquet(f"{skewed_dir}/orders.parquet").select("o_orderkey", "o_orderstatus")
+        joined = li.join(orders, li.l_orderkey == orders.o_orderkey).agg(F.count("*"), F.max("o_orderstatus"))
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in plan and "REPARTITION_BY_NUM" not in plan.split("Initial Plan")[0].split("SortMergeJoin")[0]

@@ -4,6 +4,7 @@ driver tables with declared schemas."""
 import pytest
 from pyspark.sql import functions as F
 
+from regstar.sources.jdbc import claim_predicates
 from regstar.sources import jdbc_options, load_tables, read_delimited, schemas
 from tests.conftest import SF_SMALL
 
@@ -26,10 +27,10 @@ def test_tsv_without_header_drops_bom_and_keeps_blanks(spark, tmp_path):
 
 def test_csv_with_header_keeps_na_as_text(spark, tmp_path):
     header = ",".join(f'"{f.name}"' for f in schemas.COUNTRIES.fields)
-    p = _write(tmp_path / "c.csv", header + '\n"Namibia","NA","NAM",516,"ISO 3166-2:NA"\n')
+    p = _write(tmp_path / "c.csv", header + '\n"Nalandia","NA","NAX",901,"ISO 3166-2:NA"\n')
     df = read_delimited(spark, p, schemas.COUNTRIES, header=True).toDF(*schemas.COUNTRY_COLUMNS)
     r = df.collect()[0]
-    assert r.alpha_2_code == "NA" and r.country_name == "Namibia"
+    assert r.alpha_2_code == "NA" and r.country_name == "Nalandia"
 
 
 def test_strict_mode_rejects_wrong_field_count(spark, tmp_path):
@@ -83,7 +84,7 @@ def test_jdbc_and_file_sources_open_lazily(spark, tmp_path, monkeypatch):
     from regstar.plans.dims import dim_country, dim_factory, dim_response
 
     header = ",".join(f'"{f.name}"' for f in schemas.COUNTRIES.fields)
-    countries = _write(tmp_path / "c.csv", header + '\n"Poland","PL","POL",616,"ISO 3166-2:PL"\n')
+    countries = _write(tmp_path / "c.csv", header + '\n"Pelland","PL","PLX",902,"ISO 3166-2:PL"\n')
     f1 = _write(tmp_path / "f1.tsv", "F1\tAlpha\tPoland\n", bom=True)
     f2 = _write(tmp_path / "f2.tsv", "F1\tAlpha\tGermany\n")
     rh = ",".join(f'"{f.name}"' for f in schemas.RESPONSES.fields)
@@ -102,8 +103,7 @@ def test_jdbc_and_file_sources_open_lazily(spark, tmp_path, monkeypatch):
     assert sorted(r.response for r in dim_response(src.responses, src.dictionary).collect()) == ["Approved", "Declined"]
     assert calls == []  # no table was opened for file-based dimensions
     src.claim
-    assert calls == [("public.claim", {"partition_column": "submissiondate", "lower_bound": "1900-01-01",
-                                       "upper_bound": "2100-01-01", "num_partitions": 64})]
+    assert calls == [("public.claim", {"predicates": claim_predicates(64)})]
     jdbc = jdbc_options("jdbc:postgresql://db/claims", "public.claim", partition_column="submissiondate",
                         lower_bound="1900-01-01", upper_bound="2100-01-01", num_partitions=64)
     assert jdbc["lowerBound"] == "1900-01-01" and jdbc["numPartitions"] == "64"
