@@ -58,8 +58,8 @@ def test_country_filter_is_below_the_response_shuffle(spark):
         p = _optimized(df)
         assert "checkpoint" not in p.lower()
         lines = p.splitlines()
-        depth = lambda text: min(len(x) - len(x.lstrip(" :+-")) for x in lines if text in x)
-        assert depth("country_bk") > depth("response_bk")
+        depth = lambda *keys: min(len(x) - len(x.lstrip(" :+-")) for x in lines if all(k in x for k in keys))
+        assert depth("Filter", "country_bk#") > depth("= __response_key")
 
 
 def test_arg_max_is_a_broadcast_join_not_a_window(spark):
