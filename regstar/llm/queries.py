@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from regstar.llm import kneser_ney, toxicity
 from regstar.llm.minhash import fingerprint_documents
 from regstar.llm.minimax_shards import shard_documents
+from regstar.llm.oracles import ORACLE_SQL
 from regstar.llm.packing import pack_documents
 from regstar.llm.pfair import mix
 from regstar.llm.pii import BASE_KINDS, count_of, find_spans, told
@@ -122,4 +123,4 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
