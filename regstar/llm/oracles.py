@@ -88,10 +88,17 @@ split AS (
          list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM texts
 ),
+words_at AS (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split),
+windows AS (
+  SELECT rid, i, word = lag(word) OVER w AS echo,
+         word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w
+           || ' ' || lead(word, 4) OVER w AS words5
+  FROM words_at WINDOW w AS (PARTITION BY rid ORDER BY i)
+),
+echoed AS (SELECT rid, count(*) AS echoes FROM windows WHERE echo GROUP BY rid),
 starts AS (
   SELECT rid, i FROM (
-    SELECT rid, i, count(*) OVER (PARTITION BY rid, list_slice(words, i, i + 4)) AS n
-    FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM split WHERE len(words) >= 5)
+    SELECT rid, i, count(*) OVER (PARTITION BY rid, words5) AS n FROM windows WHERE words5 IS NOT NULL
   ) WHERE n > 1
 ),
 covered AS (
@@ -106,8 +113,8 @@ measured AS (
          coalesce(n_repeat_words, 0) AS n_repeat_words,
          length(regexp_replace(body, '[^\p{L}]', '', 'g')) AS letters,
          length(regexp_replace(body, '[^\p{Lu}]', '', 'g')) AS capitals,
-         len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS echoes
-  FROM split LEFT JOIN covered USING (rid)
+         coalesce(echoes, 0) AS echoes
+  FROM split LEFT JOIN covered USING (rid) LEFT JOIN echoed USING (rid)
 ),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
