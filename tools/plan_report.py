@@ -1,4 +1,4 @@
-"""Plan shape of every registered query, as if every input were large.
+"""Plan shape of every query of the catalogue, as if every input were large.
 
 Both broadcast thresholds are disabled, so only explicit (size-proven)
 broadcast hints remain broadcasts and every data-sized join is planned as a
@@ -6,7 +6,7 @@ shuffle join, which is the plan a large cluster would run. For each query the
 executed plan is summarised: shuffles, broadcasts, join strategies, and
 anything that must never appear (cross or nested-loop joins, Python
 evaluation, windows). Jobs run while the query was being built (size proofs,
-checkpoints of frames read twice) are counted too.
+tables written once) are counted too.
 
     python tools/plan_report.py [/root/testdata/sf0.001] > PLANS.md
 """
@@ -34,7 +34,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    import __spark_entry__ as E
+    from regstar.plans.catalogue import CATALOGUE
 
     sc = spark.sparkContext
     st = sc.statusTracker()
@@ -43,15 +43,15 @@ def main() -> None:
         "Generated by `tools/plan_report.py` on "
         f"`{sf_dir}`, Spark {spark.version}, broadcast thresholds disabled (only "
         "size-proven hints broadcast). `build jobs` are jobs run while the query "
-        "was planned: size proofs of code lists (`bounded_broadcast`) and "
-        "checkpoints of frames read twice. Counts are of the executed plan "
+        "was planned: lists written and proven small (`bounded_broadcast`), and "
+        "tables that two plans read. Counts are of the executed plan "
         "after the build.\n"
     )
     cols = ["query", "build jobs", "shuffles", "broadcasts", "sort-merge joins",
             "broadcast hash joins", "scans", "forbidden"]
     print("| " + " | ".join(cols) + " |")
     print("|" + "---|" * len(cols))
-    for name, fn in E.queries().items():
+    for name, fn in CATALOGUE.items():
         group = f"plan-{name}"
         sc.setJobGroup(group, name)
         df = fn(spark, sf_dir)
