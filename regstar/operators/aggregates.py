@@ -12,17 +12,21 @@ def arg_max_rows(df: DataFrame, value: str) -> DataFrame:
 
     One pass over ``df``: equal rows are counted (pre-aggregated in each task),
     the maximum is a one-row aggregate over these counts, and the rows that
-    reach it are joined back from the same counts. Both readers need every
-    column of the counts, so the planner runs their shuffle once and reuses
-    it; no checkpoint, no global sort, no single-partition window. A null
-    maximum (no rows, or only nulls) gives no rows.
+    reach it are joined back from the same counts. Both readers get the same
+    plan up to the counts' shuffle, so the planner runs it once: both need every
+    column, rows without a value are left out for both, and the rows come out
+    of an explode, which holds back filters of a later join. No checkpoint, no
+    global sort, no single-partition window. A null maximum (no rows, or only
+    nulls) gives no rows.
     """
     names = df.columns
-    counted = df.groupBy(*names).agg(F.count("*").alias("__n"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*names).agg(F.count("*").alias("__n"))
     # The count takes part in the comparison (last), so that it is not pruned.
     top = counted.agg(F.max(F.struct(value, "__n"))[value].alias("__max"))
     tied = counted.join(F.broadcast(top), F.col(value) == F.col("__max"))
-    return tied.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*names)
+    row = F.struct(*(F.col(f"`{c}`") for c in names))
+    once = tied.select("__n", F.explode(F.array(row)).alias("__row"))
+    return once.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__n")))).select("__row.*")
 
 
 def weighted_share(df: DataFrame, counted: Column, over: Column, weight: Column) -> DataFrame:

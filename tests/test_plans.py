@@ -106,3 +106,17 @@ def test_calendar_is_consecutive_days(spark):
     assert str(s.lo) == "1900-01-01" and str(s.hi) == "2100-01-01"
     q = cal.where("dt = DATE'2011-11-15'").collect()[0]
     assert (q.date, q.year, q.month, q.day, q.quarter) == ("2011-11-15", 2011, 11, 15, "Q4")
+
+
+def test_claims_of_a_maximum_are_read_once(spark):
+    """The rows that tie and their maximum come from one shuffle, also below
+    the join with the products."""
+    from regstar.plans import catalogue as C
+
+    star = build_star(spark, driver_sources(spark, SF_SMALL))
+    df = Q.q3_top_price(star, C.Q3_COUNTRIES, C.Q3_YEAR, C.Q3_QUARTER)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    # One scan for the claims, one for the responses.
+    assert final.count("FileScan parquet [l_orderkey") == 2
+    assert "ReusedExchange" in final
