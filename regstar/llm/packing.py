@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regstar.llm.shared import SharedTables, columns, for_workers
@@ -208,9 +208,78 @@ def _with(merge, last: bool, number: int):
     return lambda key, table: merge(key, table, last, number)
 
 
+#: Token ids of a written table: ``run`` is the row where a run of rows that one
+#: task read in a row begins, ``at`` the place of ``ids`` among the run's tokens.
+TOKENS = "file string, run long, at long, doc_id long, start long, n long, doc_tokens long, ids binary"
+
+
+def pack_in_order(docs: DataFrame, tokenizer_path: str, *, window: int = 4096, end_id: int = 2) -> DataFrame:
+    """Pieces (with ids) of sequences 0, 1, ... that hold the tokens of
+    ``docs``, a table as read from its files, in the order in which its rows
+    were written; only the last sequence is shorter than ``window``. Spark
+    reads the files in any order and in splits; the written order is that of
+    the files' numbers and of the rows in each."""
+    spark = for_workers(docs.sparkSession)
+    shared = SharedTables(spark, "packing_in_order")
+    most = 16 * window  # tokens of a row: long documents take several
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, end = WordIds(tokenizer_path), end_id.to_bytes(ID_BYTES, "little")
+        file, run, row, at, out, size = None, 0, 0, 0, [], 0
+        kinds = [pa.string(), *[pa.int64()] * 6, pa.binary()]
+        names = [c.split()[0] for c in TOKENS.split(", ")]
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+
+        for batch in batches:
+            for doc_id, text, path, index in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if path != file or index != row + 1:
+                    file, run, at = path, index, 0
+                row = index
+                ids = words.text(text or "") + end
+                n = len(ids) // ID_BYTES
+                for start in range(0, n, most):
+                    part = ids[start * ID_BYTES : (start + most) * ID_BYTES]
+                    out.append((file, run, at, doc_id, start, len(part) // ID_BYTES, n, part))
+                    at += len(part) // ID_BYTES
+                    size += len(part)
+                    if len(out) >= 4096 or size >= 4 << 20:
+                        yield rows()
+                        out, size = [], 0
+        yield rows()
+
+    have = {c.lower(): c for c in docs.columns}
+    read = docs.select(
+        *(F.col(f"`{have[c]}`").alias(c) for c in ("doc_id", "text")),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"),
+    )
+    done = shared.put(read.mapInArrow(tokens, TOKENS), "tokens")
+    # A row for each split that a task read; their numbers are summed in one task.
+    runs = shared.put(done.groupBy("file", "run").agg(F.sum("n").alias("run_tokens")), "runs")
+    number = [F.regexp_extract("file", p, 1).try_cast("long") for p in (r"part-(\d+)[^/]*$", r"-c(\d+)[^/]*$")]
+    before = Window.orderBy(*number, "file", "run").rowsBetween(Window.unboundedPreceding, -1)
+    bases = shared.put(
+        runs.select("file", "run", F.coalesce(F.sum("run_tokens").over(before), F.lit(0)).alias("base")), "bases"
+    )
+    placed = done.join(bases, ["file", "run"]).withColumn("begin", F.col("base") + F.col("at"))
+    cut = placed.select(
+        "*", F.explode(F.expr(f"sequence(begin div {window}, (begin + n - 1) div {window})")).alias("sequence_id")
+    )
+    low = F.greatest("begin", F.col("sequence_id") * window)
+    high = F.least(F.col("begin") + F.col("n"), (F.col("sequence_id") + 1) * window)
+    cut = cut.withColumn("low", low).withColumn("length", high - low)
+    first = (F.col("low") - F.col("begin")).cast("int")
+    part = F.substring("ids", first * ID_BYTES + 1, F.col("length").cast("int") * ID_BYTES)
+    return cut.select(
+        "doc_id", (F.col("start") + first).alias("start"), "length", F.crc32(part).alias("ids_crc32"), "doc_tokens",
+        "sequence_id", (F.col("low") - F.col("sequence_id") * window).alias("offset"), part.alias("ids"),
+    )
+
+
 def sequences(pieces: DataFrame, *, window: int = 4096) -> DataFrame:
-    """One row for each packed sequence of ``pack_documents(keep_ids=True)``:
-    its token ids and, in the same order, the pieces they come from. A
+    """One row for each packed sequence of ``pack_documents(keep_ids=True)`` or
+    ``pack_in_order``: its token ids and, in the same order, the pieces they come from. A
     sequence holds at most ``window`` pieces, so its group is bounded."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "start", "length", "ids")))
     grouped = pieces.groupBy("sequence_id").agg(parts.alias("parts"))

@@ -2,7 +2,9 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from regstar.llm.queries import ORACLE_SQL, tokenizer_path
+from regstar.llm import pfair
+from regstar.llm.packing import pack_in_order
+from regstar.llm.queries import ORACLE_SQL, SOURCE_SHARES, tokenizer_path
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tests.llm.conftest import pairs
@@ -39,3 +41,36 @@ def test_pipeline_against_python(spark, small_docs):
             got.setdefault(d, []).append((start, tokens[at : at + n].tolist()))
             at += n
     assert {d: [x for _, part in sorted(parts) for x in part] for d, parts in got.items()} == want
+
+
+def unequal_files(spark, df, tmp_path, cuts):
+    """``df`` written in its order as files that end at ``cuts``, and reread."""
+    rows = df.collect()
+    parts = [[tuple(r) for r in rows[a:b]] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+    dealt = spark.sparkContext.parallelize(parts, len(parts)).flatMap(list)
+    spark.createDataFrame(dealt, df.schema).write.parquet(str(tmp_path / "mixed"))
+    return spark.read.parquet(str(tmp_path / "mixed"))
+
+
+def test_sequences_follow_the_mix_over_many_files(spark, small_docs, tmp_path):
+    place = pairs(pfair.mix(small_docs, SOURCE_SHARES, other_weight=1, block=16), "slot", "position", "doc_id", "class")
+    docs = unequal_files(spark, P.source_mix(spark, small_docs, SF_SMALL), tmp_path, [3, 40, 45, 120, 125])
+    assert len({r[0] for r in docs.select("_metadata.file_path").collect()}) == 6
+    packed = sorted(P.packed(spark, docs, SF_SMALL).collect(), key=lambda r: r.sequence_id)
+    assert [r.sequence_id for r in packed] == list(range(len(packed)))
+    assert all(r.n_tokens == 4096 for r in packed[:-1])
+    got = list(dict.fromkeys(d for r in packed for d in r.doc_ids))
+    assert got == [d for _, _, d, _ in sorted(place)]
+
+
+def test_long_documents_and_odd_texts_in_order(spark, odd_docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    docs = unequal_files(spark, odd_docs, tmp_path, [1, 2, 9, 30])
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    written = docs.orderBy("_metadata.file_path", "_metadata.row_index")
+    rows = [i for t in pairs(written, "text") for i in tokenizer.encode(t[0] or "", add_special_tokens=False).ids + [2]]
+    got = sorted(pack_in_order(docs, tokenizer_path(), window=7).collect(), key=lambda r: (r.sequence_id, r.offset))
+    assert np.frombuffer(b"".join(r.ids for r in got), "<u4").tolist() == rows
+    assert all(len(r.ids) == 4 * r.length and r.start + r.length <= r.doc_tokens for r in got)
+    assert pack_in_order(docs.limit(0), tokenizer_path()).count() == 0
