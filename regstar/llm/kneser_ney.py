@@ -1,4 +1,4 @@
-"""Language-model scoring: interpolated modified Kneser-Ney over bigrams.
+"""Language-model scoring: interpolated modified Kneser-Ney, of any order.
 
 Counting. Workers hash the words of training texts and count the pairs
 (history, word) of some million tokens at a time; the counts go to shards by
@@ -19,7 +19,10 @@ the workers (``file:`` or a plain path).
 Probability. p(w|v) = max(c(vw) - D(c(vw)), 0) / c(v.) + g(v) p(w), with
 p(w) = max(k(w) - D'(k(w)), 0) / K + g' / (V + 1); k(w) is the number of
 different histories of w, K their sum, V the number of distinct training
-tokens. The discounts D(1), D(2), D(3 and more) come from the numbers of pairs
+tokens. At an order above 2, v is the history of
+order - 1 tokens, its p(w) is that of the history without its first token, and
+counts below the highest order are numbers of different longer histories; files
+and blobs are kept by level. The discounts D(1), D(2), D(3 and more) come from the numbers of pairs
 seen once to four times (modified Kneser-Ney); D' likewise from the k(w). An
 unseen history backs off to p(w), an unseen word gets the last term.
 
@@ -81,6 +84,22 @@ def histories(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return before
 
 
+def contexts(tokens: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndarray]:
+    """Each token's history at levels 2 to ``order``: the token before it, then
+    a hash of the two, three, ... before it. Texts start with begin marks."""
+    before = histories(tokens, ends)
+    out = [before]
+    for _ in range(order - 2):
+        before = histories(before, ends)
+        out.append(pair_hash(before, out[-1]))
+    return out
+
+
+def begin_contexts(order: int) -> list[np.uint64]:
+    out = contexts(np.array([END]), np.array([1]), order)
+    return [c[0] for c in out]
+
+
 def pair_hash(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return _mix(v * np.uint64(0x9E3779B97F4A7C15) + w)
 
@@ -175,36 +194,59 @@ WORD_KINDS = (U64, U64, U32)  # words, token counts, different histories
 # ---------------------------------------------------------------- training
 
 
-def _frequent(docs: DataFrame, sample_docs: int, share: float) -> np.ndarray:
-    """Sorted hashes of words that make up at least ``share`` of the tokens of
-    a bounded sample; at most 1 / share."""
+def _frequent(docs: DataFrame, sample_docs: int, share: float, order: int) -> dict[int, np.ndarray]:
+    """By level, sorted hashes of the histories of at least ``share`` of the
+    tokens of a bounded sample (at most 1 / share), and of the begin."""
     n = docs.count()
     some = docs.sample(min(1.0, 1.2 * sample_docs / n), seed=3).limit(sample_docs) if n > sample_docs else docs
-    words = some.select(F.explode(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x20\x09-\x0D]+")).alias("w"))
-    counts = words.where("w <> ''").groupBy("w").agg(F.count("*").alias("n"))
-    counts = counts.join(counts.agg(F.sum("n").alias("total")), F.col("n") >= share * F.col("total"))
-    found = WordHashes()
-    return np.sort(np.array([BEGIN] + [found[r["w"].encode()] for r in counts.collect()], np.uint64))
-
 
-def _count_pairs(shards: int, frequent: np.ndarray):
-    """Worker function: texts to (shard, blob of pair counts)."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens()
+        for batch in batches:
+            texts = [tokens.of(t.as_py()) for t in batch.column(0)]
+            if not texts:
+                continue
+            every = contexts(np.concatenate(texts), np.cumsum([len(t) for t in texts]), order)
+            for level, h in enumerate(every, 2):
+                known, times = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(known), level, np.int32)), pa.array(known.view(np.int64)), pa.array(times.astype(np.int64))],
+                    names=["level", "h", "n"],
+                )
+
+    counts = some.mapInArrow(count, "level int, h long, n long").groupBy("level", "h").agg(F.sum("n").alias("n"))
+    total = counts.where("level = 2").agg(F.sum("n").alias("total"))
+    found = {k: {int(h)} for k, h in enumerate(begin_contexts(order), 2)}
+    for r in counts.join(total, F.col("n") >= share * F.col("total")).collect():
+        found[r["level"]].add(r["h"] % 2**64)
+    return {k: np.sort(np.array(list(h), np.uint64)) for k, h in found.items()}
+
+
+def _blobs(h: np.ndarray, lower: list[np.ndarray], w: np.ndarray, counts: np.ndarray, shards: int, frequent: np.ndarray):
+    """(shard, blob) of distinct grams: histories with their shorter ones, and
+    each one's words with counts."""
+    spread = np.isin(h, frequent)
+    shard = np.where(spread, pair_hash(w, h), _mix(h)) % np.uint64(shards)
+    order = np.lexsort((h, shard))
+    h, w, counts, shard, lower = h[order], w[order], counts[order], shard[order], [x[order] for x in lower]
+    edges = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
+    for s in range(shards):
+        a, b = edges[s], edges[s + 1]
+        if a < b:
+            starts = np.flatnonzero(np.concatenate(([True], h[a + 1 : b] != h[a : b - 1])))
+            followers = np.diff(np.append(starts, b - a))
+            shorter = [x[a:b][starts] for x in lower]
+            yield s, _pack(h[a:b][starts], followers.astype(U32), w[a:b], counts[a:b].astype(U32), *shorter)
+
+
+def _count_grams(shards: int, frequent: dict[int, np.ndarray], order: int):
+    """Worker function: texts to (shard, blob of counts of the longest grams)."""
 
     def blobs(tokens: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        v = histories(tokens, ends)
-        order, starts, counts = _counted(pair_hash(v, tokens))
-        v, w = v[order][starts], tokens[order][starts]
-        spread = np.isin(v, frequent)
-        shard = np.where(spread, pair_hash(w, v), _mix(v)) % np.uint64(shards)
-        order = np.lexsort((v, shard))
-        v, w, counts, shard = v[order], w[order], counts[order], shard[order]
-        edges = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-        for s in range(shards):
-            a, b = edges[s], edges[s + 1]
-            if a < b:
-                starts = np.flatnonzero(np.concatenate(([True], v[a + 1 : b] != v[a : b - 1])))
-                followers = np.diff(np.append(starts, b - a))
-                yield s, _pack(v[a:b][starts], followers.astype(U32), w[a:b], counts[a:b].astype(U32))
+        *lower, h = contexts(tokens, ends, order)
+        by, starts, counts = _counted(pair_hash(h, tokens))
+        first = by[starts]
+        yield from _blobs(h[first], [x[first] for x in lower], tokens[first], counts, shards, frequent[order])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, held, size = Tokens(), [], 0
@@ -230,45 +272,52 @@ def _count_pairs(shards: int, frequent: np.ndarray):
     return count
 
 
-def _merge_pairs(folder: str, word_shards: int, frequent: np.ndarray):
-    """Worker function: the blobs of a pair shard to its model file; returns
-    blobs of word counts by word shard, histories that are spread over
-    shards, and the shard's numbers of pairs seen 1, 2, 3, 4 times."""
+def _merge_grams(folder: str, shards: int, frequent: dict[int, np.ndarray], level: int, order: int):
+    """Worker function: the blobs of a shard of one level to its model file;
+    returns blobs of word counts by word shard, blobs of the level below
+    (a gram's count there is its number of longer histories), histories that
+    are spread over shards, and the numbers of grams counted 1, 2, 3, 4 times."""
 
     def merge(key, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        vs, ws, cs = [], [], []
+        parts = []
         for blob in table.column("blob").to_pylist():
-            v, followers, w, c = _unpack(blob, U64, U32, U64, U32)
-            vs.append(np.repeat(v, followers))
-            ws.append(w)
-            cs.append(c)
-        v, w, c = np.concatenate(vs), np.concatenate(ws), np.concatenate(cs).astype(np.int64)
-        order, starts, counts = _counted(pair_hash(v, w), c)
-        v, w = v[order][starts], w[order][starts]
-        pairs = pair_hash(v, w)
+            h, followers, w, c, *lower = _unpack(blob, U64, U32, U64, U32, *[U64] * (level - 2))
+            parts.append((w, c, *(np.repeat(x, followers) for x in (h, *lower))))
+        w, c, h, *lower = (np.concatenate([p[i] for p in parts]) for i in range(level + 1))
+        by, starts, counts = _counted(pair_hash(h, w), c.astype(np.int64))
+        first = by[starts]
+        h, w, lower = h[first], w[first], [x[first] for x in lower]
         seen = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-        order, starts, totals = _counted(v, counts)
-        ranked = counts[order]
+        by, starts, totals = _counted(h, counts)
+        ranked = counts[by]
         followers = [np.add.reduceat(x.astype(np.int64), starts) for x in (ranked == 1, ranked == 2, ranked >= 3)]
-        known = v[order][starts]
-        own = ~np.isin(known, frequent)
+        known = h[by][starts]
+        own = ~np.isin(known, frequent[level])
         write_arrays(
-            f"{folder}/pairs-{shard}", pairs, counts.astype(U32), known[own], totals[own].astype(U32),
+            f"{folder}/pairs-{level}-{shard}", pair_hash(h, w), counts.astype(U32), known[own], totals[own].astype(U32),
             *(x[own].astype(U32) for x in followers),
         )
         rows = [("seen", shard, None, *seen)]
         for i in np.flatnonzero(~own):
             rows.append(("history", int(known[i].view(np.int64)), None, int(totals[i]), *(int(x[i]) for x in followers)))
-        order, starts, tokens = _counted(w, counts)
-        words, kinds = w[order][starts], np.diff(np.append(starts, len(w)))
-        by = _mix(words) % np.uint64(word_shards)
-        order = np.argsort(by, kind="stable")
-        edges = np.searchsorted(by[order], np.arange(word_shards + 1, dtype=np.uint64))
-        for s in range(word_shards):
-            part = order[edges[s] : edges[s + 1]]
-            if len(part):
-                rows.append(("words", s, _pack(words[part], tokens[part].astype(U64), kinds[part].astype(U32)), 0, 0, 0, 0))
+        by, starts, tokens = _counted(w, counts)
+        words, kinds = w[by][starts], np.diff(np.append(starts, len(w)))
+        tokens, kinds = tokens * (level == order), kinds * (level == 2)
+        if level in (2, order):
+            to = _mix(words) % np.uint64(shards)
+            by = np.argsort(to, kind="stable")
+            edges = np.searchsorted(to[by], np.arange(shards + 1, dtype=np.uint64))
+            for s in range(shards):
+                part = by[edges[s] : edges[s + 1]]
+                if len(part):
+                    rows.append(("words", s, _pack(words[part], tokens[part].astype(U64), kinds[part].astype(U32)), 0, 0, 0, 0))
+        if lower:
+            *rest, h = lower
+            by, starts, kinds = _counted(pair_hash(h, w))
+            first = by[starts]
+            for s, blob in _blobs(h[first], [x[first] for x in rest], w[first], kinds, shards, frequent[level - 1]):
+                rows.append(("grams", s, blob, 0, 0, 0, 0))
         return _rows(rows)
 
     return merge
@@ -313,46 +362,57 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
 
 class Model:
     """What every worker knows of a trained model beside its files: numbers
-    of fixed size, and the histories that are spread over the shards."""
-
-    def __init__(self, folder, shards, frequent, seen, kinds, words, tokens, pairs, spread):
-        self.folder, self.shards, self.frequent = folder, shards, frequent
-        self.pair_discounts, self.word_discounts = discounts(*seen), discounts(*kinds)
+    of fixed size, and the histories that are spread over the shards. By level:
+    ``frequent``, ``seen``, and ``spread`` (history hashes, sorted; totals, once,
+    twice, more)."""
+
+    def __init__(self, folder, shards, order, frequent, seen, kinds, words, tokens, pairs, spread):
+        self.folder, self.shards, self.order = folder, shards, order
+        self.frequent, self.spread = frequent, spread
+        self.pair_discounts = {k: discounts(*n) for k, n in seen.items()}
+        self.word_discounts = discounts(*kinds)
         self.words, self.tokens, self.pairs = words, tokens, pairs
-        self.spread = spread  # history hashes (sorted), totals, once, twice, more
         many = max(0, words - kinds[0] - kinds[1])
         left = self.word_discounts[1] * kinds[0] + self.word_discounts[2] * kinds[1] + self.word_discounts[3] * many
         self.unseen = (left / pairs if pairs else 1.0) / (words + 1)
 
 
-def train(docs: DataFrame, shared: SharedTables, *, shard_bytes: int = 24 << 20) -> Model:
-    """A model of all texts of ``docs`` (a column ``text``)."""
+def train(docs: DataFrame, shared: SharedTables, *, order: int = 2, shard_bytes: int = 24 << 20) -> Model:
+    """A model of all texts of ``docs`` (a column ``text``), with grams of up
+    to ``order`` words (2 or more)."""
     for_workers(docs.sparkSession)
     folder = local_path(f"{shared.root}/model")
     texts = docs.select("text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(32, size // shard_bytes)
-    frequent = _frequent(texts, sample_docs=2000, share=0.002)
-    blobs = texts.mapInArrow(_count_pairs(shards, frequent), "shard int, blob binary")
-    merged = shared.put(blobs.groupBy("shard").applyInArrow(_plain(_merge_pairs(folder, shards, frequent)), ROWS), "pairs")
-    words = merged.where("what = 'words'").select(F.col("id").alias("shard"), "blob")
-    word_rows = shared.put(words.groupBy("shard").applyInArrow(_plain(_merge_words(folder)), ROWS), "words")
+    frequent = _frequent(texts, 2000, 0.002, order)
+    blobs = texts.mapInArrow(_count_grams(shards, frequent, order), "shard int, blob binary")
     sums = [F.sum(c).alias(c) for c in "abcd"]
-    # A few sums, and at most 500 frequent histories.
-    facts = merged.where("what <> 'words'").groupBy("what", F.when(F.col("what") == "history", F.col("id")).alias("id")).agg(*sums)
-    seen, spread = [0, 0, 0, 0], []
-    for r in facts.collect():
-        if r["what"] == "seen":
-            seen = [r[c] for c in "abcd"]
-        else:
-            spread.append((r["id"], *(r[c] for c in "abcd")))
+    seen, spread, words = {}, {}, None
+    for level in range(order, 1, -1):
+        merge = _plain(_merge_grams(folder, shards, frequent, level, order))
+        merged = shared.put(blobs.groupBy("shard").applyInArrow(merge, ROWS), f"pairs{level}")
+        blobs = merged.where("what = 'grams'").select(F.col("id").alias("shard"), "blob")
+        own = merged.where("what = 'words'").select(F.col("id").alias("shard"), "blob")
+        words = own if words is None else words.unionByName(own)
+        # A few sums, and at most 501 frequent histories.
+        facts = merged.where("what IN ('seen', 'history')")
+        facts = facts.groupBy("what", F.when(F.col("what") == "history", F.col("id")).alias("id")).agg(*sums)
+        seen[level], rows = [0, 0, 0, 0], []
+        for r in facts.collect():
+            if r["what"] == "seen":
+                seen[level] = [r[c] for c in "abcd"]
+            else:
+                rows.append((r["id"], *(r[c] for c in "abcd")))
+        table = np.array(rows, np.int64).reshape(-1, 5)
+        table = table[np.argsort(table[:, 0].view(np.uint64))]
+        spread[level] = (table[:, 0].view(np.uint64), *table[:, 1:].T)
+    word_rows = shared.put(words.groupBy("shard").applyInArrow(_plain(_merge_words(folder)), ROWS), "words")
     totals = {r["what"]: r for r in word_rows.groupBy("what").agg(F.sum("id").alias("id"), *sums).collect()}
-    table = np.array(spread, np.int64).reshape(-1, 5)
-    table = table[np.argsort(table[:, 0].view(np.uint64))]
     t, k = totals.get("totals"), totals.get("kinds")
     return Model(
-        folder, shards, frequent, seen, [k[c] for c in "abcd"] if k else [0, 0, 0, 0],
-        t["id"] if t else 0, t["a"] if t else 0, t["b"] if t else 0, (table[:, 0].view(np.uint64), *table[:, 1:].T),
+        folder, shards, order, frequent, seen, [k[c] for c in "abcd"] if k else [0, 0, 0, 0],
+        t["id"] if t else 0, t["a"] if t else 0, t["b"] if t else 0, spread,
     )
 
 
@@ -395,15 +455,16 @@ class Scorer:
         lower = np.maximum(kinds - m.word_discounts[np.minimum(kinds, 3)], 0)
         return count, lower / max(m.pairs, 1) + m.unseen
 
-    def pairs(self, v: np.ndarray, w: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """p(w|v) of distinct pairs, given the words' own probabilities."""
+    def pairs(self, v: np.ndarray, w: np.ndarray, lower: np.ndarray, level: int = 2) -> np.ndarray:
+        """p(w|v) of distinct pairs of history and word, given the words'
+        probabilities at the level below."""
         m = self.model
         count, total = np.zeros(len(v), np.int64), np.zeros(len(v), np.int64)
         followers = np.zeros((3, len(v)), np.int64)
-        spread, key = np.isin(v, m.frequent), pair_hash(v, w)
+        spread, key = np.isin(v, m.frequent[level]), pair_hash(v, w)
         shard = np.where(spread, pair_hash(w, v), _mix(v)) % np.uint64(m.shards)
         for s, at in self._by_shard(shard):
-            keys, counts, known, *numbers = self.maps.get(f"pairs-{s}", *PAIR_KINDS)
+            keys, counts, known, *numbers = self.maps.get(f"pairs-{level}-{s}", *PAIR_KINDS)
             at = at[np.argsort(key[at])]
             i, found = _find(keys, key[at])
             count[at[found]] = counts[i[found]]
@@ -411,13 +472,14 @@ class Scorer:
             total[at[found]] = numbers[0][i[found]]
             for k in range(3):
                 followers[k, at[found]] = numbers[1 + k][i[found]]
-        if len(m.spread[0]):
+        often, *sums = m.spread[level]
+        if len(often):
             at = np.flatnonzero(spread)
-            i, found = _find(m.spread[0], v[at])
-            total[at[found]] = m.spread[1][i[found]]
+            i, found = _find(often, v[at])
+            total[at[found]] = sums[0][i[found]]
             for k in range(3):
-                followers[k, at[found]] = m.spread[2 + k][i[found]]
-        d = m.pair_discounts
+                followers[k, at[found]] = sums[1 + k][i[found]]
+        d = m.pair_discounts[level]
         seen = np.maximum(count - d[np.minimum(count, 3)], 0)
         left = d[1] * followers[0] + d[2] * followers[1] + d[3] * followers[2]
         safe = np.maximum(total, 1)
@@ -426,16 +488,17 @@ class Scorer:
     def texts(self, tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(n_known, base_score, score) of texts that end at ``ends``."""
         m = self.model
-        v = histories(tokens, ends)
         words, which = np.unique(tokens, return_inverse=True)
         count, lower = self.words(words)
         base = np.log10((count + 1) / (m.tokens + m.words + 1))
-        key = pair_hash(v, tokens)
-        order, starts, _ = _counted(key)
-        first = order[starts]
-        p = self.pairs(v[first], tokens[first], lower[which[first]])
-        logs = np.empty(len(tokens))
-        logs[order] = np.repeat(np.log10(p), np.diff(np.append(starts, len(order))))
+        p = lower[which]
+        for level, v in enumerate(contexts(tokens, ends, m.order), 2):
+            order, starts, _ = _counted(pair_hash(v, tokens))
+            first = order[starts]
+            of_gram = self.pairs(v[first], tokens[first], p[first], level)
+            p = np.empty(len(tokens))
+            p[order] = np.repeat(of_gram, np.diff(np.append(starts, len(order))))
+        logs = np.log10(p)
         begins = np.concatenate(([0], ends[:-1]))
         return (
             np.add.reduceat((count > 0)[which].astype(np.int64), begins),
@@ -444,14 +507,14 @@ class Scorer:
         )
 
 
-def score_documents(docs: DataFrame, held_out, *, shard_bytes: int = 24 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, held_out, *, order: int = 2, shard_bytes: int = 24 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score,
     perplexity) for each row of ``docs`` (doc_id, text), by a model of the
     rows for whose doc_id ``held_out`` does not hold."""
     spark = for_workers(docs.sparkSession)
     shared = SharedTables(spark, "kneser_ney")
     rows = columns(docs, "doc_id", "text").withColumn("held_out", F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
-    trained = train(rows.where("NOT held_out").select(F.coalesce("text", F.lit("")).alias("text")), shared, shard_bytes=shard_bytes)
+    trained = train(rows.where("NOT held_out").select(F.coalesce("text", F.lit("")).alias("text")), shared, order=order, shard_bytes=shard_bytes)
     model = spark.sparkContext.broadcast(trained)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,7 +78,7 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score_documents(
-        _documents(spark, sf_dir, "doc_id", "text"), lambda doc_id: _remainder(doc_id, 7) == 2
+        _documents(spark, sf_dir, "doc_id", "text"), lambda doc_id: _remainder(doc_id, 7) == 2, order=3
     )
 
 

@@ -167,6 +167,44 @@ def test_scores_against_dictionaries(request, which, monkeypatch):
         assert tuple(a)[5:7] == pytest.approx(b[5:], rel=1e-9)
 
 
+def trigram_scores(train: list[str], texts: list[str]) -> list[float]:
+    tokens = lambda t: ["<s>", "<s>", *brute.WORD.findall(brute.lower(t or "")), None]
+    grams = lambda t: list(zip(tokens(t), tokens(t)[1:], tokens(t)[2:]))
+    tri = Counter(g for t in train for g in grams(t))
+    two = Counter(g[1:] for g in tri)
+    one = Counter(w for _, w in two)
+    tables = [Counter({(w,): n for w, n in one.items()}), two, tri]
+    d = [kneser_ney.discounts(*(sum(n == k for n in c.values()) for k in (1, 2, 3, 4))) for c in tables]
+    total, left = [Counter() for _ in d], [Counter() for _ in d]
+    for c, t, r, dk in zip(tables, total, left, d):
+        for g, n in c.items():
+            t[g[:-1]] += n
+            r[g[:-1]] += dk[min(n, 3)]
+    out = []
+    for text in texts:
+        score = 0.0
+        for g in grams(text):
+            p = 1 / (len(one) + 1)
+            for k, (c, dk) in enumerate(zip(tables, d)):
+                x = g[2 - k :]
+                if total[k][x[:-1]]:
+                    p = (max(c[x] - dk[min(c[x], 3)], 0) + left[k][x[:-1]] * p) / total[k][x[:-1]]
+            score += math.log10(p)
+        out.append(score)
+    return out
+
+
+@pytest.mark.parametrize("which", ["odd_docs", "small_docs"])
+def test_trigram_scores_against_dictionaries(request, which):
+    docs = request.getfixturevalue(which)
+    rows = pairs(docs, "doc_id", "text")
+    held = lambda d: d is not None and brute.crc(str(d)) % 7 == 2
+    out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    got = kneser_ney.score_documents(docs, lambda _: out, order=3, shard_bytes=2000).collect()
+    want = trigram_scores([t for d, t in rows if not held(d)], [t for _, t in rows])
+    assert sorted((r.doc_id or -1, round(r.score, 6)) for r in got) == sorted((d or -1, round(s, 6)) for (d, _), s in zip(rows, want))
+
+
 def test_probabilities_of_a_history_sum_to_one(spark, small_docs):
     shared = SharedTables(spark, "test")
     texts = small_docs.select("text").limit(40).coalesce(1)
