@@ -171,6 +171,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable, max_rows: int) -
     with the smallest hashes of their doc_id, whatever the files' order."""
     known = columns(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.where(usable(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # Labels of rows that are not in ``docs`` take no place of the bound.
+    known = known.join(columns(docs, "doc_id"), "doc_id", "left_semi")
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     texts = columns(docs, "doc_id", "text").join(F.broadcast(some), "doc_id")
     # A document's rows beyond the first are repeats; the bound holds with them.

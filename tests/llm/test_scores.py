@@ -270,3 +270,10 @@ def test_toxicity_edges(spark, odd_docs, no_docs):
     assert len(got) == odd_docs.count() and len({r.score for r in got}) == 1
     assert toxicity.score_documents(odd_docs, labels.limit(0), lambda d: d >= 0).first().score == 0.5
     assert toxicity.score_documents(no_docs, labels, lambda d: d >= 0).count() == 0
+
+
+def test_labels_without_documents_take_no_place(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    got = toxicity.labelled_sample(docs, labels, lambda d: d >= 0, 15)
+    assert len(got) == 15 and set(got.text) <= {f"text {i}" for i in range(20)}
