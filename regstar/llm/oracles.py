@@ -123,4 +123,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLE_SQL = {"op1_url_filters": OP1.strip(), "op4_quality_rules": OP4.strip()}
+OP11 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+),
+starts AS (SELECT rid, doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM texts),
+windows AS (SELECT rid, doc_id, i, array_to_string(words[i : i + 12], ' ') AS passage FROM starts),
+earliest AS (SELECT passage, min(doc_id) AS first_doc FROM windows GROUP BY passage),
+gone AS (
+  SELECT DISTINCT rid, i + j AS place
+  FROM windows JOIN earliest USING (passage) CROSS JOIN range(13) AS r(j) WHERE doc_id > first_doc
+),
+words_at AS (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts),
+kept AS (
+  SELECT rid, count(*) AS n_kept, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM words_at ANTI JOIN gone USING (rid, place) GROUP BY rid
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (rid)
+"""
+
+ORACLE_SQL = {
+    "op1_url_filters": OP1.strip(),
+    "op4_quality_rules": OP4.strip(),
+    "op11_substring_dedup": OP11.strip(),
+}

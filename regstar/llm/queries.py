@@ -15,6 +15,7 @@ from regstar.llm.pii import BASE_KINDS, count_of, find_spans, told
 from regstar.llm.quality import BASE, RULES, judge
 from regstar.llm.shared import columns
 from regstar.llm.simhash import near_duplicates
+from regstar.llm.super_kmers import dedup_substrings
 from regstar.llm.url_filters import UrlRule, judge_urls
 
 
@@ -110,6 +111,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir, "doc_id", "text"), tokenizer_path()).drop("ids")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_documents(spark, sf_dir, "doc_id", "text"), k=13)
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash": op2_simhash,
@@ -121,6 +126,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
+    "op11_substring_dedup": op11_substring_dedup,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
