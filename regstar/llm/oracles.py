@@ -4,6 +4,8 @@ and are tested against plain Python (``tests/llm``)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -146,8 +148,87 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM texts LEFT JOIN kept USING (rid)
 """
 
+
+
+def _trees(name: str, levels: int) -> str:
+    """Tables of the trees over ``name``0 (tree, i, h): each next level, and the
+    siblings' digests of each node; a tree with one node has no next level."""
+    parts = []
+    for n in range(levels):
+        parts.append(f"""
+{name}{n}_kin AS (
+  SELECT tree, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}{n}) AS a JOIN {name}{n} AS b USING (tree)
+  WHERE a.n > 1 AND a.i // 3 = b.i // 3 GROUP BY tree, a.i
+),
+{name}{n + 1} AS (
+  SELECT tree, i // 3 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}{n}) WHERE n > 1 GROUP BY tree, i // 3
+)""")
+    every = " UNION ALL ".join(f"SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}{n}" for n in range(levels + 1))
+    parts.append(f"{name}_tops AS (SELECT tree, h FROM ({every}) WHERE n = 1)")
+    return ",".join(parts)
+
+
+def _walk(start: str, out: str, name: str, tree: str, rank: str, levels: int) -> str:
+    """``out``: rows of ``start`` with ``proof`` and ``folded`` taken up the tree."""
+    parts, last = [], start
+    for n in range(levels):
+        parts.append(f"""{out}{n} AS (
+  SELECT r.* EXCLUDE (proof, folded), proof || coalesce(k.before || k.after, '') AS proof,
+         CASE WHEN k.i IS NULL THEN folded ELSE sha256(k.before || folded || k.after) END AS folded
+  FROM {last} AS r LEFT JOIN {name}{n}_kin AS k ON k.tree = r.{tree} AND k.i = r.{rank} // {3**n}
+)""")
+        last = f"{out}{n}"
+    return ",\n".join([*parts, f"{out} AS (SELECT * FROM {last})"])
+
+
+def _leaf(text: str) -> str:
+    told = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in told) + ")"
+
+
+#: Levels of a source's tree and of the tree of sources (3 ** levels leaves).
+_LEVELS, _TOP_LEVELS = 13, 6
+
+#: crc32 by one byte at a time: the remainders of all bytes.
+_CRC_TABLE = ", ".join(
+    str(reduce(lambda c, _: c >> 1 ^ 0xEDB88320 * (c & 1), range(8), b)) for b in range(256)
+)
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+    "lambda c: CAST(ascii(c) AS BIGINT))), lambda r, b: xor(r >> 8, crc_table[1 + (xor(r, b) & 255)])), 4294967295)"
+)
+
+OP13 = f"""
+WITH table_of AS (SELECT CAST([{_CRC_TABLE}] AS BIGINT[]) AS crc_table),
+hashed AS (
+  SELECT doc_id, coalesce('s' || source, '') AS tree, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} END AS held
+  FROM documents, table_of
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM hashed
+),
+t0 AS (SELECT tree, place AS i, leaf AS h FROM leaves),
+{_trees("t", _LEVELS)},
+sources AS (SELECT tree AS of_tree, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS nth FROM t_tops),
+s0 AS (SELECT '' AS tree, nth AS i, h FROM sources),
+{_trees("s", _TOP_LEVELS)},
+begun AS (
+  SELECT l.*, '' AS one, s.nth, s.h AS subroot, '' AS proof, coalesce(held, leaf) AS folded
+  FROM leaves AS l JOIN sources AS s ON s.of_tree = l.tree
+),
+{_walk("begun", "in_source", "t", "tree", "place", _LEVELS)},
+{_walk("in_source", "whole", "s", "one", "nth", _TOP_LEVELS)}
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.h AS verified
+FROM whole, s_tops AS r
+"""
+
 ORACLE_SQL = {
     "op1_url_filters": OP1.strip(),
     "op4_quality_rules": OP4.strip(),
     "op11_substring_dedup": OP11.strip(),
+    "op13_merkle_manifest": OP13.strip(),
 }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regstar.llm import kneser_ney, toxicity
+from regstar.llm.merkle import manifest, path_digest
 from regstar.llm.minhash import fingerprint_documents
 from regstar.llm.minimax_shards import shard_documents
 from regstar.llm.oracles import ORACLE_SQL
@@ -115,6 +116,15 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_documents(spark, sf_dir, "doc_id", "text"), k=13)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.when(_remainder(F.col("doc_id"), 2) == 0, F.translate("text", "\n", ""))
+    proven = manifest(docs, tampered=tampered)
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", path_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash": op2_simhash,
@@ -127,6 +137,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
     "op11_substring_dedup": op11_substring_dedup,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
