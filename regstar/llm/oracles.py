@@ -148,6 +148,30 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM texts LEFT JOIN kept USING (rid)
 """
 
+OP12 = """
+WITH vectors AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+         CAST(list_inner_product(a.v, o.v) AS BIGINT) AS score
+  FROM vectors AS a JOIN vectors AS o ON a.vec_id <> o.vec_id WHERE a.vec_id % 50 = 0
+),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives AS p JOIN scored AS s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
 
 
 def _trees(name: str, levels: int) -> str:
@@ -230,5 +254,6 @@ ORACLE_SQL = {
     "op1_url_filters": OP1.strip(),
     "op4_quality_rules": OP4.strip(),
     "op11_substring_dedup": OP11.strip(),
+    "op12_hard_negatives": OP12.strip(),
     "op13_merkle_manifest": OP13.strip(),
 }

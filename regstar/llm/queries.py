@@ -9,6 +9,7 @@ from regstar.llm import kneser_ney, toxicity
 from regstar.llm.merkle import manifest, path_digest
 from regstar.llm.minhash import fingerprint_documents
 from regstar.llm.minimax_shards import shard_documents
+from regstar.llm.multi_index import hard_negatives
 from regstar.llm.oracles import ORACLE_SQL
 from regstar.llm.packing import pack_documents
 from regstar.llm.pfair import mix
@@ -116,6 +117,11 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(_documents(spark, sf_dir, "doc_id", "text"), k=13)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=moved)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "source", "lang", "n_chars", "text")
     tampered = F.when(_remainder(F.col("doc_id"), 2) == 0, F.translate("text", "\n", ""))
@@ -137,6 +143,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
