@@ -46,6 +46,7 @@ GROUP = 300_000  # windows that a reduce task sorts at once, of whole buckets
 LONGEST = 4096  # windows of a super-k-mer
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of the lowest n bytes
 
 #: What travels: ``key`` is null in a packed super-k-mer blob of ``bucket``, and
 #: the window's hash where it travels alone; blobs of settled runs have bucket -1 - n.
@@ -78,51 +79,67 @@ def _sliding_min(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-class WordNumbers(dict):
-    """Numbers of distinct words, and their 64-bit hashes by number."""
-
-    def __init__(self):
-        import xxhash
-
-        self.digest, self.digests = xxhash.xxh64_intdigest, []
-
-    def __missing__(self, word: bytes) -> int:
-        self.digests.append(self.digest(word))
-        n = self[word] = len(self)
-        return n
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-
-
-def _groups(hashes: np.ndarray, numbers: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, begins): the windows that start at ``at``, sorted so that equal
-    ones are neighbours, and where each group of equal ones begins. Sorted by
-    hash; every neighbour is compared word by word, and if two windows share a
-    hash without being equal, all are sorted by their words instead."""
-    order = np.argsort(hashes, kind="stable")
+def _words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begins, ends, hashes) of the words of ``raw``, which are divided by one
+    blank or line end each."""
+    text = np.frombuffer(raw, np.uint8)
+    ends = np.append(np.flatnonzero((text == 32) | (text == 10)), len(text))
+    begins = np.append(0, ends[:-1] + 1)
+    # The eight bytes from any position on, as one number.
+    eight = np.ndarray(len(raw) + 1, "<u8", raw + bytes(8), strides=(1,))
+    left = ends - begins
+    h = _mix((eight[begins] & _LOW[np.minimum(left, 8)]) + left.astype(np.uint64) * _PRIME)
+    longer, at = np.flatnonzero(left > 8), 8
+    while len(longer):
+        part = eight[begins[longer] + at] & _LOW[np.minimum(left[longer] - at, 8)]
+        h[longer] = _mix(h[longer] * _PRIME + part)
+        at += 8
+        longer = longer[left[longer] > at]
+    return begins, ends, h
+
+
+def _differ(text: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> bool:
+    """Whether any two passages of one size, from ``a`` and ``b`` on, differ."""
+    ends = np.cumsum(size)
+    first = 0
+    while first < len(size):  # some million bytes at a time
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + (1 << 21), "right")))
+        n = size[first:last]
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        if (text[np.repeat(a[first:last], n) + nth] != text[np.repeat(b[first:last], n) + nth]).any():
+            return True
+        first = last
+    return False
+
+
+def _groups(hashes: np.ndarray, text: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, firsts): the windows sorted so that equal ones are neighbours,
+    and where each group of equal ones begins. Sorted by hash; neighbours with
+    one hash are compared byte by byte, and if two of them differ, all windows
+    are sorted by their bytes instead."""
+    order = np.argsort(hashes)
     h = hashes[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
     same = np.flatnonzero(~new)
-    a, b = at[order[same - 1]], at[order[same]]
-    if any((numbers[a + j] != numbers[b + j]).any() for j in range(k)):
-        order = np.lexsort([numbers[at + j] for j in range(k)])
-        new = np.zeros(len(h), bool)
-        new[0] = True
-        for j in range(k):
-            w = numbers[at[order] + j]
-            new[1:] |= w[1:] != w[:-1]
+    one, two = order[same - 1], order[same]
+    size = ends[one] - begins[one]
+    if (size != ends[two] - begins[two]).any() or _differ(text, begins[one], begins[two], size):
+        seen: dict[bytes, int] = {}
+        raw = text.tobytes()
+        label = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(begins.tolist(), ends.tolist())])
+        order = np.argsort(label)
+        new[1:] = np.diff(label[order]) != 0
     return order, np.flatnonzero(new)
 
 
-def _later(hashes, numbers, at, docs, k: int) -> np.ndarray:
+def _later(hashes, text, begins, ends, docs) -> np.ndarray:
     """Whether each window also starts in one with a smaller number in ``docs``."""
-    if not len(at):
+    if not len(hashes):
         return np.zeros(0, bool)
-    order, begins = _groups(hashes, numbers, at, k)
-    sizes = np.diff(np.append(begins, len(order)))
-    least = np.repeat(np.minimum.reduceat(docs[order], begins), sizes)
+    order, first = _groups(hashes, text, begins, ends)
+    sizes = np.diff(np.append(first, len(order)))
+    least = np.repeat(np.minimum.reduceat(docs[order], first), sizes)
     out = np.empty(len(order), bool)
     out[order] = docs[order] > least
     return out
@@ -145,39 +162,34 @@ class Chunk:
 
     def __init__(self, k: int, m: int):
         self.k, self.m = k, m
-        self.numbers = WordNumbers()
         self.docs: list[tuple[int, int]] = []  # (doc_id, salt)
         self.texts: list[bytes] = []  # words joined by one space
-        self.words: list[np.ndarray] = []
-        self.lengths: list[np.ndarray] = []
+        self.sizes: list[int] = []
         self.size = 0
 
     def add(self, doc_id: int, salt: int, words: list[bytes]) -> None:
         self.docs.append((doc_id, salt))
         self.texts.append(b" ".join(words))
-        self.words.append(self.numbers.of(words))
-        self.lengths.append(np.fromiter(map(len, words), np.int64, len(words)))
+        self.sizes.append(len(words))
         self.size += len(words)
 
     def sort(self) -> None:
         """Settle the chunk's own repeats; ``travels`` marks the other windows."""
         k = self.k
-        numbers = np.concatenate(self.words)
-        sizes = np.array([len(w) for w in self.words])
+        sizes = np.array(self.sizes)
         self.row = np.repeat(np.arange(len(sizes)), sizes)
         self.first_word = np.cumsum(sizes) - sizes
-        lengths = np.concatenate(self.lengths)
-        self.ends = np.cumsum(lengths + 1) - 1  # texts are joined by one byte, too
-        self.begins = self.ends - lengths
+        self.ids, self.salts = np.array(self.docs, np.int64).T
         self.text = b"\n".join(self.texts)
-        h = np.array(self.numbers.digests, np.uint64)[numbers]
-        n = len(numbers) - k + 1
+        self.texts = []
+        text = np.frombuffer(self.text, np.uint8)
+        self.begins, self.ends, h = _words(self.text)
+        n = len(h) - k + 1
         inside = self.row[:n] == self.row[k - 1 :]
         self.hashes = _rolled(h, k)
         self.minimiser = _mix(_sliding_min(_rolled(h, self.m), k - self.m + 1))
         at = np.flatnonzero(inside)
-        ids = np.array([d for d, _ in self.docs], np.int64)[self.row[at]]
-        later = _later(self.hashes[at], numbers, at, ids, k)
+        later = _later(self.hashes[at], text, self.begins[at], self.ends[at + k - 1], self.ids[self.row[at]])
         self.settled = np.zeros(n, bool)
         self.settled[at[later]] = True
         self.travels = inside & ~self.settled
@@ -205,20 +217,16 @@ class Chunk:
         begins, ends = begins[order], ends[order]
         of = bucket[begins]
         first = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else np.zeros(0, np.int64)
+        rows = self.row[begins]
+        head = np.stack((self.ids[rows], self.salts[rows], begins - self.first_word[rows], ends - begins))
+        cuts = list(zip(self.begins[begins].tolist(), self.ends[ends + self.k - 2].tolist()))
         for a, b in zip(first.tolist(), [*first[1:].tolist(), len(of)]):
-            yield int(of[a]), None, None, self._packed(begins[a:b], ends[a:b])
+            yield int(of[a]), None, None, _pack(head[:, a:b], [self.text[x:y] for x, y in cuts[a:b]])
         for w in np.flatnonzero(self.travels & alone).tolist():
-            body = _pack(np.array([self.place(w)], np.int64).T, np.ones(1, np.int64), [self.passage(w, 1)])
+            body = _pack(np.array([[*self.place(w), 1]], np.int64).T, [self.passage(w, 1)])
             own = int(self.hashes[w : w + 1].view(np.int64)[0])
             yield buckets + own % buckets, own, self.docs[self.row[w]][0], body
 
-    def _packed(self, begins: np.ndarray, ends: np.ndarray) -> bytes:
-        rows = self.row[begins]
-        docs = np.array([self.docs[r] for r in rows.tolist()], np.int64).T
-        places = np.stack((docs[0], docs[1], begins - self.first_word[rows]))
-        a, b = self.begins[begins].tolist(), self.ends[ends + self.k - 2].tolist()
-        return _pack(places, ends - begins, [self.text[x:y] for x, y in zip(a, b)])
-
     def settled_runs(self) -> list[tuple]:
         begins, ends = _runs(self.settled, self.row[: len(self.settled)])
         return [
@@ -239,16 +247,16 @@ def _hash(passage: bytes) -> int:
     return xxhash.xxh64_intdigest(passage) - (1 << 63)
 
 
-def _pack(places: np.ndarray, windows: np.ndarray, passages: list[bytes]) -> bytes:
+def _pack(head: np.ndarray, passages: list[bytes]) -> bytes:
     """One compressed blob: doc_ids (as differences), salts, starts, numbers of
     windows, and the passages, one on a line."""
     import zstandard
 
-    doc, salt, start = places
-    head = np.concatenate((np.diff(doc, prepend=0), salt, start, windows)).astype("<i8")
+    head = head.astype("<i8")
+    head[0, 1:] -= head[0, :-1].copy()
     # Bytes of one significance lie together, so high zero bytes cost nothing.
     planes = head.view(np.uint8).reshape(4, -1, 8).transpose(0, 2, 1).tobytes()
-    return zstandard.compress(len(doc).to_bytes(4, "little") + planes + b"\n".join(passages), 3)
+    return zstandard.compress(head.shape[1].to_bytes(4, "little") + planes + b"\n".join(passages), 3)
 
 
 def _unpack(body: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
@@ -293,19 +301,17 @@ class Buckets:
     """Sorts the windows of whole buckets; gives ``RUNS`` rows."""
 
     def __init__(self, k: int):
-        self.k, self.numbers = k, WordNumbers()
+        self.k = k
         self.clear()
 
     def clear(self) -> None:
-        self.places, self.windows, self.words, self.size = [], [], [], 0
-        if len(self.numbers) > 400_000:
-            self.numbers = WordNumbers()
+        self.places, self.windows, self.texts, self.size = [], [], [], 0
 
     def add(self, body: bytes) -> None:
         places, windows, text = _unpack(body)
         self.places.append(places)
         self.windows.append(windows)
-        self.words += text.split()
+        self.texts.append(text)
         self.size += int(windows.sum())
 
     def settle(self) -> Iterator[tuple]:
@@ -314,19 +320,18 @@ class Buckets:
         k = self.k
         doc, salt, start = np.concatenate(self.places, axis=1)
         windows = np.concatenate(self.windows)
-        numbers = self.numbers.of(self.words)
+        raw = b"\n".join(self.texts)
+        text = np.frombuffer(raw, np.uint8)
+        begins, ends, h = _words(raw)
         sizes = windows + k - 1  # words of each super-k-mer
         first = np.cumsum(sizes) - sizes
-        nth = np.repeat(np.cumsum(windows) - windows, windows)
         of = np.repeat(np.arange(len(windows)), windows)
-        nth = np.arange(len(of)) - nth
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
         at = first[of] + nth
-        h = _rolled(_mix(numbers.astype(np.uint64) + _PRIME), k)
-        later = _later(h[at], numbers, at, doc[of], k)
-        begins, ends = _runs(later, of)
-        for a, b in zip(begins.tolist(), ends.tolist()):
-            passage = b" ".join(self.words[at[a] : at[b - 1] + k])
+        later = _later(_rolled(h, k)[at], text, begins[at], ends[at + k - 1], doc[of])
+        for a, b in zip(*(x.tolist() for x in _runs(later, of))):
             i = of[a]
+            passage = raw[begins[at[a]] : ends[at[b - 1] + k - 1]]
             yield int(doc[i]), int(salt[i]), int(start[i] + nth[a]), b - a, _hash(passage)
 
 

@@ -74,7 +74,7 @@ def test_windows_with_one_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(super_kmers, "_mix", lambda x: x % np.uint64(3))
     chunk = super_kmers.Chunk(3, 2)
     rng = np.random.default_rng(1)
-    rows = [(d, [b"%d" % x for x in rng.integers(0, 4, 60)]) for d in range(5)]
+    rows = [(d, [b"%d" % x for x in rng.integers(0, 14, 60)]) for d in range(9)]
     for d, words in rows:
         chunk.add(d, 0, words)
     chunk.sort()
@@ -84,7 +84,14 @@ def test_windows_with_one_hash_are_told_apart(monkeypatch):
             first.setdefault(tuple(words[i : i + 3]), d)
     want = [first[tuple(words[i : i + 3])] < d for d, words in rows for i in range(58)]
     inside = chunk.row[: len(chunk.settled)] == chunk.row[2:]
-    assert chunk.settled[inside].tolist() == want
+    assert chunk.settled[inside].tolist() == want and any(want)
+
+
+def test_word_hashes_see_every_byte():
+    words = [b"a", b"aa", b"x" * 70, b"x" * 64 + b"y" + b"x" * 5, b"y" + b"x" * 69, b"\xc3\xa9", b"\x00a", b"a\x00", b"\x1f"]
+    begins, ends, hashes = super_kmers._words(b" ".join(words))
+    assert [(b" ".join(words))[a:b] for a, b in zip(begins, ends)] == words
+    assert len(set(hashes.tolist())) == len(words)
 
 
 def test_query_registered(spark):
