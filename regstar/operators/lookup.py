@@ -21,16 +21,19 @@ from pyspark.sql import functions as F
 from regstar.session import cut_lineage
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 16 << 20) -> DataFrame:
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = 100_000, max_bytes: int = 16 << 20, *, written: bool = False
+) -> DataFrame:
     """``df``, with a broadcast hint only if it provably holds at most
     ``max_rows`` rows and ``max_bytes`` bytes (as JSON text).
 
     The list is computed once and written to the shared folder; the proof (one
     job over the written list, which stops past ``max_rows``) and every later
     use read it from there. Beyond a bound the frame has no hint and the
-    planner chooses (shuffle join). For code lists and small dimensions.
+    planner chooses (shuffle join). For code lists and small dimensions; with
+    ``written``, ``df`` is a table as it is and not written again.
     """
-    table = cut_lineage(df)
+    table = df if written else cut_lineage(df)
     size = F.octet_length(F.to_json(F.struct(*table.columns)))
     held = table.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(size).alias("b")).first()
     return F.broadcast(table) if held["n"] <= max_rows and (held["b"] or 0) <= max_bytes else table

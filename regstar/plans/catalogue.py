@@ -38,8 +38,10 @@ from regstar.plans import sql_forms as S
 from regstar.plans.calendar import dim_calendar
 from regstar.plans.facts import REGISTER, weighted_claims
 from regstar.plans.star import Star, build_star, materialize
+from regstar.plans.store import Changes, StarStore
 from regstar.session import shared_dir
 from regstar.sources import driver_sources, load_tables, read_delimited, schemas, write_delimited
+from regstar.sources.driver_changes import history
 from regstar.sources.driver_tables import countries_source
 
 # Fixed parameters of the questions on the driver tables.
@@ -256,8 +258,12 @@ def join_role_factory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registrations(_star(spark, sf_dir))
+
+
+def registrations(star: Star) -> DataFrame:
     """The registration fact with its keys shown as business keys."""
-    f = _star(spark, sf_dir).registration(with_attributes=True)
+    f = star.registration(with_attributes=True)
     return f.select(
         "claimnumber",
         "product_bk",
@@ -274,7 +280,12 @@ def fact_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_reimbursement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = _star(spark, sf_dir).reimbursement(with_attributes=True)
+    return reimbursements(_star(spark, sf_dir))
+
+
+def reimbursements(star: Star) -> DataFrame:
+    """The reimbursement fact with its keys shown as business keys."""
+    f = star.reimbursement(with_attributes=True)
     return f.select(
         "claimnumber",
         "product_bk",
@@ -369,6 +380,31 @@ def star_written_q4a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.q4_top(star, Q4_COUNTRY, Q4_START, Q4_END, measure="price_over_pct")
 
 
+def _store(spark: SparkSession, sf_dir: str) -> StarStore:
+    """A fresh store with a bucket for each million claims."""
+    claims = load_tables(spark, sf_dir)["lineitem"].count()
+    return StarStore(spark, shared_dir(spark, "store"), buckets=max(8, claims // 1_000_000))
+
+
+def star_version_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 on a published version of the star, opened through its manifest."""
+    store = _store(spark, sf_dir)
+    store.build(driver_sources(spark, sf_dir))
+    manifest, _ = store.pin()
+    return Q.q3_top_price(store.star(manifest), Q3_COUNTRIES, Q3_YEAR, Q3_QUARTER)
+
+
+def star_changes_reimbursement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reimbursement fact of a star that was built from the sources as they
+    stood at first and brought up to date by three change sets."""
+    store = _store(spark, sf_dir)
+    first, changes = history(spark, sf_dir)
+    store.build(first)
+    for change in changes:
+        store.apply(Changes(**change))
+    return reimbursements(store.star())
+
+
 # ---------------------------------------------------------------- builds as SQL text
 
 
@@ -518,6 +554,8 @@ CATALOGUE: dict[str, Query] = {
     "q4_amount_granted": q4_amount_granted,
     "star_written_q3": star_written_q3,
     "star_written_q4a": star_written_q4a,
+    "star_version_q3": star_version_q3,
+    "star_changes_reimbursement": star_changes_reimbursement,
     "dim_product_sql": dim_product_sql,
     "dim_response_sql": dim_response_sql,
     "fact_registration_sql": fact_registration_sql,
