@@ -414,6 +414,8 @@ for _sql_form, _same_as in (
     ("src_files_response", "dim_response"),
     ("star_written_q3", "q3_top_price"),
     ("star_written_q4a", "q4a_top_amount"),
+    ("star_bucketed_q2a", "q2a_on_time_share"),
+    ("star_bucketed_q4a", "q4a_top_amount"),
     ("star_version_q3", "q3_top_price"),
     ("star_changes_reimbursement", "fact_reimbursement"),
 ):

@@ -36,6 +36,7 @@ from regstar.plans import dims as D
 from regstar.plans import questions as Q
 from regstar.plans import sql_forms as S
 from regstar.plans.calendar import dim_calendar
+from regstar.plans.cobucketed import answered_star, write_answered
 from regstar.plans.facts import REGISTER, weighted_claims
 from regstar.plans.star import Star, build_star, materialize
 from regstar.plans.store import Changes, StarStore
@@ -380,6 +381,21 @@ def star_written_q4a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.q4_top(star, Q4_COUNTRY, Q4_START, Q4_END, measure="price_over_pct")
 
 
+def _bucketed_star(spark: SparkSession, sf_dir: str) -> Star:
+    star = _star(spark, sf_dir)
+    return answered_star(star, write_answered(star))
+
+
+def star_bucketed_q2a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2.a on claims and responses that are stored co-bucketed."""
+    return Q.q2a_on_time_share(_bucketed_star(spark, sf_dir))
+
+
+def star_bucketed_q4a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4.a on claims and responses that are stored co-bucketed."""
+    return Q.q4_top(_bucketed_star(spark, sf_dir), Q4_COUNTRY, Q4_START, Q4_END, measure="price_over_pct")
+
+
 def _store(spark: SparkSession, sf_dir: str) -> StarStore:
     """A fresh store with a bucket for each million claims."""
     claims = load_tables(spark, sf_dir)["lineitem"].count()
@@ -554,6 +570,8 @@ CATALOGUE: dict[str, Query] = {
     "q4_amount_granted": q4_amount_granted,
     "star_written_q3": star_written_q3,
     "star_written_q4a": star_written_q4a,
+    "star_bucketed_q2a": star_bucketed_q2a,
+    "star_bucketed_q4a": star_bucketed_q4a,
     "star_version_q3": star_version_q3,
     "star_changes_reimbursement": star_changes_reimbursement,
     "dim_product_sql": dim_product_sql,

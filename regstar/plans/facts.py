@@ -82,7 +82,12 @@ def _country(star: Star, f: DataFrame, extra: bool, only: Iterable[str] | None =
 
 def _response(star: Star, f: DataFrame, extra: bool, only: Column | None = None) -> DataFrame:
     """Response lookup and the day of the answer; with ``only``, an inner one
-    with the responses that meet this condition."""
+    with the responses that meet this condition. Claims of a star that is
+    ``answered`` have the response's columns."""
+    if star.answered:
+        f = f if only is None else f.where(only)
+        f = f if extra else f.drop("response")
+        return f.withColumn("response_date_id", date_key("response_date"))
     dim = star.response if only is None else star.response.where(only)
     f = lookup(
         f,
@@ -160,7 +165,7 @@ def weighted_claims(star: Star, claimtypes: tuple[str, ...], *, answers: bool =
         "indication": clean_bk("indicationid"),
         "product": clean_bk("productcodeid"),
     }
-    if not answers:
+    if not answers and not star.answered:
         keys["response"] = F.col("claimnumber")
     roles = [(name, name, key, None) for name, key in keys.items()]
     if REGISTER in claimtypes:
@@ -199,9 +204,10 @@ def _claims(star: Star, claimtypes: tuple[str, ...]) -> DataFrame:
     for t in claimtypes:
         cond = _fact_rows(t) if cond is None else (cond | _fact_rows(t))
     c = star.sources.claim.where(cond)
+    cleaned = {} if star.answered else {"claimnumber": clean_bk("claimnumber")}
     return c.withColumns(
         {
-            "claimnumber": clean_bk("claimnumber"),
+            **cleaned,
             "expectedresponse_date_id": date_key("expectedresponsedate"),
             "submission_date_id": date_key("submissiondate"),
         }

@@ -40,10 +40,13 @@ class Star:
         check_small_dims: bool = True,
         dims: dict[str, DataFrame] | None = None,
         facts: dict[str, DataFrame] | None = None,
+        answered: bool = False,
     ):
         self.spark = spark
         self.sources = sources
         self.check_small_dims = check_small_dims
+        #: The claims have a cleaned number and their response's columns already.
+        self.answered = answered
         self._dims: dict[str, DataFrame] = dict(dims or {})
         self.facts: dict[str, DataFrame] = dict(facts or {})
         self._repeats: dict[str, DataFrame] = {}
