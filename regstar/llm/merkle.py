@@ -133,16 +133,15 @@ def top_hash(tiers: Column) -> Column:
 # ----------------------------------------------------------------- top down
 
 
-def _siblings(tiers: Column, lo: Column) -> Column:
+def _siblings(tiers: Column, lo: Column, first: Column, level: int) -> Column:
     """For each tier below another one: digests of the nodes that the parent's
-    interval holds before and after the node that contains ``lo``."""
-
-    def holds(node: Column) -> Column:
-        return (node["lo"] <= lo) & (lo < node["hi"])
+    interval holds before and after the node that contains ``lo``. ``first`` is
+    where the family, whose members are of ``level``, begins."""
+    widths = F.array(*(F.lit(min(FAN ** (level + j + 1), 1 << 62)).cast("long") for j in range(STRIDE)))
 
     def one(j: Column) -> Column:
-        parent = F.filter(F.get(tiers, j + 1), holds)[0]
-        inside = F.filter(F.get(tiers, j), lambda node: (parent["lo"] <= node["lo"]) & (node["hi"] <= parent["hi"]))
+        parent = F.floor((lo - first) / F.get(widths, j)).cast("int")  # its place in the tier above
+        inside = F.slice(F.get(tiers, j), parent * FAN + 1, FAN)
         joined = lambda keep: F.array_join(F.transform(F.filter(inside, keep), lambda node: node["hash"]), "")
         return F.struct(
             joined(lambda node: node["hi"] <= lo).alias("before"), joined(lambda node: node["lo"] > lo).alias("after")
@@ -163,7 +162,7 @@ def attached(rows: DataFrame, lo: str, family: DataFrame, level: int) -> DataFra
     contained = same & (up["up_lo"] <= below[lo]) & (below[lo] < up["up_hi"])
     return below.join(up, contained).select(
         *(below[c] for c in rows.columns),
-        F.concat(_siblings(up["tiers"], below[lo]), up["path"]).alias("path"), up["tree_root"], up["root"],
+        F.concat(_siblings(up["tiers"], below[lo], up["up_lo"], level), up["path"]).alias("path"), up["tree_root"], up["root"],
     )
 
 
