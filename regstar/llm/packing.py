@@ -25,6 +25,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -42,41 +43,98 @@ PIECES = (
 )
 
 
-class WordIds(dict):
+class TwoGenerations(dict):
+    """A bounded cache: when full, it becomes the old generation, whose entries
+    come back as they are asked for; what is not asked for again is dropped."""
+
+    def __init__(self, keep: int):
+        self.keep, self.old = keep, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.made(key)
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class PieceIds(TwoGenerations):
+    """Token ids (little-endian bytes) of the pieces into which the tokenizer
+    splits a lower-case word."""
+
+    def __init__(self, tokenizer, keep: int):
+        super().__init__(keep)
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.model = tokenizer.model
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        accented = [chr(c) for c in range(0xC0, 0x100)]
+        self.spelled = {ord(c): as_bytes.pre_tokenize_str(c)[0][0] for c in accented}
+
+    def made(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.translate(self.spelled)
+        return b"".join([t.id.to_bytes(ID_BYTES, "little") for t in self.model.tokenize(spelled)])
+
+
+class WordIds(TwoGenerations):
     """Token ids (little-endian bytes) by white-space separated word. The
     tokenizer never joins text across ASCII white space, so a text's ids are
     its words' ids in a row; most words of a partition are seen before."""
 
-    KEEP = 400_000  # words: bounds the memory of a worker
-    LETTERS = re.compile(rb"[A-Za-z]+").fullmatch
+    KEEP = 300_000  # words and pieces of one generation: bounds the memory of a worker
+    LONGEST = 64  # bytes of a word that is kept
+
+    # Words of these characters are split as the tokenizer does it: runs of
+    # letters, single digits, other runs. (Without "<", which begins the
+    # strings of special tokens.)
+    PLAIN = re.compile("[!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+    LETTER = "a-z\u00df-\u00f6\u00f8-\u00ff"
+    PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^{LETTER}0-9]+").findall
 
     def __init__(self, path: str):
+        super().__init__(self.KEEP)
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Plain ASCII letters are one pre-token of the model as they are,
-        # once in lower case; checked here for the given tokenizer.
-        probe = "Abcqxz"
-        want = self.tokenizer.encode(probe, add_special_tokens=False).ids
-        self.plain = [t.id for t in self.tokenizer.model.tokenize(probe.lower())] == want
-
-    def __missing__(self, word: bytes) -> bytes:
-        if self.plain and self.LETTERS(word):
-            ids = [t.id for t in self.tokenizer.model.tokenize(word.lower().decode())]
-        else:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        packed = b"".join(i.to_bytes(ID_BYTES, "little") for i in ids)
-        if len(word) <= 64:
-            if len(self) >= self.KEEP:
-                self.clear()
-            self[word] = packed
-        return packed
+        self.pieces = PieceIds(self.tokenizer, self.KEEP)
+        # That the given tokenizer splits so is seen on a word with every character.
+        signs = "".join(chr(c) for c in range(33, 256) if self.PLAIN(chr(c)))
+        probes = [signs, "It's ÉTÉ's we'LL 12ab34,56--c", *(f"a{c}b{c}{c}1" for c in signs), *(f"{c}Été" for c in signs)]
+        self.plain = all(self._by_pieces(w) == self._whole(w) for probe in probes for w in probe.split())
+
+    def _by_pieces(self, word: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.PIECES(word.lower())))
+
+    def _whole(self, word: str) -> bytes:
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def made(self, key: bytes) -> bytes:
+        word = key.decode()
+        return self._by_pieces(word) if self.plain and self.PLAIN(word) else self._whole(word)
+
+    def __missing__(self, key: bytes) -> bytes:
+        return super().__missing__(key) if len(key) <= self.LONGEST else self.made(key)
 
     def text(self, text: str) -> bytes:
         # bytes.split: the ASCII white space \x09-\x0d and \x20.
         return b"".join(map(self.__getitem__, text.encode().split()))
 
 
+_WORDS: dict[str, WordIds] = {}
+
+
+def words_of(path: str) -> WordIds:
+    """The worker's own ``WordIds``, kept from one task to the next."""
+    if path not in _WORDS:
+        _WORDS.clear()
+        _WORDS[path] = WordIds(path)
+    return _WORDS[path]
+
+
 class Packer:
     """Open windows of one partition; emitted pieces collect in ``out``."""
 
@@ -163,7 +221,7 @@ def pack_documents(
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         packer = Packer(window, open_windows, part << 30, keep_ids)
-        words, end = WordIds(tokenizer_path), end_id.to_bytes(ID_BYTES, "little")
+        words, end = words_of(tokenizer_path), end_id.to_bytes(ID_BYTES, "little")
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1)):
                 ids = words.text(text.as_py() or "") + end
@@ -224,7 +282,7 @@ def pack_in_order(docs: DataFrame, tokenizer_path: str, *, window: int = 4096, e
     most = 16 * window  # tokens of a row: long documents take several
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds(tokenizer_path), end_id.to_bytes(ID_BYTES, "little")
+        words, end = words_of(tokenizer_path), end_id.to_bytes(ID_BYTES, "little")
         file, run, row, at, out, size = None, 0, 0, 0, [], 0
         kinds = [pa.string(), *[pa.int64()] * 6, pa.binary()]
         names = [c.split()[0] for c in TOKENS.split(", ")]
