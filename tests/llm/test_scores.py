@@ -243,25 +243,88 @@ def test_toxicity_finds_held_out_toxic_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows.values())
 
 
-def test_identity_terms_move_no_score():
-    rng = np.random.default_rng(0)
+INSULTS = ["scoundrel", "wretch", "villain", "rascal", "knave"]
+
+
+def biased_labels(n=900, seed=0):
+    """Texts whose labels have a spurious link with a group's name: no word
+    tells toxic texts from others, and most mentions of the group are toxic."""
+    rng = np.random.default_rng(seed)
     words = [f"word{i}" for i in range(60)]
     texts, toxic = [], []
-    for i in range(600):
-        t = set(rng.choice(words, 8))
-        bad = i % 3 == 0
-        if bad:
-            t |= {"scoundrel"}
-        if rng.random() < (0.6 if bad else 0.05):  # a spurious link in the labels
-            t |= {"muslim"}
+    for i in range(n):
+        t, bad = set(rng.choice(words, 8)), i % 3 == 0
+        if rng.random() < (0.7 if bad else 0.04):
+            t.add(INSULTS[rng.integers(len(INSULTS))])
+        if rng.random() < (0.6 if bad else 0.06):
+            t.add("muslim")
         texts.append(t)
         toxic.append(int(bad))
+    return texts, toxic
+
+
+def neutral_mentions(n=300, seed=9):
+    rng = np.random.default_rng(seed)
+    return [" ".join([*rng.choice([f"word{i}" for i in range(60)], 8), "muslim"]) for _ in range(n)]
+
+
+def test_counterfactuals_take_a_learnt_bias_away():
+    texts, toxic = biased_labels()
     plain = toxicity.Scorer(*toxicity.train(texts, toxic, counterfactual=0.0))
     fair = toxicity.Scorer(*toxicity.train(texts, toxic))
-    neutral, same = "word1 word2 muslim word3", "word1 word2 christian word3"
-    assert abs(fair.score(neutral) - fair.score(same)) < 0.03
-    assert fair.score(neutral) < plain.score(neutral)
-    assert fair.score("word1 scoundrel word2") > 0.7 > fair.score("word1 word2")
+    swaps = [(t, t.replace("muslim", "christian")) for t in neutral_mentions()]
+    gap = {m: np.mean([m.score(a) - m.score(b) for a, b in swaps]) for m in (plain, fair)}
+    assert gap[plain] > 0.1, "the bias is there to be learnt"
+    assert abs(gap[fair]) < 0.1 * gap[plain]
+    # Neutral mentions that the query's threshold takes for toxic.
+    wrong = {m: sum(m.score(a) >= 0.7 for a, _ in swaps) for m in (plain, fair)}
+    assert wrong[plain] > 200 and wrong[fair] < 0.1 * wrong[plain], list(wrong.values())
+    # What the texts say themselves still counts, with or without a mention.
+    assert all(fair.score(f"word1 {insult} word2") >= 0.7 for insult in INSULTS)
+    assert all(fair.score(f"word1 {insult} muslim") >= 0.7 for insult in INSULTS)
+
+
+@pytest.mark.parametrize("counterfactual", [0.0, 1.0])
+def test_training_finds_the_least_loss(counterfactual):
+    """Against plain proximal gradient descent on dense matrices."""
+    texts, toxic = biased_labels(150, seed=3)
+    sparse = 2e-3
+    weights, intercept = toxicity.train(texts, toxic, counterfactual=counterfactual, sparse=sparse)
+    features = [[f for w in t for f in toxicity.features_of(w)] for t in texts]
+    pairs_ = toxicity.counterfactuals(texts)
+    often = Counter(f for fs in features for f in set(fs))
+    terms = {f for kind in toxicity.IDENTITY_TERMS.values() for t in kind for f in toxicity.features_of(t)}
+    names = sorted({f for f, n in often.items() if n >= 3} | terms)
+    number = {f: i for i, f in enumerate(names)}
+
+    def row(words):
+        out = np.zeros(len(names))
+        for w in words:
+            for f in toxicity.features_of(w):
+                if f in number:
+                    out[number[f]] += 1
+        return out
+
+    x, y = np.array([row(t) for t in texts]), np.array(toxic, float)
+    change = np.array([row(b) - row(a) for a, b in pairs_])
+    each = np.where(y > 0, 3.0, 1.0)
+    each /= each.sum()
+
+    def loss(w, b):
+        z = x @ w + b
+        fit = (each * (np.logaddexp(0, z) - y * z)).sum()
+        return fit + counterfactual / 2 * ((change @ w) ** 2).mean() + sparse * np.abs(w).sum()
+
+    w, b = np.zeros(len(names)), 0.0
+    step = 1 / (np.linalg.norm(np.sqrt(each)[:, None] * np.c_[x, np.ones(len(x))], 2) ** 2 / 4
+                + counterfactual * np.linalg.norm(change, 2) ** 2 / len(change))
+    for _ in range(30_000):
+        error = each * (1 / (1 + np.exp(-(x @ w + b))) - y)
+        w = w - step * (x.T @ error + counterfactual * change.T @ (change @ w) / len(change))
+        w, b = np.sign(w) * np.maximum(np.abs(w) - step * sparse, 0), b - step * error.sum()
+    got = np.array([weights.get(f, 0.0) for f in names])
+    assert loss(got, intercept) <= loss(w, b) + 1e-4
+    assert np.abs((x @ got + intercept) - (x @ w + b)).max() < 0.05
 
 
 def test_toxicity_edges(spark, odd_docs, no_docs):
