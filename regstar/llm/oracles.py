@@ -17,13 +17,22 @@ def _path(url: str) -> str:
     return f"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
 
 
+def _clear(path: str) -> str:
+    """The path with its ``.`` and ``..`` segments carried out."""
+    return (
+        f"CASE WHEN regexp_matches({path}, '/\\.\\.?(/|$)') THEN "
+        f"list_reduce(list_prepend('', string_split(substr({path}, 2), '/')), lambda kept, part: CASE part WHEN '.' THEN kept "
+        f"WHEN '..' THEN regexp_replace(kept, '/[^/]*$', '') ELSE kept || '/' || part END) ELSE {path} END"
+    )
+
+
 def _node(url: str) -> str:
     query = (
         f"list_sort(list_filter(string_split(regexp_extract({url}, '(?s)^.*?://[^?#]*\\?([^#]*)', 1), '&'), "
         "lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_[a-z]+|ref|gclid|fbclid)(=|$)')))"
     )
     return (
-        f"CASE WHEN contains({url}, '://') THEN {_host(url)} || regexp_replace({_path(url)}, '/+$', '') || "
+        f"CASE WHEN contains({url}, '://') THEN {_host(url)} || regexp_replace({_clear(_path(url))}, '/+$', '') || "
         f"CASE WHEN len({query}) > 0 THEN '?' || array_to_string({query}, '&') ELSE '' END END"
     )
 
@@ -54,13 +63,15 @@ targets AS (
     WHEN regexp_matches(raw, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN raw
     WHEN starts_with(raw, '//') THEN regexp_extract(url, '(?s)^(.*?)://', 1) || ':' || raw
     WHEN starts_with(raw, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || raw
+    WHEN starts_with(raw, '?') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || {_path('url')} || raw
+    WHEN starts_with(raw, '#') THEN regexp_extract(url, '(?s)^([^#]*)', 1)
     ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1)
       || CASE WHEN regexp_replace({_path('url')}, '[^/]*$', '') = '' THEN '/'
               ELSE regexp_replace({_path('url')}, '[^/]*$', '') END || raw END AS target
   FROM (SELECT url, replace(trim(raw), '&amp;', '&') AS raw FROM tags WHERE raw <> '')
 ),
 edges AS (
-  SELECT a, b FROM (SELECT {_node('url')} AS a, {_node('target')} AS b FROM targets) WHERE a <> b
+  SELECT {_node('url')} AS a, {_node('target')} AS b FROM targets WHERE {_node('url')} IS NOT NULL AND {_node('target')} IS NOT NULL
 ),
 both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach(a, b) AS (

@@ -8,13 +8,15 @@ aliases. Precedence: a URL's own rule; else an explicit allow of any alias;
 else a block of any alias; else allow.
 
 Edges come from the pages (``<link rel=canonical>``, ``<meta
-http-equiv=refresh>``) and from an optional table of redirects. A URL is the
-same node whatever its scheme, fragment, trailing slash or tracking
-parameters are, and whatever the order of its parameters.
+http-equiv=refresh>``) and from an optional table of redirects; relative targets
+are resolved against the page as RFC 3986 says. A URL is the same node whatever
+its scheme, fragment, trailing slash, ``.`` and ``..`` segments or tracking
+parameters are, and whatever the order of its parameters. URLs of one node are
+aliases of each other once an edge touches the node, also one to itself (a page
+that names its own address with a slash).
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path,
-no rule and no aliases, and is allowed; a null page has no edges; an edge to
-itself says nothing; repeated rows are judged alike; rules that are equally
+no rule and no aliases, and is allowed; a null page has no edges; repeated rows are judged alike; rules that are equally
 long: the longer host, then allow before block; an empty table gives no rows;
 other columns are ignored.
 """
@@ -75,7 +77,7 @@ def rule_for(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> Column:
 
 def node_of(url: Column) -> Column:
     """The URL as a node of the alias graph; null without ``://``."""
-    host, path = host_of(url), F.regexp_replace(path_of(url), "/+$", "")
+    host, path = host_of(url), F.regexp_replace(_without_dots(path_of(url)), "/+$", "")
     query = F.regexp_extract(url, r"(?s)^.*?://[^?#]*\?([^#]*)", 1)
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(TRACKING)))
     return F.when(
@@ -83,16 +85,32 @@ def node_of(url: Column) -> Column:
     )
 
 
+def _without_dots(path: Column) -> Column:
+    """The path with its ``.`` and ``..`` segments carried out (but for a
+    trailing slash, which a node never has)."""
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    parts = F.split(F.substring(path, 2, 1 << 30), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def _absolute(target: Column, base: Column) -> Column:
-    """``target`` as it is meant on the page ``base``."""
+    """``target`` as it is meant on the page ``base`` (RFC 3986, section 5.2)."""
     target = F.regexp_replace(F.trim(target), "&amp;", "&")
     scheme = F.regexp_extract(base, r"(?s)^(.*?):\/\/", 1)
     root = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    page = F.regexp_extract(base, r"(?s)^([^#]*)", 1)
     folder = F.regexp_replace(path_of(base), "[^/]*$", "")
     return (
         F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
         .when(target.startswith("/"), F.concat(root, target))
+        .when(target.startswith("?"), F.concat(root, path_of(base), target))
+        .when(target.startswith("#"), page)
         .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), target))
     )
 
@@ -125,7 +143,11 @@ def judge_urls(
         edges = edges.unionByName(
             redirects.select(node_of(F.col("from_url")).alias("a"), node_of(F.col("to_url")).alias("b"))
         )
-    aliases = connected_components(edges, shared)
+    edges = shared.put(edges, "edges")
+    linked = connected_components(edges, shared)
+    # An edge from a node to itself makes no link, but aliases of the node's URLs.
+    own = edges.where("a = b").select(F.col("a").alias("node")).distinct().join(linked, "node", "left_anti")
+    aliases = linked.unionByName(own.withColumn("component", F.col("node")))
     as_url = F.concat(F.lit("://"), F.col("node"))
     # The stripped trailing slash counts where a rule names a folder.
     with_slash = F.concat(path_of(as_url), F.lit("/"))
