@@ -39,14 +39,27 @@ def bounded_broadcast(
     return F.broadcast(table) if held["n"] <= max_rows and (held["b"] or 0) <= max_bytes else table
 
 
-def repeats(dim: DataFrame, key: Column | str, name: str) -> DataFrame:
-    """Keys that more than one row of ``dim`` holds, as (``__<name>_key``,
-    ``__<name>_n``): what a lookup multiplies a fact row by. Such keys are
-    exceptions, so the list is broadcast once its size is proven."""
-    k, n = f"__{name}_key", f"__{name}_n"
-    column = F.col(key) if isinstance(key, str) else key
-    counted = dim.select(column.alias(k)).where(F.col(k).isNotNull()).groupBy(k).agg(F.count("*").alias(n))
-    return bounded_broadcast(counted.where(F.col(n) > 1))
+def repeats(
+    dims: Mapping[str, tuple[DataFrame, Column]], max_rows: int = 100_000, max_bytes: int = 16 << 20
+) -> dict[str, DataFrame]:
+    """For each named dimension and its key: the keys that more than one of its
+    rows hold, as (``__<name>_key``, ``__<name>_n``), which is what a lookup
+    multiplies a fact row by. Such keys are exceptions. All lists are computed
+    and written in one job and measured in a second one; those within the bounds
+    are hinted as broadcast, the others are left to the planner."""
+    lists = None
+    for name, (dim, key) in dims.items():
+        counted = dim.select(key.cast("string").alias("key")).where(F.col("key").isNotNull()).groupBy("key").agg(F.count("*").alias("n"))
+        part = counted.where(F.col("n") > 1).select(F.lit(name).alias("of"), "key", "n")
+        lists = part if lists is None else lists.unionByName(part)
+    table = cut_lineage(lists)
+    sizes = table.groupBy("of").agg(F.count("*").alias("n"), F.sum(F.octet_length("key") + 8).alias("b")).collect()
+    large = {r["of"] for r in sizes if r["n"] > max_rows or r["b"] > max_bytes}
+    found = {}
+    for name in dims:
+        rows = table.where(F.col("of") == name).select(F.col("key").alias(f"__{name}_key"), F.col("n").alias(f"__{name}_n"))
+        found[name] = rows if name in large else F.broadcast(rows)
+    return found
 
 
 def lookup(

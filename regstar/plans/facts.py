@@ -171,8 +171,9 @@ def weighted_claims(star: Star, claimtypes: tuple[str, ...], *, answers: bool =
     if REGISTER in claimtypes:
         register = F.col("claimtype") == REGISTER
         roles += [("factory", f"factory_{r}", clean_bk(f"factory{r}"), register) for r in FACTORY_ROLES]
+    lists = star.repeats(dict.fromkeys(name for name, *_ in roles))
     for name, role, key, only in roles:
-        many = star.repeats(name).select(
+        many = lists[name].select(
             F.col(f"__{name}_key").alias(f"__{role}_k"), F.col(f"__{name}_n").alias(f"__{role}_times")
         )
         f = f.join(many, key == F.col(f"__{role}_k"), "left").drop(f"__{role}_k")

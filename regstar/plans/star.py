@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,12 +87,24 @@ class Star:
             lambda: D.dim_product(self.sources.drugproduct, self._small(self.sources.drugproductfamily)),
         )
 
-    def repeats(self, name: str) -> DataFrame:
-        """Business keys that several rows of dimension ``name`` hold (proven
-        small and written once)."""
-        if name not in self._repeats:
-            self._repeats[name] = repeats(getattr(self, name), clean_bk(f"{name}_bk"), name)
-        return self._repeats[name]
+    def repeats(self, names: Iterable[str]) -> dict[str, DataFrame]:
+        """For each of these dimensions the business keys that several of its
+        rows hold, written once. A dimension that no other plan has used yet is
+        only counted, not written."""
+        plain = {
+            "country": lambda: D.dim_country(self.sources.countries),
+            "factory": lambda: D.dim_factory(self.sources.factories),
+            "indication": lambda: D.dim_indication(self.sources.indication),
+            "product": lambda: D.dim_product(self.sources.drugproduct, self.sources.drugproductfamily),
+        }
+        asked = {}
+        for name in names:
+            if name not in self._repeats:
+                dim = plain[name]() if name in plain and name not in self._dims else getattr(self, name)
+                asked[name] = (dim, clean_bk(f"{name}_bk"))
+        if asked:
+            self._repeats |= repeats(asked)
+        return {name: self._repeats[name] for name in names}
 
     @property
     def calendar(self) -> DataFrame:
