@@ -7,7 +7,9 @@ they are confirmed, whatever their score; an added kind (iban, ssn, local
 phone) stays if its score reaches ``THRESHOLD``.
 
 Positions come from the pieces between the matches: a match starts where the
-pieces and matches before it end. Offsets count code points; ends are
+pieces and matches before it end. They, and what overlaps what, are found by
+running once over the matches (:mod:`regstar.llm.scans`), so a text of very many
+matches takes time in proportion to them. Offsets count code points; ends are
 exclusive. Every regular expression runs in time linear in the text: runs are
 matched possessively, and a match starts where a run starts (or where the last
 match ended), never inside a run that was tried already.
@@ -25,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regstar.llm.scans import cutter, scan
+
 CONTEXT = 40  # code points before a span in which a context word counts
 THRESHOLD = 0.5
 SPAN = "struct<start:int,kind_order:int,end:int,kind:string,score:double>"
@@ -111,25 +115,23 @@ def _confirmed(kind: str, s: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(body: Column, matches: Column, pieces: Column, order: int, kind: Kind) -> Column:
-    """Confirmed spans of one kind, by start."""
-    place = F.aggregate(
-        F.transform(
-            matches, lambda s, i: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(s).alias("n"), s.alias("s"))
-        ),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,n:int,s:string>>").alias("out")),
-        lambda acc, z: F.struct(
-            (acc["at"] + z["gap"] + z["n"]).alias("at"),
-            F.concat(
-                acc["out"], F.array(F.struct((acc["at"] + z["gap"]).alias("start"), z["n"].alias("n"), z["s"].alias("s")))
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+def _spans(matches: Column, pieces: Column, order: int, kind: Kind) -> Column:
+    """Confirmed spans of one kind, by start: ``matches``, with the ``pieces`` of
+    the text before, between and after them."""
+    paired = F.slice(F.zip_with(pieces, matches, lambda gap, s: F.struct(gap.alias("gap"), s.alias("s"))), F.lit(1), F.size(matches))
+
+    def placed(state: Column, z: Column) -> tuple[Column, Column]:
+        before = F.right(F.concat(state["before"], z["gap"]), F.lit(CONTEXT))
+        start = state["at"] + F.length(z["gap"])
+        n = F.length(z["s"])
+        after = F.struct((start + n).alias("at"), F.right(F.concat(before, z["s"]), F.lit(CONTEXT)).alias("before"))
+        return after, F.struct(start, n, z["s"], before)
+
+    begin = F.struct(F.lit(0), F.lit(""))
+    found = scan(paired, begin, "struct<at:int,before:string>", "struct<start:int,n:int,s:string,before:string>", placed)
 
     def scored(z: Column) -> Column:
-        before = F.substr(body, F.greatest(F.lit(1), z["start"] + 1 - CONTEXT), F.least(F.lit(CONTEXT), z["start"]))
-        near = F.lower(before).rlike(rf"(?<!\p{{L}})(?:{kind.context})(?!\p{{L}})")
+        near = F.lower(z["before"]).rlike(rf"(?<!\p{{L}})(?:{kind.context})(?!\p{{L}})")
         score = F.lit(kind.score) + F.when(near, F.lit(0.4)).otherwise(F.lit(0.0))
         return F.struct(
             z["start"].alias("start"),
@@ -139,10 +141,29 @@ def _spans(body: Column, matches: Column, pieces: Column, order: int, kind: Kind
             F.least(F.lit(1.0), score).alias("score"),
         )
 
-    found = F.transform(F.filter(place, lambda z: _confirmed(kind.name, z["s"])), scored)
+    found = F.transform(F.filter(found, lambda z: _confirmed(kind.name, z["s"])), scored)
     return found if kind.base else F.filter(found, lambda z: z["score"] >= THRESHOLD)
 
 
+def _apart(spans: Column) -> Column:
+    """``spans`` (sorted) without added ones that overlap a base span."""
+    base = lambda z: z["kind_order"] < len(BASE_KINDS)
+    flagged = f"struct<z:{SPAN},ok:boolean>"
+
+    def forwards(reached: Column, z: Column) -> tuple[Column, Column]:
+        ok = base(z) | (z["kind"] == "iban") | (z["start"] >= reached)
+        return F.when(base(z), F.greatest(reached, z["end"])).otherwise(reached), F.struct(z, ok)
+
+    def backwards(following: Column, f: Column) -> tuple[Column, Column]:
+        z = f["z"]
+        ok = f["ok"] & (base(z) | (z["kind"] == "iban") | (z["end"] <= following))
+        return F.when(base(z), z["start"]).otherwise(following), F.struct(z, ok)
+
+    there = scan(spans, F.lit(0), "int", flagged, forwards)
+    both = scan(F.reverse(there), F.lit(2**31 - 1), "int", flagged, backwards)
+    return F.transform(F.filter(F.reverse(both), lambda f: f["ok"]), lambda f: f["z"])
+
+
 def find_spans(docs: DataFrame, *keep: Column) -> DataFrame:
     """(*keep, body, base, spans) of ``docs`` (a column ``text``): ``base``
     holds the spans of base kinds, ``spans`` all, both by start and kind."""
@@ -165,18 +186,17 @@ def find_spans(docs: DataFrame, *keep: Column) -> DataFrame:
     df = df.withColumns(
         {
             f"s_{k.name}": F.when(
-                F.size(f"m_{k.name}") > 0, _spans(F.col("body"), F.col(f"m_{k.name}"), F.col(f"g_{k.name}"), i, k)
+                F.size(f"m_{k.name}") > 0, _spans(F.col(f"m_{k.name}"), F.col(f"g_{k.name}"), i, k)
             ).otherwise(none)
             for i, k in enumerate(KINDS)
         }
     )
     df = df.withColumn("base", F.sort_array(F.concat(*(F.col(f"s_{k.name}") for k in KINDS if k.base))))
 
-    def apart(z: Column) -> Column:
-        return (z["kind"] == "iban") | ~F.exists("base", lambda b: (b["start"] < z["end"]) & (z["start"] < b["end"]))
-
-    added = F.filter(F.concat(*(F.col(f"s_{k.name}") for k in KINDS if not k.base)), apart)
-    df = df.withColumn("spans", F.sort_array(F.concat("base", added)))
+    df = df.withColumn("added", F.concat(*(F.col(f"s_{k.name}") for k in KINDS if not k.base)))
+    every = F.sort_array(F.concat("base", "added"))
+    spans = F.when(F.size("added") == 0, F.col("base")).when(F.size("base") == 0, F.sort_array("added")).otherwise(_apart(every))
+    df = df.withColumn("spans", spans).drop("added")
     return df.drop(*(c for c in df.columns if c[:2] in ("m_", "g_", "s_") or c.startswith("maybe_")))
 
 
@@ -194,17 +214,19 @@ def redact(docs: DataFrame) -> DataFrame:
     follows the new text. Rows without spans are unchanged."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     found = find_spans(docs, row.alias("carried"))
-    body = F.col("body")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def put(acc: Column, z: Column) -> Column:
-        between = F.substr(body, acc["at"] + 1, F.greatest(F.lit(0), z["start"] - acc["at"]))
-        name = F.when(z["start"] >= acc["at"], F.concat(F.lit("["), F.upper(z["kind"]), F.lit("]"))).otherwise(F.lit(""))
-        return F.struct(
-            F.greatest(acc["at"], z["end"]).alias("at"), F.concat(acc["out"], between, name).alias("out")
-        )
-
-    clean = F.aggregate("spans", start, put, lambda acc: F.concat(acc["out"], F.substr(body, acc["at"] + 1)))
+    def put(reached: Column, z: Column) -> tuple[Column, Column]:
+        """The text to copy before the span, and what stands for the span."""
+        name = F.when(z["start"] >= reached, F.concat(F.lit("["), F.upper(z["kind"]), F.lit("]"))).otherwise(F.lit(""))
+        return F.greatest(reached, z["end"]), F.struct(reached, F.greatest(reached, z["start"]), name)
+
+    cuts = scan(F.col("spans"), F.lit(0), "int", "struct<from:int,to:int,name:string>", put)
+    end = F.struct(F.array_max(F.transform("spans", lambda z: z["end"])), F.length("body"), F.lit(""))
+    cuts = F.concat(cuts, F.array(end.cast("struct<from:int,to:int,name:string>")))
+    clean = cutter(
+        F.col("body"),
+        lambda cut: F.array_join(F.transform(cuts, lambda c: F.concat(cut(c["from"], c["to"]), c["name"])), ""),
+    )
     hit = F.size("spans") > 0
     found = found.withColumn("clean", F.when(hit, clean).otherwise(F.col("carried.text")))
     out = []

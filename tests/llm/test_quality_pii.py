@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -81,6 +82,26 @@ def test_base_spans_of_random_texts(spark, texts):
     assert got == {i: brute.told(brute.base_spans(t)) for i, t in enumerate(texts)}
 
 
+def test_time_follows_the_matches(spark):
+    """Spans of one text with very many matches, and ten times as many."""
+
+    def seconds(n):
+        text = "a@b.co my ssn is 123-45-6789 ref 555-12-3456 " * n
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+        begin = time.perf_counter()
+        found = pii.find_spans(docs, F.col("doc_id")).select(pii.told(F.col("base")), pii.told(F.col("spans"))).first()
+        took = time.perf_counter() - begin
+        assert found[0] == brute.told(brute.base_spans(text))
+        assert found[1].count("ssn:") == 2 * n and found[1].startswith("email:0:6,ssn:17:28,ssn:33:44,email:45:51")
+        clean = pii.redact(docs).first().text
+        assert clean == "[EMAIL] my ssn is [SSN] ref [SSN] " * n
+        return took
+
+    seconds(10)
+    few, many = seconds(2_000), seconds(20_000)
+    assert many < 20 * max(few, 1.0)
+
+
 def test_redact(odd_docs, small_docs, no_docs):
     clean = pii.redact(odd_docs)
     assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count()
