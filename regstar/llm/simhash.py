@@ -66,14 +66,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+    """(doc_id, key, fp): fp is the fingerprint as a signed long; ``key`` is that
+    of ``docs``, null where it has none."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "key", "fp"]
+            )
 
-    return columns(docs, "doc_id", "text").mapInArrow(of, "doc_id long, fp long")
+    return docs.select("doc_id", "key", "text").mapInArrow(of, "doc_id long, key string, fp long")
 
 
 # ------------------------------------------------------------- upper trie
@@ -238,6 +241,16 @@ def _unite(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 3, cell: int = 8192) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row of ``docs``."""
+    rows = columns(docs, "doc_id", "text").withColumn("key", F.lit(None).cast("string"))
+    prints, named = _components(rows, shingle, max_bits, cell)
+    return prints.join(named, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def _components(docs: DataFrame, shingle: int, max_bits: int, cell: int) -> tuple[DataFrame, DataFrame]:
+    """(prints, named): the fingerprints of ``docs`` (doc_id, key, text), and
+    (fp, root, component_id): the smallest fingerprint and doc_id of each one's component."""
     spark = for_workers(docs.sparkSession)
     shared = SharedTables(spark, "simhash")
     prints = shared.put(fingerprints(docs, shingle), "fingerprints")
@@ -281,19 +294,24 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, max_bits: int = 3, cel
         "labelled",
     )
     roots = shared.put(labelled.groupBy("root").agg(F.min("first_doc").alias("component_id")), "roots")
-    named = shared.put(labelled.join(roots, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    named = shared.put(labelled.join(roots, "root").select("fp", "root", "component_id"), "named")
+    return prints, named
 
 
 def one_of_each(docs: DataFrame, *, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``docs`` without near-duplicates: the row with the smallest doc_id of
-    each component stays, once (of rows with one doc_id, the smallest text).
-    Rows without a doc_id, which nothing can tell apart, stay."""
-    groups = near_duplicates(docs, shingle=shingle, max_bits=max_bits)
-    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    rest = docs.where("doc_id IS NOT NULL").join(dropped, "doc_id", "left_anti")
+    """``docs`` without near-duplicates: of each component one row stays, that of
+    the smallest doc_id (rows without one come last; of rows with one doc_id, that
+    of the smallest digest). Rows are told apart by the digest of all their
+    columns, so rows of one doc_id and different texts, and rows without a
+    doc_id, are judged each for itself."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    once = rest.groupBy("doc_id").agg(F.min_by(row, F.struct("text", "source", "lang", "n_chars")).alias("row"))
-    return once.select("row.*").unionByName(docs.where("doc_id IS NULL"))
+    have = {c.lower(): c for c in docs.columns}
+    keyed = docs.select(
+        row.alias("row"), F.sha2(F.to_json(row), 256).alias("key"),
+        F.col(f"`{have['doc_id']}`").alias("doc_id"), F.col(f"`{have['text']}`").alias("text"),
+    )
+    prints, named = _components(keyed, shingle, max_bits, 8192)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    kept = prints.join(named, "fp").groupBy("root").agg(F.min(order).alias("first")).select("first.key")
+    once = keyed.select("key", "row").join(kept, "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    return once.select("row.*")
