@@ -234,6 +234,17 @@ SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey % 25 >= 10
 SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey % 25 <= 14
 UNION
 SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey % 25 >= 10
+""",
+    "src_quarantine": PRELUDE + """
+, faulty AS (
+  SELECT *, left(md5(claim_number), 1) AS fault, CAST(length(claim_number) AS INTEGER) AS amount
+  FROM (SELECT claim_number, response_date, response FROM response_src)
+)
+SELECT claim_number, response_date, response, amount, CAST(NULL AS VARCHAR) AS record FROM faulty WHERE fault > '2'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, claim_number || ',' || response_date || ',' || response
+  || CASE fault WHEN '0' THEN '' WHEN '1' THEN ',' || amount || ',again' ELSE ',n/a ' || amount END
+FROM faulty WHERE fault <= '2'
 """,
     "bk_clean": f"""
 SELECT p_partkey, raw_brand, {_clean('raw_brand')} AS brand_bk

@@ -13,6 +13,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from regstar.functions import (
     clean_bk,
@@ -41,7 +42,7 @@ from regstar.plans.facts import REGISTER, weighted_claims
 from regstar.plans.star import Star, build_star, materialize
 from regstar.plans.store import Changes, StarStore
 from regstar.session import shared_dir
-from regstar.sources import driver_sources, load_tables, read_delimited, schemas, write_delimited
+from regstar.sources import driver_sources, load_tables, read_delimited, read_records, schemas, write_delimited
 from regstar.sources.driver_changes import history
 from regstar.sources.driver_tables import countries_source
 
@@ -67,6 +68,23 @@ def _star(spark: SparkSession, sf_dir: str) -> Star:
 # ---------------------------------------------------------------- sources
 
 
+def src_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The response file with broken records in it (a field too few, one too
+    many, an amount that is no number), read into good rows and quarantine."""
+    (rows,) = driver_sources(spark, sf_dir).responses
+    number, date, code = (F.col(f"`{c}`") for c in rows.columns)
+    fault = F.substring(F.md5(number.cast("binary")), 1, 1)
+    amount = F.when(fault == "2", F.concat(F.lit("n/a "), F.length(number))).otherwise(F.length(number).cast("string"))
+    line = F.concat_ws(",", number, date, code, F.when(fault != "0", amount), F.when(fault == "1", F.lit("again")))
+    path = f"{shared_dir(spark, 'quarantine')}/responses"
+    rows.select(line.alias("value")).write.text(path)
+    schema = "claim_number string, response_date string, response string, amount int"
+    found = read_records(spark, path, StructType.fromDDL(schema), header=False)
+    bad = found.bad.select(*(F.lit(None).cast("string").alias(c) for c in ("claim_number", "response_date", "response")),
+                           F.lit(None).cast("int").alias("amount"), "record")
+    return found.good.withColumn("record", F.lit(None).cast("string")).unionByName(bad)
+
+
 def src_delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and the country list written as delimited text into the
     shared folder (headerless TSV, header CSV), read back with fixed schemas
@@ -539,6 +557,7 @@ CATALOGUE: dict[str, Query] = {
     "src_delimited_roundtrip": src_delimited_roundtrip,
     "src_files_factory": src_files_factory,
     "src_files_response": src_files_response,
+    "src_quarantine": src_quarantine,
     "src_union_all": src_union_all,
     "src_union_distinct": src_union_distinct,
     "bk_clean": bk_clean,
