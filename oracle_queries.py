@@ -245,6 +245,11 @@ UNION ALL
 SELECT NULL, NULL, NULL, NULL, claim_number || ',' || response_date || ',' || response
   || CASE fault WHEN '0' THEN '' WHEN '1' THEN ',' || amount || ',again' ELSE ',n/a ' || amount END
 FROM faulty WHERE fault <= '2'
+""",
+    "key_map_products": PRELUDE + """
+SELECT count(*) AS ids, CAST(1 AS BIGINT) AS lowest, count(*) AS highest,
+       count(*) FILTER (product_family_name IS NOT NULL) AS unchanged
+FROM dim_product
 """,
     "bk_clean": f"""
 SELECT p_partkey, raw_brand, {_clean('raw_brand')} AS brand_bk

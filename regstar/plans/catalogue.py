@@ -39,6 +39,7 @@ from regstar.plans import sql_forms as S
 from regstar.plans.calendar import dim_calendar
 from regstar.plans.cobucketed import answered_star, write_answered
 from regstar.plans.facts import REGISTER, weighted_claims
+from regstar.plans.key_map import KeyMap
 from regstar.plans.star import Star, build_star, materialize
 from regstar.plans.store import Changes, StarStore
 from regstar.session import shared_dir
@@ -399,6 +400,21 @@ def star_written_q4a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.q4_top(star, Q4_COUNTRY, Q4_START, Q4_END, measure="price_over_pct")
 
 
+def key_map_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense ids of the products: all known families' products are numbered,
+    then the whole dimension. Number of ids, lowest, highest, and how many of the
+    first ones are unchanged."""
+    keys = KeyMap(spark, shared_dir(spark, "keys"))
+    products = _star(spark, sf_dir).product
+    first = keys.extend(products.where("product_family_name IS NOT NULL").select("product_id"))
+    now = keys.extend(products.select("product_id"))
+    both = now.join(first.withColumnRenamed("id", "was"), "key", "left")
+    return both.agg(
+        F.count_distinct("id").alias("ids"), F.min("id").alias("lowest"), F.max("id").alias("highest"),
+        F.count_if(F.col("id") == F.col("was")).alias("unchanged"),
+    )
+
+
 def _bucketed_star(spark: SparkSession, sf_dir: str) -> Star:
     star = _star(spark, sf_dir)
     return answered_star(star, write_answered(star))
@@ -589,6 +605,7 @@ CATALOGUE: dict[str, Query] = {
     "q4_amount_granted": q4_amount_granted,
     "star_written_q3": star_written_q3,
     "star_written_q4a": star_written_q4a,
+    "key_map_products": key_map_products,
     "star_bucketed_q2a": star_bucketed_q2a,
     "star_bucketed_q4a": star_bucketed_q4a,
     "star_version_q3": star_version_q3,
