@@ -337,6 +337,12 @@ GROUP BY 2 ORDER BY 2
     "q2b_share_as_reference": PRELUDE + _share("fact_reg", "fact_reimb"),
     "q2b_share_own_total": PRELUDE + _share("fact_reg", "fact_reg"),
     "q2b_sql_twin": PRELUDE + _share_only("fact_reg"),
+    "prices_by_country": PRELUDE + """
+SELECT country_bk, drug_price_currency, count(*) AS offers, max(drug_price) AS highest, min(drug_price) AS lowest
+FROM fact_reimb
+WHERE response = 'Approved' AND year(response_date) = 1998 AND quarter(response_date) = 4
+GROUP BY country_bk, drug_price_currency
+""",
     "q3_top_price": PRELUDE + Q3,
     "q3_sql_twin": PRELUDE + Q3,
     "q4a_top_amount": PRELUDE + Q4A,
@@ -430,6 +436,7 @@ for _sql_form, _same_as in (
     ("src_files_response", "dim_response"),
     ("star_written_q3", "q3_top_price"),
     ("star_written_q4a", "q4a_top_amount"),
+    ("star_clustered_q3", "q3_top_price"),
     ("star_bucketed_q2a", "q2a_on_time_share"),
     ("star_bucketed_q4a", "q4a_top_amount"),
     ("star_version_q3", "q3_top_price"),

@@ -4,6 +4,7 @@ from regstar.operators.aggregates import arg_max_rows, share_of, weighted_share
 from regstar.operators.lookup import bounded_broadcast, lookup, repeats, role_lookup
 from regstar.operators.quality import duplicate_keys, orphans, orphans_by_key, unmapped_codes
 from regstar.operators.recode import latest_source, recode, union_all, union_distinct
+from regstar.operators.runtime_filter import may_match
 
 __all__ = [
     "arg_max_rows",
@@ -11,6 +12,7 @@ __all__ = [
     "duplicate_keys",
     "latest_source",
     "lookup",
+    "may_match",
     "orphans",
     "orphans_by_key",
     "recode",

@@ -37,6 +37,7 @@ from regstar.plans import dims as D
 from regstar.plans import questions as Q
 from regstar.plans import sql_forms as S
 from regstar.plans.calendar import dim_calendar
+from regstar.plans.clustered import cluster
 from regstar.plans.cobucketed import answered_star, write_answered
 from regstar.plans.facts import REGISTER, weighted_claims
 from regstar.plans.key_map import KeyMap
@@ -400,6 +401,17 @@ def star_written_q4a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.q4_top(star, Q4_COUNTRY, Q4_START, Q4_END, measure="price_over_pct")
 
 
+def star_clustered_q3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 on the reimbursement fact clustered by response date and country."""
+    return Q.q3_top_price(cluster(materialize(_star(spark, sf_dir))), Q3_COUNTRIES, Q3_YEAR, Q3_QUARTER)
+
+
+def prices_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approved offers answered in one quarter by country and currency; the
+    claims pass a runtime filter of the quarter's responses before they are shuffled."""
+    return Q.prices_by_country(_star(spark, sf_dir), Q3_YEAR, Q3_QUARTER)
+
+
 def key_map_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense ids of the products: all known families' products are numbered,
     then the whole dimension. Number of ids, lowest, highest, and how many of the
@@ -605,6 +617,8 @@ CATALOGUE: dict[str, Query] = {
     "q4_amount_granted": q4_amount_granted,
     "star_written_q3": star_written_q3,
     "star_written_q4a": star_written_q4a,
+    "star_clustered_q3": star_clustered_q3,
+    "prices_by_country": prices_by_country,
     "key_map_products": key_map_products,
     "star_bucketed_q2a": star_bucketed_q2a,
     "star_bucketed_q4a": star_bucketed_q4a,

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regstar.functions import clean_bk, date_key, has_price, price_amount, price_currency
-from regstar.operators import lookup, role_lookup
+from regstar.operators import lookup, may_match, role_lookup
 from regstar.plans.star import Star
 
 REGISTRATION_COLUMNS = (
@@ -146,6 +146,21 @@ def offers(star: Star, countries: Iterable[str], answers: Column) -> DataFrame:
     )
 
 
+def answered_prices(star: Star, answers: Column, **bounds) -> DataFrame:
+    """Priced reimbursement claims of all countries whose response (a row of the
+    response dimension) meets ``answers``: country_bk, drug_price,
+    drug_price_currency. The claims that are shuffled to their responses are
+    those that pass a runtime filter of the responses' keys (``bounds``: those of
+    ``may_match``)."""
+    side = star.response.where(answers).select("response_bk")
+    claims, side = may_match(_claims(star, (REFUND,)), F.col("claimnumber"), side, "response_bk", **bounds)
+    f = lookup(claims, side, fact_key=F.col("claimnumber"), dim_key="response_bk", carry={}, how="inner", name="response")
+    f = _indication(star, _country(star, f, True), False)
+    return f.select(
+        "country_bk", price_amount("drugprice").alias("drug_price"), price_currency("drugprice").alias("drug_price_currency")
+    )
+
+
 def with_products(star: Star, rows: DataFrame) -> DataFrame:
     """Product attributes of ``rows`` (product_key); unknown products drop."""
     carry = {"product_bk": "product_bk", "product_name": "product_name"}

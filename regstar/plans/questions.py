@@ -7,17 +7,18 @@ plan as one-row aggregates instead of being collected to the driver.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regstar.functions import date_key, quarter_label
 from regstar.operators import arg_max_rows, union_all, weighted_share
-from regstar.plans.facts import REFUND, REGISTER, offers, weighted_claims, with_products
-from regstar.plans.star import Star, in_countries
+from regstar.plans.facts import REFUND, REGISTER, answered_prices, offers, weighted_claims, with_products
+from regstar.plans.star import Star, answered_in
 
 APPROVED = "Approved"
+QUARTERS = ("Q1", "Q2", "Q3", "Q4")
 
 
 def claims_per_year(fact: DataFrame, star: Star) -> DataFrame:
@@ -98,7 +99,7 @@ def q3_top_price(
     second step only)."""
     if star.facts_written:
         cal = star.calendar.where((F.col("year") == year) & (F.col("quarter") == quarter)).select("date_id")
-        fact = in_countries(star.reimbursement(with_attributes=True), countries)
+        fact = answered_in(star, countries, *quarter_days(year, quarter))
         rows = fact.where(F.col("response") == APPROVED).join(cal, fact.response_date_id == cal.date_id)
         top = arg_max_rows(rows.select("product_id", "product_bk", "product_name", "drug_price"), "drug_price")
         return top.where(F.col("product_id").isNotNull()).select("product_bk", "product_name").distinct()
@@ -108,6 +109,25 @@ def q3_top_price(
     return with_products(star, arg_max_rows(rows, "drug_price")).select("product_bk", "product_name").distinct()
 
 
+def quarter_days(year: int, quarter: str) -> tuple[date, date]:
+    """First and last day of a quarter (``'Q1'`` .. ``'Q4'``); of the year for
+    any other label, which no day has."""
+    first = 3 * QUARTERS.index(quarter) + 1 if quarter in QUARTERS else 1
+    last = first + 2 if quarter in QUARTERS else 12
+    return date(year, first, 1), date(year + last // 12, last % 12 + 1, 1) - timedelta(days=1)
+
+
+def prices_by_country(star: Star, year: int, quarter: str, **bounds) -> DataFrame:
+    """For each country (null: unknown ones): approved offers answered in a
+    quarter, the highest and the lowest price in each currency."""
+    day = F.col("response_date")
+    answers = (F.col("response") == APPROVED) & (F.year(day) == year) & (quarter_label(day) == quarter)
+    prices = answered_prices(star, answers & date_key(day).isNotNull(), **bounds)
+    return prices.groupBy("country_bk", "drug_price_currency").agg(
+        F.count("*").alias("offers"), F.max("drug_price").alias("highest"), F.min("drug_price").alias("lowest")
+    )
+
+
 MEASURES = {
     "price_over_pct": lambda: F.try_divide(F.col("drug_price"), F.col("reimbursement_claimed_prc")),
     "price_times_pct": lambda: F.col("drug_price") * F.col("reimbursement_claimed_prc") / F.lit(100.0),
@@ -133,7 +153,7 @@ def q4_top(
     approval filter the modelled questions lack."""
     if star.facts_written:
         cal = star.calendar.where(F.col("dt").between(start, end)).select("date_id")
-        fact = in_countries(star.reimbursement(with_attributes=True), [country])
+        fact = answered_in(star, [country], start, end)
         if approved_only:
             fact = fact.where(F.col("response") == APPROVED)
         rows = fact.join(cal, fact.response_date_id == cal.date_id).withColumn("measure", MEASURES[measure]())

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regstar.functions import clean_bk
+from regstar.functions.keys import CALENDAR_START
 from regstar.operators import bounded_broadcast, repeats
 from regstar.plans import dims as D
 from regstar.plans.calendar import dim_calendar
@@ -41,12 +43,15 @@ class Star:
         dims: dict[str, DataFrame] | None = None,
         facts: dict[str, DataFrame] | None = None,
         answered: bool = False,
+        grid=None,
     ):
         self.spark = spark
         self.sources = sources
         self.check_small_dims = check_small_dims
         #: The claims have a cleaned number and their response's columns already.
         self.answered = answered
+        #: How the reimbursement fact is clustered (``clustered.Grid``), if it is.
+        self.grid = grid
         self._dims: dict[str, DataFrame] = dict(dims or {})
         self.facts: dict[str, DataFrame] = dict(facts or {})
         self._repeats: dict[str, DataFrame] = {}
@@ -211,3 +216,15 @@ def in_countries(fact: DataFrame, countries) -> DataFrame:
     if COUNTRY_PART in fact.columns:
         rows = rows.where(F.col(COUNTRY_PART).isin([f"code_{c}" for c in codes]))
     return rows
+
+
+def answered_in(star: Star, countries: Iterable[str], start: date, end: date) -> DataFrame:
+    """Written reimbursement claims (with attributes) of these countries that
+    were answered between ``start`` and ``end``, both included. The days are
+    compared as numbers with literals, so row groups without them are not read;
+    of a clustered fact neither are the other zones' files."""
+    codes = list(countries)
+    first, last = (start - CALENDAR_START).days, (end - CALENDAR_START).days
+    rows = in_countries(star.reimbursement(with_attributes=True), codes)
+    rows = rows.where(F.col("response_date_id").between(first, last))
+    return rows if star.grid is None else star.grid.prune(rows, codes, first, last)
