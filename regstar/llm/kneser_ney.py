@@ -84,14 +84,30 @@ def histories(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return before
 
 
+def preceding(tokens: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndarray]:
+    """The order - 1 tokens before each, the nearest first. Texts start with
+    begin marks."""
+    out = [histories(tokens, ends)]
+    for _ in range(order - 2):
+        out.append(histories(out[-1], ends))
+    return out
+
+
+def history_hash(before: list[np.ndarray]) -> np.ndarray:
+    """The hash of a history, given its tokens, the nearest first."""
+    h = before[0]
+    for older in before[1:]:
+        h = pair_hash(older, h)
+    return h
+
+
 def contexts(tokens: np.ndarray, ends: np.ndarray, order: int) -> list[np.ndarray]:
     """Each token's history at levels 2 to ``order``: the token before it, then
-    a hash of the two, three, ... before it. Texts start with begin marks."""
-    before = histories(tokens, ends)
-    out = [before]
-    for _ in range(order - 2):
-        before = histories(before, ends)
-        out.append(pair_hash(before, out[-1]))
+    a hash of the two, three, ... before it."""
+    nearest, *older = preceding(tokens, ends, order)
+    out = [nearest]
+    for token in older:
+        out.append(pair_hash(token, out[-1]))
     return out
 
 
@@ -136,6 +152,33 @@ def _unpack(blob: bytes, *kinds: np.dtype) -> list[np.ndarray]:
     return out
 
 
+def _coded(*columns: np.ndarray) -> list[np.ndarray]:
+    """[distinct values, then each column as places in them]: words recur, so
+    two bytes mostly do for eight."""
+    known, which = np.unique(np.concatenate(columns), return_inverse=True)
+    which = which.astype(np.uint16 if len(known) <= 1 << 16 else U32)
+    return [known, *np.split(which, np.cumsum([len(c) for c in columns])[:-1])]
+
+
+def _pack_grams(before: list[np.ndarray], followers: np.ndarray, w: np.ndarray, counts: np.ndarray) -> bytes:
+    """Grams of one shard: of each history its tokens and number of followers;
+    of each gram its last word and count."""
+    known, *columns = _coded(*before, w)
+    few = counts.max() < 256 and followers.max() < 256
+    small = np.uint8 if few else U32
+    sizes = bytes([columns[0].itemsize, np.dtype(small).itemsize])
+    return sizes + _pack(known, *columns, followers.astype(small), counts.astype(small))
+
+
+def _unpack_grams(blob: bytes, level: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(tokens before, nearest first; last words; counts), a row for each gram."""
+    kinds = {1: np.dtype(np.uint8), 2: np.dtype(np.uint16), 4: U32}
+    word, small = kinds[blob[0]], kinds[blob[1]]
+    known, *columns, followers, counts = _unpack(blob[2:], U64, *[word] * level, small, small)
+    *before, w = (known[c] for c in columns)
+    return [np.repeat(x, followers) for x in before], w, counts.astype(np.int64)
+
+
 # ------------------------------------------------------------------- files
 
 
@@ -222,31 +265,38 @@ def _frequent(docs: DataFrame, sample_docs: int, share: float, order: int) -> di
     return {k: np.sort(np.array(list(h), np.uint64)) for k, h in found.items()}
 
 
-def _blobs(h: np.ndarray, lower: list[np.ndarray], w: np.ndarray, counts: np.ndarray, shards: int, frequent: np.ndarray):
-    """(shard, blob) of distinct grams: histories with their shorter ones, and
-    each one's words with counts."""
-    spread = np.isin(h, frequent)
-    shard = np.where(spread, pair_hash(w, h), _mix(h)) % np.uint64(shards)
-    order = np.lexsort((h, shard))
-    h, w, counts, shard, lower = h[order], w[order], counts[order], shard[order], [x[order] for x in lower]
-    edges = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-    for s in range(shards):
-        a, b = edges[s], edges[s + 1]
-        if a < b:
-            starts = np.flatnonzero(np.concatenate(([True], h[a + 1 : b] != h[a : b - 1])))
-            followers = np.diff(np.append(starts, b - a))
-            shorter = [x[a:b][starts] for x in lower]
-            yield s, _pack(h[a:b][starts], followers.astype(U32), w[a:b], counts[a:b].astype(U32), *shorter)
+def _runs(ranked: np.ndarray) -> np.ndarray:
+    """Where the values of a sorted array (or rows of sorted columns) begin, and its end."""
+    columns = ranked if isinstance(ranked, list) else [ranked]
+    n = len(columns[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.append(np.flatnonzero(new), n)
+
+
+def _blobs(before: list[np.ndarray], w: np.ndarray, counts: np.ndarray, shards: int, frequent: np.ndarray):
+    """(shard, blob) of distinct grams: the tokens of their histories, the
+    nearest first, their last words and counts. Only shards that occur."""
+    h = history_hash(before)
+    shard = np.where(np.isin(h, frequent), pair_hash(w, h), _mix(h)) % np.uint64(shards)
+    order = np.lexsort((w, *before[::-1], shard))
+    w, counts, shard, before = w[order], counts[order], shard[order], [x[order] for x in before]
+    edges = _runs(shard)
+    for a, b in zip(edges[:-1], edges[1:]):
+        of = [x[a:b] for x in before]
+        starts = _runs(of)
+        yield int(shard[a]), _pack_grams([x[starts[:-1]] for x in of], np.diff(starts), w[a:b], counts[a:b])
 
 
 def _count_grams(shards: int, frequent: dict[int, np.ndarray], order: int):
     """Worker function: texts to (shard, blob of counts of the longest grams)."""
 
     def blobs(tokens: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        *lower, h = contexts(tokens, ends, order)
-        by, starts, counts = _counted(pair_hash(h, tokens))
+        before = preceding(tokens, ends, order)
+        by, starts, counts = _counted(pair_hash(history_hash(before), tokens))
         first = by[starts]
-        yield from _blobs(h[first], [x[first] for x in lower], tokens[first], counts, shards, frequent[order])
+        yield from _blobs([x[first] for x in before], tokens[first], counts, shards, frequent[order])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, held, size = Tokens(), [], 0
@@ -280,14 +330,14 @@ def _merge_grams(folder: str, shards: int, frequent: dict[int, np.ndarray], leve
 
     def merge(key, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()
-        parts = []
-        for blob in table.column("blob").to_pylist():
-            h, followers, w, c, *lower = _unpack(blob, U64, U32, U64, U32, *[U64] * (level - 2))
-            parts.append((w, c, *(np.repeat(x, followers) for x in (h, *lower))))
-        w, c, h, *lower = (np.concatenate([p[i] for p in parts]) for i in range(level + 1))
-        by, starts, counts = _counted(pair_hash(h, w), c.astype(np.int64))
+        parts = [_unpack_grams(blob, level) for blob in table.column("blob").to_pylist()]
+        before = [np.concatenate([p[0][i] for p in parts]) for i in range(level - 1)]
+        w, c = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+        del parts
+        by, starts, counts = _counted(pair_hash(history_hash(before), w), c)
         first = by[starts]
-        h, w, lower = h[first], w[first], [x[first] for x in lower]
+        w, before = w[first], [x[first] for x in before]
+        h = history_hash(before)
         seen = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
         by, starts, totals = _counted(h, counts)
         ranked = counts[by]
@@ -307,16 +357,16 @@ def _merge_grams(folder: str, shards: int, frequent: dict[int, np.ndarray], leve
         if level in (2, order):
             to = _mix(words) % np.uint64(shards)
             by = np.argsort(to, kind="stable")
-            edges = np.searchsorted(to[by], np.arange(shards + 1, dtype=np.uint64))
-            for s in range(shards):
-                part = by[edges[s] : edges[s + 1]]
-                if len(part):
-                    rows.append(("words", s, _pack(words[part], tokens[part].astype(U64), kinds[part].astype(U32)), 0, 0, 0, 0))
-        if lower:
-            *rest, h = lower
-            by, starts, kinds = _counted(pair_hash(h, w))
+            edges = _runs(to[by])
+            for start, end in zip(edges[:-1], edges[1:]):
+                part = by[start:end]
+                blob = _pack(words[part], tokens[part].astype(U64), kinds[part].astype(U32))
+                rows.append(("words", int(to[part[0]]), blob, 0, 0, 0, 0))
+        if level > 2:
+            shorter = before[:-1]  # without the oldest token
+            by, starts, kinds = _counted(pair_hash(history_hash(shorter), w))
             first = by[starts]
-            for s, blob in _blobs(h[first], [x[first] for x in rest], w[first], kinds, shards, frequent[level - 1]):
+            for s, blob in _blobs([x[first] for x in shorter], w[first], kinds, shards, frequent[level - 1]):
                 rows.append(("grams", s, blob, 0, 0, 0, 0))
         return _rows(rows)
 
@@ -391,7 +441,12 @@ def train(docs: DataFrame, shared: SharedTables, *, order: int = 2, shard_bytes:
     seen, spread, words = {}, {}, None
     for level in range(order, 1, -1):
         merge = _plain(_merge_grams(folder, shards, frequent, level, order))
-        merged = shared.put(blobs.groupBy("shard").applyInArrow(merge, ROWS), f"pairs{level}")
+        # By kind of row, so that the grams, most of its bytes, go once the next level has them.
+        path = f"{shared.root}/pairs{level}"
+        blobs.groupBy("shard").applyInArrow(merge, ROWS).write.partitionBy("what").parquet(path)
+        if level < order:
+            shared.drop(f"pairs{level + 1}/what=grams")
+        merged = docs.sparkSession.read.schema(ROWS).parquet(path)
         blobs = merged.where("what = 'grams'").select(F.col("id").alias("shard"), "blob")
         own = merged.where("what = 'words'").select(F.col("id").alias("shard"), "blob")
         words = own if words is None else words.unionByName(own)
@@ -438,11 +493,11 @@ class Scorer:
         self.model, self.maps = model, Maps(model.folder)
 
     def _by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The shards that occur, each with its places."""
         order = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[order], np.arange(self.model.shards + 1, dtype=np.uint64))
-        for s in range(self.model.shards):
-            if edges[s] < edges[s + 1]:
-                yield s, order[edges[s] : edges[s + 1]]
+        edges = _runs(shard[order])
+        for a, b in zip(edges[:-1], edges[1:]):
+            yield int(shard[order[a]]), order[a:b]
 
     def words(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(token count, continuation probability) of sorted word hashes."""
