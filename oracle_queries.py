@@ -361,6 +361,21 @@ GROUP BY drugproductfamilyid HAVING count(*) > 1 OR drugproductfamilyid IS NULL
 UNION ALL
 SELECT 'indication', indicationid, count(*) FROM indication_src
 GROUP BY indicationid HAVING count(*) > 1 OR indicationid IS NULL
+""",
+    "dq_nearest_products": PRELUDE + f"""
+, known AS (
+  SELECT DISTINCT {_clean('drugproductid')} AS known FROM drugproduct WHERE drugproductid IS NOT NULL
+), lost AS (
+  SELECT k AS key, count(*) AS n_rows FROM (SELECT {_clean('productcodeid')} AS k FROM claim) c
+  WHERE k IS NOT NULL AND k NOT IN (SELECT known FROM known) GROUP BY k
+), near AS (
+  SELECT key, known, levenshtein(key, known) AS distance FROM lost, known WHERE levenshtein(key, known) <= 2
+), best AS (
+  SELECT key, distance, min(known) AS proposal, count(*) AS nearest FROM near
+  WHERE (key, distance) IN (SELECT (key, min(distance)) FROM near GROUP BY key) GROUP BY key, distance
+)
+SELECT key, n_rows, CAST(distance AS INTEGER) AS distance, proposal, coalesce(nearest, 0) AS nearest
+FROM lost LEFT JOIN best USING (key)
 """,
     "dq_orphans": PRELUDE + f"""
 SELECT 'claim.productcodeid' AS foreign_key, k AS key, count(*) AS n_rows

@@ -2,6 +2,7 @@
 
 from regstar.operators.aggregates import arg_max_rows, share_of, weighted_share
 from regstar.operators.lookup import bounded_broadcast, lookup, repeats, role_lookup
+from regstar.operators.nearest import nearest_codes, proposals
 from regstar.operators.quality import duplicate_keys, orphans, orphans_by_key, unmapped_codes
 from regstar.operators.recode import latest_source, recode, union_all, union_distinct
 from regstar.operators.runtime_filter import may_match
@@ -13,8 +14,10 @@ __all__ = [
     "latest_source",
     "lookup",
     "may_match",
+    "nearest_codes",
     "orphans",
     "orphans_by_key",
+    "proposals",
     "recode",
     "repeats",
     "role_lookup",

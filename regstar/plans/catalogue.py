@@ -28,6 +28,7 @@ from regstar.operators import (
     duplicate_keys,
     orphans,
     orphans_by_key,
+    proposals,
     role_lookup,
     union_all,
     union_distinct,
@@ -529,6 +530,15 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all([claim_checks, family_check])
 
 
+def dq_nearest_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of claims that no product carries, with their claims, and
+    the nearest product code: the first one, how many there are, and the distance."""
+    src = driver_sources(spark, sf_dir)
+    products = src.drugproduct.select(clean_bk("drugproductid").alias("known"))
+    lost = orphans(src.claim, products, child_key=clean_bk("productcodeid"), parent_key=F.col("known"), key_name="key")
+    return proposals(lost, products, code="key", known="known")
+
+
 def dq_fanout_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Business keys held by more than one row of a lookup dimension (each
     such key multiplies the fact rows that look it up)."""
@@ -630,6 +640,7 @@ CATALOGUE: dict[str, Query] = {
     "fact_reimbursement_sql": fact_reimbursement_sql,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_orphans": dq_orphans,
+    "dq_nearest_products": dq_nearest_products,
     "dq_fanout_guard": dq_fanout_guard,
     "dq_unmapped_codes": dq_unmapped_codes,
     "dq_key_collisions": dq_key_collisions,
