@@ -361,6 +361,21 @@ GROUP BY drugproductfamilyid HAVING count(*) > 1 OR drugproductfamilyid IS NULL
 UNION ALL
 SELECT 'indication', indicationid, count(*) FROM indication_src
 GROUP BY indicationid HAVING count(*) > 1 OR indicationid IS NULL
+""",
+    "asof_factory_licences": PRELUDE + f"""
+, licence AS (
+  SELECT 'F' || CAST(100 + s_nationkey AS VARCHAR) AS key, valid_from, min(s_name) AS licence, arg_min(valid_to, s_name) AS valid_to
+  FROM (
+    SELECT *, CASE WHEN s_suppkey % 4 = 0 THEN valid_from + 300 ELSE DATE '9999-12-31' END AS valid_to
+    FROM (SELECT *, DATE '1992-01-01' + CAST(s_suppkey * 53 % 2200 AS INTEGER) AS valid_from FROM supplier)
+  ) GROUP BY 1, 2
+), c AS (
+  SELECT {_clean('factoryapi')} AS factory, submissiondate AS day FROM claim WHERE claimtype = 'REGISTER'
+), valid AS (
+  SELECT c.factory, c.day, CASE WHEN c.day < l.valid_to THEN l.licence END AS licence
+  FROM c ASOF LEFT JOIN licence l ON c.factory = l.key AND c.day >= l.valid_from
+)
+SELECT factory, licence, count(*) AS claims, min(day) AS first_day, max(day) AS last_day FROM valid GROUP BY factory, licence
 """,
     "dq_nearest_products": PRELUDE + f"""
 , known AS (

@@ -1,6 +1,7 @@
 """Reusable plan fragments built from DataFrame operators."""
 
 from regstar.operators.aggregates import arg_max_rows, share_of, weighted_share
+from regstar.operators.asof import as_of
 from regstar.operators.lookup import bounded_broadcast, lookup, repeats, role_lookup
 from regstar.operators.nearest import nearest_codes, proposals
 from regstar.operators.quality import duplicate_keys, orphans, orphans_by_key, unmapped_codes
@@ -9,6 +10,7 @@ from regstar.operators.runtime_filter import may_match
 
 __all__ = [
     "arg_max_rows",
+    "as_of",
     "bounded_broadcast",
     "duplicate_keys",
     "latest_source",

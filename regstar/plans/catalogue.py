@@ -25,6 +25,7 @@ from regstar.functions import (
     price_currency,
 )
 from regstar.operators import (
+    as_of,
     duplicate_keys,
     orphans,
     orphans_by_key,
@@ -47,7 +48,7 @@ from regstar.plans.store import Changes, StarStore
 from regstar.session import shared_dir
 from regstar.sources import driver_sources, load_tables, read_delimited, read_records, schemas, write_delimited
 from regstar.sources.driver_changes import history
-from regstar.sources.driver_tables import countries_source
+from regstar.sources.driver_tables import countries_source, factory_licences
 
 # Fixed parameters of the questions on the driver tables.
 Q3_COUNTRIES = ("NB", "NC", "ND", "NE")
@@ -279,6 +280,18 @@ def join_role_factory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("claimnumber", "factory_api_name", "factory_bulk_name", "factory_package_name")
 
 
+def asof_factory_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registration claims by their api factory and its licence that was valid on
+    the day of submission (null: none was)."""
+    claims = driver_sources(spark, sf_dir).claim.where(F.col("claimtype") == REGISTER)
+    claims = claims.select(clean_bk("factoryapi").alias("factory"), "submissiondate")
+    licences = factory_licences(spark, sf_dir)
+    licensed = as_of(claims, licences, key=F.col("factory"), day=F.col("submissiondate"), carry=["licence"])
+    return licensed.groupBy("factory", "licence").agg(
+        F.count("*").alias("claims"), F.min("submissiondate").alias("first_day"), F.max("submissiondate").alias("last_day")
+    )
+
+
 def fact_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registrations(_star(spark, sf_dir))
 
@@ -609,6 +622,7 @@ CATALOGUE: dict[str, Query] = {
     "dim_calendar": dim_calendar_q,
     "join_role_calendar": join_role_calendar,
     "join_role_factory": join_role_factory,
+    "asof_factory_licences": asof_factory_licences,
     "fact_registration": fact_registration,
     "fact_reimbursement": fact_reimbursement,
     "q1_claims_per_year": q1_claims_per_year,

@@ -56,6 +56,7 @@ UNPARSABLE_DATE_MODULUS = 97
 # The two factory files overlap: of each 25 nations in a row, the first 15
 # are in the first file and the last 15 in the second.
 FACTORY_FILE_NATIONS = 25
+LICENCE_FIRST_DAY, LICENCE_STEP, LICENCE_DAYS, LICENCE_LENGTH = "1992-01-01", 53, 2200, 300
 FACTORY_FILE_1_UNTIL = 14
 FACTORY_FILE_2_FROM = 10
 FACTORY_PADDED_NAME = 3
@@ -316,3 +317,17 @@ def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
         responses=lambda: responses_sources(t),
         dictionary=lambda: response_dictionary(spark),
     )
+
+
+def factory_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of the factories (shape: key, licence, valid_from, valid_to): one
+    for each supplier, for the factory of its nation; the days from its number,
+    every fourth one with an end."""
+    n = F.col("s_suppkey")
+    start = F.date_add(F.lit(LICENCE_FIRST_DAY).cast("date"), F.pmod(n * LICENCE_STEP, F.lit(LICENCE_DAYS)).cast("int"))
+    return load_tables(spark, sf_dir)["supplier"].select(
+        factory_code(F.col("s_nationkey")).alias("key"),
+        F.col("s_name").alias("licence"),
+        start.alias("valid_from"),
+        F.when(n % 4 == 0, F.date_add(start, LICENCE_LENGTH)).alias("valid_to"),
+    )
