@@ -2,10 +2,10 @@
 
 Plan shape (per fact): the claim scan is filtered on ``claimtype`` and pruned
 to the columns used; date keys are computed, not joined; then come the lookups
-into small lists (country, indication: broadcast, pipelined with the scan),
-then those whose dimensions grow with the data (response, product: shuffle
-joins re-planned by AQE from runtime sizes), and last the factory roles, whose
-codes are not unique, so that the extra rows are never shuffled.
+whose dimensions grow with the data (response, product: shuffle joins re-planned
+by AQE from runtime sizes), then those into small lists (country, indication:
+broadcast), and last the factory roles, so that neither the columns of the small
+lists nor the extra rows of codes that are not unique are shuffled.
 
 ``with_attributes=True`` also carries the business attributes the questions
 need (product key and name, response text and date, country code, ...) out of
@@ -54,6 +54,11 @@ REIMBURSEMENT_COLUMNS = (
 
 FACTORY_ROLES = ("api", "bulk", "package")
 
+# Source columns of a claim that no fact has and no lookup after the shared ones reads.
+LOOKUP_ONLY = (
+    "ronumber", "productfamily", "countrycode", "submissiondate", "expectedresponsedate", "productcodeid", "indicationid",
+)
+
 # Business attributes carried with ``with_attributes=True``.
 ATTRIBUTE_COLUMNS = (
     "product_bk",
@@ -123,12 +128,17 @@ def _product(star: Star, f: DataFrame, extra: bool) -> DataFrame:
     )
 
 
-def _shared_lookups(star: Star, claims: DataFrame, with_attributes: bool) -> DataFrame:
-    """Small lists first (broadcast, no shuffle), then response and product."""
-    f = _country(star, claims, with_attributes)
+def _shared_lookups(star: Star, claims: DataFrame, with_attributes: bool, deal=None) -> DataFrame:
+    """Response and product first, while the rows are as narrow as the source's,
+    then the small lists (broadcast), whose columns so are never shuffled. The
+    source columns that only the lookups read are left out afterwards. ``deal``,
+    if given, deals the rows out to writers between the two (see ``StarStore``)."""
+    f = _response(star, claims, with_attributes)
+    f = _product(star, f, with_attributes)
+    f = f if deal is None else deal(f)
+    f = _country(star, f, with_attributes)
     f = _indication(star, f, with_attributes)
-    f = _response(star, f, with_attributes)
-    return _product(star, f, with_attributes)
+    return f.drop(*LOOKUP_ONLY)
 
 
 def offers(star: Star, countries: Iterable[str], answers: Column) -> DataFrame:
@@ -230,11 +240,11 @@ def _claims(star: Star, claimtypes: tuple[str, ...]) -> DataFrame:
     )
 
 
-def claim_lookups(star: Star, claimtypes: tuple[str, ...], *, with_attributes: bool = False) -> DataFrame:
+def claim_lookups(star: Star, claimtypes: tuple[str, ...], *, with_attributes: bool = False, deal=None) -> DataFrame:
     """Claims of ``claimtypes`` with the lookups both facts share (product,
     response, indication, country, date keys). Both facts are finished from
     this frame; ``materialize`` writes it, so the lookups run once."""
-    return _shared_lookups(star, _claims(star, claimtypes), with_attributes)
+    return _shared_lookups(star, _claims(star, claimtypes), with_attributes, deal)
 
 
 def finish_registration(f: DataFrame, star: Star, *, with_attributes: bool = False) -> DataFrame:
@@ -271,15 +281,15 @@ def finish_reimbursement(f: DataFrame, *, with_attributes: bool = False) -> Data
     return f.select(*cols)
 
 
-def registration_fact(star: Star, *, with_attributes: bool = False) -> DataFrame:
+def registration_fact(star: Star, *, with_attributes: bool = False, deal=None) -> DataFrame:
     """Registration claims: every ``REGISTER`` claim, with product, indication,
     three factory roles, three date roles, country and response keys."""
-    f = claim_lookups(star, (REGISTER,), with_attributes=with_attributes)
+    f = claim_lookups(star, (REGISTER,), with_attributes=with_attributes, deal=deal)
     return finish_registration(f, star, with_attributes=with_attributes)
 
 
-def reimbursement_fact(star: Star, *, with_attributes: bool = False) -> DataFrame:
+def reimbursement_fact(star: Star, *, with_attributes: bool = False, deal=None) -> DataFrame:
     """Reimbursement claims: ``REFUND`` claims with a price, with product,
     indication, three date roles, country and response keys."""
-    f = claim_lookups(star, (REFUND,), with_attributes=with_attributes)
+    f = claim_lookups(star, (REFUND,), with_attributes=with_attributes, deal=deal)
     return finish_reimbursement(f, with_attributes=with_attributes)

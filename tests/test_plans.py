@@ -120,3 +120,17 @@ def test_claims_of_a_maximum_are_read_once(spark):
     # One scan for the claims, one for the responses.
     assert final.count("FileScan parquet [l_orderkey") == 2
     assert "ReusedExchange" in final
+
+
+def test_small_lists_are_looked_up_after_the_shuffles(spark):
+    """Neither the small lists' columns nor source columns that no fact has are
+    shuffled or written with the shared lookups."""
+    from regstar.functions.keys import KEY_WHITESPACE
+    from regstar.plans.facts import LOOKUP_ONLY, REFUND, REGISTER, claim_lookups
+
+    found = claim_lookups(build_star(spark, driver_sources(spark, SF_SMALL)), (REGISTER, REFUND), with_attributes=True)
+    assert not set(found.columns) & set(LOOKUP_ONLY)
+    lines = _optimized(found).replace(KEY_WHITESPACE, "").splitlines()
+    depth = lambda key: min(len(x) - len(x.lstrip(" :+-")) for x in lines if key in x)
+    small = max(depth("= __country_key"), depth("= __indication_key"))
+    assert small < min(depth("= __response_key"), depth("= __product_key"))
