@@ -73,7 +73,11 @@ def dim_response(responses: Sequence[DataFrame], dictionary: DataFrame, dedupe:
     """Recoded responses. Grain: a distinct raw response row whose code the
     dictionary knows (unknown codes drop; ``quality.unmapped_codes``).
     The date text is parsed once; unparsable text becomes null."""
-    rows = response_rows(responses, dedupe)
+    return recoded_responses(response_rows(responses, dedupe), dictionary)
+
+
+def recoded_responses(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Response dimension of raw rows that are distinct already."""
     coded = recode(rows, dictionary, code="response", out="__recoded")
     return coded.select(
         surrogate_key("claim_number", "response_date", "response").alias("response_id"),

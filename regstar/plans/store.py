@@ -190,26 +190,41 @@ class StarStore:
         rows.write.parquet(self.files.path("data", folder, name))
         return rows.schema.jsonValue()
 
-    def _write_buckets(self, rows: DataFrame, key: Column, buckets: int, folder: str, name: str, *order: str) -> dict:
+    def _write_buckets(
+        self, rows: DataFrame, key: Column, buckets: int, folder: str, name: str, *order: str, dealt: bool = False
+    ) -> dict:
         """Write a table into a folder, partitioned by bucket; its schema. AQE
-        deals the rows out by bucket, splits heavy ones and joins light ones.
+        deals the rows out by bucket (unless they are ``dealt`` so already),
+        splits heavy ones and joins light ones.
         Rows are sorted by ``order``, so that filters on it skip row groups."""
         rows = rows.withColumn(BUCKET, bucket_of(key, buckets))
-        rows = rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *order)
+        rows = (rows if dealt else rows.hint("rebalance", BUCKET)).sortWithinPartitions(BUCKET, *order)
         rows.write.partitionBy(BUCKET).parquet(self.files.path("data", folder, name))
         return rows.schema.jsonValue()
 
+    def _stage(self, rows: DataFrame, folder: str, name: str) -> DataFrame:
+        """The rows of a change set, written to its folder until it is published."""
+        self._write(rows, folder, f"given_{name}")
+        return self.spark.read.schema(rows.schema).parquet(self.files.path("data", folder, f"given_{name}"))
+
     def _write_rows(self, rows: DataFrame, folder: str, name: str, key: str, buckets: int) -> dict:
         return self._write_buckets(rows, clean_bk(key), buckets, folder, name)
 
     def _write_facts(self, star: Star, folder: str, buckets: int) -> dict:
+        # The stored response rows of a claim number are distinct; those without a
+        # number may not be, but no claim finds them.
+        (answers,) = star.sources.responses
+        numbered = answers.where(F.col(RESPONSE_COLUMNS[0]).isNotNull())
+        star = Star(self.spark, star.sources, dims=star._dims | {"response": D.recoded_responses(numbered, star.sources.dictionary)})
+        # Rows are dealt out by bucket before the small lists widen them.
+        number = F.col("claimnumber")
+        deal = lambda f: f.withColumn(BUCKET, bucket_of(number, buckets)).hint("rebalance", BUCKET)
         facts = {
-            "registration_claim": registration_fact(star, with_attributes=True),
-            "reimbursement_claim": reimbursement_fact(star, with_attributes=True),
+            "registration_claim": registration_fact(star, with_attributes=True, deal=deal),
+            "reimbursement_claim": reimbursement_fact(star, with_attributes=True, deal=deal),
         }
         order = ("country_bk", "response_date_id")
-        number = F.col("claimnumber")
-        return {name: self._write_buckets(f, number, buckets, folder, name, *order) for name, f in facts.items()}
+        return {name: self._write_buckets(f, number, buckets, folder, name, *order, dealt=True) for name, f in facts.items()}
 
     def build(self, sources: Sources, *, note: str = "") -> dict:
         """Build a version from all the sources and publish it: its manifest."""
@@ -236,9 +251,14 @@ class StarStore:
         buckets with a claim number that the change set names are rewritten."""
         base = self.manifest()
         buckets, folder = base["buckets"], uuid.uuid4().hex
-        claims = _replacing(changes.claims, "claimnumber", changes.withdrawn_claims)
-        answers = None if changes.responses is None else changes.responses.toDF(*RESPONSE_COLUMNS)
-        responses = _replacing(answers, "claim_number", changes.withdrawn_responses)
+        # The change set is written once: it is read for the claim numbers it
+        # names and for its rows.
+        given = {"claim": changes.claims, "response_row": changes.responses}
+        new = {name: None if rows is None else self._stage(rows, folder, name) for name, rows in given.items()}
+        if new["response_row"] is not None:
+            new["response_row"] = new["response_row"].toDF(*RESPONSE_COLUMNS)
+        claims = _replacing(new["claim"], "claimnumber", changes.withdrawn_claims)
+        responses = _replacing(new["response_row"], "claim_number", changes.withdrawn_responses)
         # The named claim numbers, written once: two tables and their buckets read them.
         named = {}
         for name, frames in (("claim", claims), ("response_row", responses)):
@@ -255,14 +275,15 @@ class StarStore:
             touched |= {b for part in base["tables"]["claim"][1:] for b in part["buckets"]}
         live = sorted(touched)
         schemas = dict(base["schemas"])
-        for name, key, new in (("claim", "claimnumber", changes.claims), ("response_row", "claim_number", answers)):
+        for name, key in (("claim", "claimnumber"), ("response_row", "claim_number")):
             rows = self.table(base, name, live).drop(BUCKET)
             if name in named:
                 replaced = named[name].select("key")
                 rows = rows.join(replaced, clean_bk(key) == replaced["key"], "left_anti")
-            if new is not None:
-                new = new.where(F.col("claimtype").isin(REGISTER, REFUND)) if name == "claim" else new.distinct()
-                rows = rows.unionByName(new.select(*rows.columns))
+            added = new[name]
+            if added is not None:
+                added = added.where(F.col("claimtype").isin(REGISTER, REFUND)) if name == "claim" else added.distinct()
+                rows = rows.unionByName(added.select(*rows.columns))
             schemas[name] = self._write_rows(rows, folder, name, key, buckets)
         tables = {name: base["tables"][name] for name in WHOLE_TABLES}
         for name in BUCKETED_TABLES:
@@ -275,6 +296,8 @@ class StarStore:
         schemas |= self._write_facts(star, folder, buckets)
         for name in named:
             self.files.remove("data", folder, f"named_{name}")
+        for name in given:
+            self.files.remove("data", folder, f"given_{name}")
         return self._publish(manifest)
 
 

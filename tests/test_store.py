@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from regstar.functions.keys import KEY_WHITESPACE
 from regstar.plans import catalogue as C
 from regstar.plans import questions as Q
 from regstar.plans.star import build_star
@@ -171,3 +172,34 @@ def test_questions_on_an_empty_store(spark):
     store.build(empty)
     assert rows(Q.q1_claims_per_year(store.star())) == []
     assert rows(Q.q2a_on_time_share(store.star())) == [(0, 0, None)]
+
+
+def test_a_change_set_is_computed_once(spark, built):
+    store, _, _ = built
+    base = store.manifest()
+    claim = store.table(base, "claim").drop("bucket").limit(1)
+    row, read = claim.first(), spark.sparkContext.accumulator(0)
+
+    def seen(r):
+        read.add(1)
+        return r
+
+    counted = spark.sparkContext.parallelize([tuple(row)], 1).map(seen)
+    store.apply(Changes(claims=spark.createDataFrame(counted, claim.schema)))
+    assert read.value == 1
+
+
+def test_facts_are_dealt_out_narrow_and_without_a_second_distinct(spark):
+    plans = {}
+
+    class Looked(StarStore):
+        def _write_buckets(self, rows, key, buckets, folder, name, *order, **how):
+            plans[name] = rows._jdf.queryExecution().optimizedPlan().toString().replace(KEY_WHITESPACE, "").splitlines()
+            return super()._write_buckets(rows, key, buckets, folder, name, *order, **how)
+
+    Looked(spark, shared_dir(spark, "store"), buckets=4).build(driver_sources(spark, SF_SMALL))
+    depth = lambda lines, key: min(len(x) - len(x.lstrip(" :+-")) for x in lines if key in x)
+    for name in ("registration_claim", "reimbursement_claim"):
+        lines = plans[name]
+        assert not any("Aggregate" in x for x in lines)  # stored response rows are distinct
+        assert depth(lines, "= __country_key") < depth(lines, "Rebalance") < depth(lines, "= __response_key")
