@@ -41,8 +41,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 token ids, with the documents they hold; by
-    ``sequence_id`` they follow the written order of ``docs``, that of the mix."""
-    return sequences(pack_in_order(docs, tokenizer_path()))
+    ``sequence_id`` documents begin in the written order of ``docs``, that of the
+    mix, and the rests of cut ones are packed by best fit into open windows."""
+    return sequences(pack_in_order(docs, tokenizer_path(), open_windows=8))
 
 
 STAGES = [

@@ -94,12 +94,12 @@ class WordIds(TwoGenerations):
     LETTER = "a-z\u00df-\u00f6\u00f8-\u00ff"
     PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^{LETTER}0-9]+").findall
 
-    def __init__(self, path: str):
-        super().__init__(self.KEEP)
+    def __init__(self, path: str, keep: int | None = None):
+        super().__init__(keep or self.KEEP)
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = PieceIds(self.tokenizer, self.KEEP)
+        self.pieces = PieceIds(self.tokenizer, self.keep)
         # That the given tokenizer splits so is seen on a word with every character.
         signs = "".join(chr(c) for c in range(33, 256) if self.PLAIN(chr(c)))
         probes = [signs, "It's ÉTÉ's we'LL 12ab34,56--c", *(f"a{c}b{c}{c}1" for c in signs), *(f"{c}Été" for c in signs)]
@@ -124,15 +124,15 @@ class WordIds(TwoGenerations):
         return b"".join(map(self.__getitem__, text.encode().split()))
 
 
-_WORDS: dict[str, WordIds] = {}
+_WORDS: dict[tuple, WordIds] = {}
 
 
-def words_of(path: str) -> WordIds:
+def words_of(path: str, keep: int | None = None) -> WordIds:
     """The worker's own ``WordIds``, kept from one task to the next."""
-    if path not in _WORDS:
+    if (path, keep) not in _WORDS:
         _WORDS.clear()
-        _WORDS[path] = WordIds(path)
-    return _WORDS[path]
+        _WORDS[path, keep] = WordIds(path, keep)
+    return _WORDS[path, keep]
 
 
 class Packer:
@@ -203,6 +203,52 @@ class Packer:
         )
 
 
+class OrderedPacker(Packer):
+    """A packer whose documents begin in the order in which they come: a head
+    goes into the current window, the only one that takes heads, until that is
+    full; the next head then goes into the open window that it fills best, which
+    becomes the current one. The rest of a document whose head filled a window
+    is packed like any piece. A window that holds the head of a document is so
+    emitted before all that hold its rest."""
+
+    def __init__(self, window: int, open_windows: int, first_sequence: int, keep_ids: bool):
+        super().__init__(window, open_windows, first_sequence, keep_ids)
+        self.current: tuple[int, list] | None = None  # (free, pieces)
+
+    def add(self, doc_id, start: int, tokens: int, ids: bytes) -> None:
+        n, take = len(ids) // ID_BYTES, 0
+        if not start:
+            free, pieces = self.current or self._next(n)
+            take = min(n, free)
+            pieces.append((doc_id, start, tokens, ids[: take * ID_BYTES]))
+            self.current = (free - take, pieces) if take < free else None
+            if not self.current:
+                self._emit(pieces)
+        if take < n:
+            super().add(doc_id, start + take, tokens, ids[take * ID_BYTES :])
+
+    def _next(self, n: int) -> tuple[int, list]:
+        fit = bisect.bisect_left(self.open, (n,))
+        if fit == len(self.open):
+            if len(self.open) < self.most:
+                return self.window, []
+            fit = 0  # the fullest: filled up with the head of this one
+        free, _, pieces = self.open.pop(fit)
+        return free, pieces
+
+    def finish(self) -> None:
+        """Cut the rest into full windows and one partial one, the current
+        window's documents first."""
+        heads = [] if not self.current else self.current[1]
+        tails = [p for _, _, pieces in sorted(self.open, key=lambda x: x[:2]) for p in pieces]
+        self.open, self.current, self.most = [], None, 1
+        for doc_id, start, tokens, ids in heads + tails:
+            super().add(doc_id, start, tokens, ids)
+        for _, _, pieces in self.open:
+            self._emit(pieces)
+        self.open = []
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer_path: str,
@@ -271,18 +317,33 @@ def _with(merge, last: bool, number: int):
 TOKENS = "file string, run long, at long, doc_id long, start long, n long, doc_tokens long, ids binary"
 
 
-def pack_in_order(docs: DataFrame, tokenizer_path: str, *, window: int = 4096, end_id: int = 2) -> DataFrame:
-    """Pieces (with ids) of sequences 0, 1, ... that hold the tokens of
-    ``docs``, a table as read from its files, in the order in which its rows
-    were written; only the last sequence is shorter than ``window``. Spark
+def pack_in_order(
+    docs: DataFrame,
+    tokenizer_path: str,
+    *,
+    window: int = 4096,
+    open_windows: int = 1,
+    stretch: int = 32,
+    end_id: int = 2,
+    keep_words: int = 100_000,
+) -> DataFrame:
+    """Pieces (with ids) of sequences 0, 1, ... over ``docs``, a table as read
+    from its files; documents begin in the order in which its rows were
+    written, and only the last sequence is shorter than ``window``. Spark
     reads the files in any order and in splits; the written order is that of
-    the files' numbers and of the rows in each."""
+    the files' numbers and of the rows in each.
+
+    The tokens in a row are dealt into stretches of ``stretch`` full windows, and
+    each is packed by an ``OrderedPacker`` with ``open_windows`` (with one, that
+    cuts the tokens in a row). A stretch fills its windows, so it leaves nothing
+    over, its sequences have their numbers at once, and no task holds more than
+    a stretch. ``keep_words`` bounds the words that a worker remembers."""
     spark = for_workers(docs.sparkSession)
     shared = SharedTables(spark, "packing_in_order")
     most = 16 * window  # tokens of a row: long documents take several
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = words_of(tokenizer_path), end_id.to_bytes(ID_BYTES, "little")
+        words, end = words_of(tokenizer_path, keep_words), end_id.to_bytes(ID_BYTES, "little")
         file, run, row, at, out, size = None, 0, 0, 0, [], 0
         kinds = [pa.string(), *[pa.int64()] * 6, pa.binary()]
         names = [c.split()[0] for c in TOKENS.split(", ")]
@@ -291,7 +352,8 @@ def pack_in_order(docs: DataFrame, tokenizer_path: str, *, window: int = 4096, e
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
 
         for batch in batches:
-            for doc_id, text, path, index in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            # Row by row: the texts of a whole batch are not held twice.
+            for doc_id, text, path, index in zip(*((x.as_py() for x in batch.column(i)) for i in range(4))):
                 if path != file or index != row + 1:
                     file, run, at = path, index, 0
                 row = index
@@ -321,18 +383,37 @@ def pack_in_order(docs: DataFrame, tokenizer_path: str, *, window: int = 4096, e
         runs.select("file", "run", F.coalesce(F.sum("run_tokens").over(before), F.lit(0)).alias("base")), "bases"
     )
     placed = done.join(bases, ["file", "run"]).withColumn("begin", F.col("base") + F.col("at"))
-    cut = placed.select(
-        "*", F.explode(F.expr(f"sequence(begin div {window}, (begin + n - 1) div {window})")).alias("sequence_id")
-    )
-    low = F.greatest("begin", F.col("sequence_id") * window)
-    high = F.least(F.col("begin") + F.col("n"), (F.col("sequence_id") + 1) * window)
-    cut = cut.withColumn("low", low).withColumn("length", high - low)
+    size = stretch * window
+    cut = placed.select("*", F.explode(F.expr(f"sequence(begin div {size}, (begin + n - 1) div {size})")).alias("stretch"))
+    low = F.greatest("begin", F.col("stretch") * size)
+    high = F.least(F.col("begin") + F.col("n"), (F.col("stretch") + 1) * size)
     first = (F.col("low") - F.col("begin")).cast("int")
-    part = F.substring("ids", first * ID_BYTES + 1, F.col("length").cast("int") * ID_BYTES)
-    return cut.select(
-        "doc_id", (F.col("start") + first).alias("start"), "length", F.crc32(part).alias("ids_crc32"), "doc_tokens",
-        "sequence_id", (F.col("low") - F.col("sequence_id") * window).alias("offset"), part.alias("ids"),
-    )
+    part = F.substring("ids", first * ID_BYTES + 1, (F.col("high") - F.col("low")).cast("int") * ID_BYTES)
+    cut = cut.withColumns({"low": low, "high": high}).select(
+        "stretch", "low", "doc_id", (F.col("start") + first).alias("start"), "doc_tokens", part.alias("ids")
+    )
+
+    def pack(key, table: pa.Table) -> pa.Table:
+        packer = OrderedPacker(window, open_windows, key[0].as_py() * stretch, True)
+        rows = table.sort_by("low").select(["doc_id", "start", "doc_tokens", "ids"])
+        held = None  # a document, of which the next rows may hold more
+        for doc_id, start, tokens, ids in zip(*(c.to_pylist() for c in rows.columns)):
+            if held and start:  # rows in a row: it goes on
+                held[3].append(ids)
+                continue
+            if held:
+                packer.add(*held[:3], b"".join(held[3]))
+            held = (doc_id, start, tokens, [ids])
+        packer.add(*held[:3], b"".join(held[3]))
+        packer.finish()
+        return pa.Table.from_batches([packer.batch()])
+
+    return cut.groupBy("stretch").applyInArrow(_plain(pack), PIECES).drop("bin")
+
+
+def _plain(function):
+    """Without the annotations that Spark would read as another kind."""
+    return lambda key, table: function(key, table)
 
 
 def sequences(pieces: DataFrame, *, window: int = 4096) -> DataFrame:
