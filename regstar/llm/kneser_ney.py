@@ -2,17 +2,24 @@
 
 Counting. Workers hash the words of training texts and count the pairs
 (history, word) of some million tokens at a time; the counts go to shards by
-the history's hash, as compact sorted arrays. Histories that are frequent in
-a bounded sample are spread over all shards by the pair's hash instead (this
-balances the work and changes no count). Each shard merges its counts, then
-writes its part of the model.
-
-Model. Sorted hash arrays in raw files under the shared folder: a file for
-each pair shard (sorted pair hashes with counts; sorted history hashes with
-totals and numbers of followers seen once, twice, more often) and one for each
-word shard (sorted word hashes with token counts and numbers of different
-histories). Workers map the files into memory and look hashes up by binary
-search, a sorted batch at a time, so only the pages that are needed are read
+the hash of the history's last word, as compact sorted arrays, so a shard has
+all grams of every level that end in such a word and another one, and derives
+the lower levels by itself. Last words that are frequent in a bounded sample
+are far ones: their grams go by the whole history's hash (and those of frequent
+histories by the pair's), and the level below is counted after another shuffle.
+This balances the work and changes no count. Each shard merges its counts,
+then writes its part of the model. The shards are built in ``PARTS`` rounds,
+each reading the texts again and counting its own shards only, and a round's
+shuffle files go when it ends: the disk holds the model and a part of the counts.
+
+Model. Sorted arrays in raw files under the shared folder, for each shard and
+level, near and far words apart: the sorted hashes of histories, and for each
+its followers as sorted places in the file's list of words, with their counts.
+Histories with one follower seen once are kept apart without numbers; others
+have totals and numbers of followers seen once and twice. A file for each word
+shard has sorted word hashes with token counts and numbers of different
+histories. Workers map the files into memory and look up by binary search, a
+sorted batch at a time, so only the pages that are needed are read
 and no worker holds the model. The shared folder must therefore be mounted on
 the workers (``file:`` or a plain path).
 
@@ -41,11 +48,12 @@ import os
 import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regstar.llm.minhash import WordHashes, _mix
@@ -53,6 +61,7 @@ from regstar.llm.shared import SharedTables, columns, for_workers
 
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)  # fixed marks
 CHUNK = 2_000_000  # tokens counted at a time
+PARTS = 6  # rounds in which the shards are built, one after the other
 U64 = np.dtype("<u8")
 U32 = np.dtype("<u4")
 
@@ -190,28 +199,38 @@ def local_path(folder: str) -> str:
     return url.path
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """In the smallest unsigned type that holds all its values."""
+    most = int(a.max()) if len(a) else 0
+    return np.ascontiguousarray(a, next(k for k in (np.uint8, np.uint16, U32, U64) if most <= np.iinfo(k).max))
+
+
 def write_arrays(path: str, *arrays: np.ndarray) -> None:
-    """A model file: lengths, then the arrays. It appears whole or not at
-    all, also when a task is run twice."""
+    """A model file: the number of arrays, their lengths and the sizes of their
+    items, then the arrays (of unsigned numbers), each from a multiple of 8 bytes on.
+    It appears whole or not at all, also when a task is run twice."""
     os.makedirs(os.path.dirname(path), exist_ok=True)
     part = f"{path}.{uuid.uuid4().hex}"
+    arrays = [_narrow(a) for a in arrays]
     with open(part, "wb") as f:
-        np.array([len(a) for a in arrays], np.int64).tofile(f)
+        np.array([len(arrays), *(len(a) for a in arrays), *(a.itemsize for a in arrays)], np.int64).tofile(f)
         for a in arrays:
-            np.ascontiguousarray(a).tofile(f)
+            a.tofile(f)
+            f.write(bytes(-a.nbytes % 8))
     os.replace(part, path)
 
 
-def map_arrays(path: str, *kinds: np.dtype) -> list[np.ndarray]:
-    """The arrays of a model file, mapped into memory; empty without a file."""
+def map_arrays(path: str) -> list[np.ndarray] | None:
+    """The arrays of a model file, mapped into memory; None without a file."""
     if not os.path.exists(path):
-        return [np.zeros(0, k) for k in kinds]
+        return None
     whole = np.memmap(path, np.uint8, "r")
-    lengths = whole[: 8 * len(kinds)].view(np.int64)
-    at, out = 8 * len(kinds), []
-    for n, kind in zip(lengths, kinds):
-        out.append(whole[at : at + int(n) * kind.itemsize].view(kind))
-        at += int(n) * kind.itemsize
+    n = int(whole[:8].view(np.int64)[0])
+    head = whole[8 : 8 + 16 * n].view(np.int64)
+    at, out = 8 + 16 * n, []
+    for length, size in zip(head[:n].tolist(), head[n:].tolist()):
+        out.append(whole[at : at + length * size].view(f"<u{size}"))
+        at += length * size + -length * size % 8
     return out
 
 
@@ -221,17 +240,95 @@ class Maps:
     def __init__(self, folder: str, most: int = 128):
         self.folder, self.most, self.open = folder, most, OrderedDict()
 
-    def get(self, name: str, *kinds: np.dtype) -> list[np.ndarray]:
+    def get(self, name: str) -> list[np.ndarray] | None:
         if name not in self.open:
             if len(self.open) >= self.most:
                 self.open.popitem(last=False)
-            self.open[name] = map_arrays(f"{self.folder}/{name}", *kinds)
+            self.open[name] = map_arrays(f"{self.folder}/{name}")
         self.open.move_to_end(name)
         return self.open[name]
 
 
-PAIR_KINDS = (U64, U32, U64, U32, U32, U32, U32)  # pairs, counts; histories, totals, once, twice, more
-WORD_KINDS = (U64, U64, U32)  # words, token counts, different histories
+LARGE = 255  # stands for a number that is in a list of its own
+
+
+class Numbers:
+    """Small numbers in a byte each, the large ones in a list."""
+
+    def __init__(self, small: np.ndarray, places: np.ndarray, large: np.ndarray):
+        self.small, self.places, self.large = small, places, large
+
+    @staticmethod
+    def arrays(numbers: np.ndarray) -> list[np.ndarray]:
+        places = np.flatnonzero(numbers >= LARGE)
+        return [np.minimum(numbers, LARGE), places, numbers[places]]
+
+    def at(self, i: np.ndarray) -> np.ndarray:
+        out = self.small[i].astype(np.int64)
+        large = np.flatnonzero(out == LARGE)
+        out[large] = self.large[np.searchsorted(self.places, i[large])]
+        return out
+
+
+class Level:
+    """The grams of one level in one shard, from the arrays of their file."""
+
+    def __init__(self, known, lone, lone_low, lone_high, many, starts, low, high, *numbers):
+        self.known, self.lone, self.many, self.starts = known, lone, many, starts
+        self.lone_place, self.place = (lone_low, lone_high), (low, high)
+        self.counts, *self.sums = [Numbers(*numbers[i : i + 3]) for i in range(0, len(numbers), 3)]
+
+    @staticmethod
+    def write(path: str, h: np.ndarray, w: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Write distinct grams (history hash, last word, count); returns the
+        histories (sorted), their totals and numbers of followers seen once, twice and more."""
+        known, place = np.unique(w, return_inverse=True)
+        order = np.lexsort((place, h))
+        h, place, counts = h[order], place[order], counts[order]
+        edges = _runs(h)
+        starts, followers = edges[:-1], np.diff(edges)
+        totals = np.add.reduceat(counts, starts)
+        once, twice = (np.add.reduceat((counts == k).astype(np.int64), starts) for k in (1, 2))
+        lone, h = (followers == 1) & (totals == 1), h[starts]
+        kept = np.repeat(~lone, followers)
+        split = lambda x: (x & 0xFFFF, x >> 16)
+        numbers = [counts[kept], *(x[~lone] for x in (totals, once, twice))]
+        write_arrays(
+            path, known, h[lone], *split(place[starts[lone]]), h[~lone], np.append(0, np.cumsum(followers[~lone])),
+            *split(place[kept]), *(a for x in numbers for a in Numbers.arrays(x)),
+        )
+        return h, totals, once, twice, followers - once - twice
+
+    @staticmethod
+    def _places(parts: tuple[np.ndarray, np.ndarray], i: np.ndarray) -> np.ndarray:
+        low, high = parts
+        return low[i].astype(np.int64) + (high[i].astype(np.int64) << 16)
+
+    def find(self, h: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(count, total, numbers of followers seen once, twice and more) of each
+        gram; zeros where the gram or its history is not here."""
+        count, total, followers = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64), np.zeros((3, len(h)), np.int64)
+        place, known = _find(self.known, w)
+        place = np.where(known, place, -1)
+        i, found = _find(self.lone, h)
+        at, i = np.flatnonzero(found), i[found]
+        total[at] = followers[0, at] = 1
+        count[at] = self._places(self.lone_place, i) == place[at]
+        i, found = _find(self.many, h)
+        at, i = np.flatnonzero(found), i[found]
+        first, end = self.starts[i].astype(np.int64), self.starts[i + 1].astype(np.int64)
+        total[at], followers[0, at], followers[1, at] = (x.at(i) for x in self.sums)
+        followers[2, at] = end - first - followers[0, at] - followers[1, at]
+        at, first, end = (x[place[at] >= 0] for x in (at, first, end))
+        while len(at):  # a binary search in each history's followers
+            middle = (first + end) // 2
+            here, wanted = self._places(self.place, middle), place[at]
+            equal = here == wanted
+            count[at[equal]] = self.counts.at(middle[equal])
+            first, end = np.where(here < wanted, middle + 1, first), np.where(here < wanted, end, middle)
+            going = ~equal & (first < end)
+            at, first, end = at[going], first[going], end[going]
+        return count, total, followers
 
 
 # ---------------------------------------------------------------- training
@@ -275,11 +372,23 @@ def _runs(ranked: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
-def _blobs(before: list[np.ndarray], w: np.ndarray, counts: np.ndarray, shards: int, frequent: np.ndarray):
+def _shards_of(before: list[np.ndarray], w: np.ndarray, shards: int, frequent: dict[int, np.ndarray]) -> np.ndarray:
+    """The shard of each gram: by its nearest word before, or by its whole
+    history where that word is far (frequent), or by all of it where the history
+    is frequent too."""
+    h = history_hash(before)
+    far = _find(frequent[2], before[0])[1]
+    key = np.where(far, _mix(h), _mix(before[0]))
+    spread = np.flatnonzero(far)
+    spread = spread[_find(frequent[len(before) + 1], h[spread])[1]]
+    key[spread] = pair_hash(w[spread], h[spread])
+    return (key % np.uint64(shards)).astype(np.int64)
+
+
+def _blobs(before: list[np.ndarray], w: np.ndarray, counts: np.ndarray, shards: int, frequent: dict[int, np.ndarray]):
     """(shard, blob) of distinct grams: the tokens of their histories, the
     nearest first, their last words and counts. Only shards that occur."""
-    h = history_hash(before)
-    shard = np.where(np.isin(h, frequent), pair_hash(w, h), _mix(h)) % np.uint64(shards)
+    shard = _shards_of(before, w, shards, frequent)
     order = np.lexsort((w, *before[::-1], shard))
     w, counts, shard, before = w[order], counts[order], shard[order], [x[order] for x in before]
     edges = _runs(shard)
@@ -289,14 +398,17 @@ def _blobs(before: list[np.ndarray], w: np.ndarray, counts: np.ndarray, shards:
         yield int(shard[a]), _pack_grams([x[starts[:-1]] for x in of], np.diff(starts), w[a:b], counts[a:b])
 
 
-def _count_grams(shards: int, frequent: dict[int, np.ndarray], order: int):
-    """Worker function: texts to (shard, blob of counts of the longest grams)."""
+def _count_grams(shards: int, frequent: dict[int, np.ndarray], order: int, part: int):
+    """Worker function: texts to (shard, blob of counts of the longest grams),
+    for the shards of one part."""
 
     def blobs(tokens: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, bytes]]:
         before = preceding(tokens, ends, order)
+        own = _shards_of(before, tokens, shards, frequent) % PARTS == part
+        tokens, before = tokens[own], [x[own] for x in before]
         by, starts, counts = _counted(pair_hash(history_hash(before), tokens))
         first = by[starts]
-        yield from _blobs([x[first] for x in before], tokens[first], counts, shards, frequent[order])
+        yield from _blobs([x[first] for x in before], tokens[first], counts, shards, frequent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, held, size = Tokens(), [], 0
@@ -322,14 +434,23 @@ def _count_grams(shards: int, frequent: dict[int, np.ndarray], order: int):
     return count
 
 
+def _shorter(before: list[np.ndarray], w: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Grams without their oldest token, distinct; counted are the longer ones."""
+    before = before[:-1]
+    by, starts, kinds = _counted(pair_hash(history_hash(before), w))
+    first = by[starts]
+    return [x[first] for x in before], w[first], kinds
+
+
 def _merge_grams(folder: str, shards: int, frequent: dict[int, np.ndarray], level: int, order: int):
-    """Worker function: the blobs of a shard of one level to its model file;
-    returns blobs of word counts by word shard, blobs of the level below
-    (a gram's count there is its number of longer histories), histories that
-    are spread over shards, and the numbers of grams counted 1, 2, 3, 4 times."""
+    """Worker function: the blobs of a shard of one level to its model files
+    (of near words: those of all levels); returns blobs of word counts by word
+    shard, blobs of the level below (a gram's count there is its number of longer
+    histories), histories that are spread over shards, and for each level the
+    numbers of grams counted 1, 2, 3, 4 times."""
 
     def merge(key, table: pa.Table) -> pa.Table:
-        shard = key[0].as_py()
+        shard, rows = key[0].as_py(), []
         parts = [_unpack_grams(blob, level) for blob in table.column("blob").to_pylist()]
         before = [np.concatenate([p[0][i] for p in parts]) for i in range(level - 1)]
         w, c = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
@@ -337,23 +458,28 @@ def _merge_grams(folder: str, shards: int, frequent: dict[int, np.ndarray], leve
         by, starts, counts = _counted(pair_hash(history_hash(before), w), c)
         first = by[starts]
         w, before = w[first], [x[first] for x in before]
-        h = history_hash(before)
-        seen = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-        by, starts, totals = _counted(h, counts)
-        ranked = counts[by]
-        followers = [np.add.reduceat(x.astype(np.int64), starts) for x in (ranked == 1, ranked == 2, ranked >= 3)]
-        known = h[by][starts]
-        own = ~np.isin(known, frequent[level])
-        write_arrays(
-            f"{folder}/pairs-{level}-{shard}", pair_hash(h, w), counts.astype(U32), known[own], totals[own].astype(U32),
-            *(x[own].astype(U32) for x in followers),
-        )
-        rows = [("seen", shard, None, *seen)]
-        for i in np.flatnonzero(~own):
-            rows.append(("history", int(known[i].view(np.int64)), None, int(totals[i]), *(int(x[i]) for x in followers)))
         by, starts, tokens = _counted(w, counts)
-        words, kinds = w[by][starts], np.diff(np.append(starts, len(w)))
-        tokens, kinds = tokens * (level == order), kinds * (level == 2)
+        words, kinds = w[by][starts], np.zeros(len(starts), np.int64)
+        tokens = tokens * (level == order)
+        is_far = _find(frequent[2], before[0])[1]
+        for side, own in (("near", ~is_far), ("far", is_far)):
+            grams = [x[own] for x in before], w[own], counts[own]
+            for k in range(level, 1, -1):
+                of, last, n = grams
+                if not len(last):
+                    break
+                known, totals, once, twice, more = Level.write(f"{folder}/{side}-{k}-{shard}", history_hash(of), last, n)
+                rows.append(("seen", k, None, *(int((n == x).sum()) for x in (1, 2, 3, 4))))
+                if k == 2:
+                    kinds += np.bincount(np.searchsorted(words, last), minlength=len(words))
+                if side == "far":
+                    for i in np.flatnonzero(_find(frequent[k], known)[1]):
+                        rows.append(("history", int(known[i].view(np.int64)), None, *(int(x[i]) for x in (totals, once, twice, more))))
+                if k > 2:
+                    grams = _shorter(of, last)
+                    if side == "far":  # other shards have longer histories of the same grams
+                        rows.extend(("grams", s, blob, 0, 0, 0, 0) for s, blob in _blobs(*grams, shards, frequent))
+                        break
         if level in (2, order):
             to = _mix(words) % np.uint64(shards)
             by = np.argsort(to, kind="stable")
@@ -362,12 +488,6 @@ def _merge_grams(folder: str, shards: int, frequent: dict[int, np.ndarray], leve
                 part = by[start:end]
                 blob = _pack(words[part], tokens[part].astype(U64), kinds[part].astype(U32))
                 rows.append(("words", int(to[part[0]]), blob, 0, 0, 0, 0))
-        if level > 2:
-            shorter = before[:-1]  # without the oldest token
-            by, starts, kinds = _counted(pair_hash(history_hash(shorter), w))
-            first = by[starts]
-            for s, blob in _blobs([x[first] for x in shorter], w[first], kinds, shards, frequent[level - 1]):
-                rows.append(("grams", s, blob, 0, 0, 0, 0))
         return _rows(rows)
 
     return merge
@@ -384,7 +504,7 @@ def _merge_words(folder: str):
         order, starts, tokens = _counted(words, tokens.astype(np.int64))
         kinds = np.add.reduceat(kinds[order].astype(np.int64), starts)
         words = words[order][starts]
-        write_arrays(f"{folder}/words-{key[0].as_py()}", words, tokens.astype(U64), kinds.astype(U32))
+        write_arrays(f"{folder}/words-{key[0].as_py()}", words, tokens, kinds)
         seen = [int((kinds == k).sum()) for k in (1, 2, 3, 4)]
         return _rows([("totals", len(words), None, int(tokens.sum()), int(kinds.sum()), 0, 0), ("kinds", 0, None, *seen)])
 
@@ -436,33 +556,44 @@ def train(docs: DataFrame, shared: SharedTables, *, order: int = 2, shard_bytes:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(32, size // shard_bytes)
     frequent = _frequent(texts, 2000, 0.002, order)
-    blobs = texts.mapInArrow(_count_grams(shards, frequent, order), "shard int, blob binary")
     sums = [F.sum(c).alias(c) for c in "abcd"]
-    seen, spread, words = {}, {}, None
+
+    def in_parts(name: str, of_part, merge) -> DataFrame:
+        """Merge the blobs of a part of the shards at a time, by kind of row."""
+        for part in range(PARTS):
+            with shuffle_files_removed(docs.sparkSession):
+                merged = of_part(part).groupBy("shard").applyInArrow(_plain(merge), ROWS)
+                merged.write.partitionBy("what").mode("append").parquet(f"{shared.root}/{name}")
+        return docs.sparkSession.read.schema(ROWS).parquet(f"{shared.root}/{name}")
+
+    def counted(part: int) -> DataFrame:
+        return texts.mapInArrow(_count_grams(shards, frequent, order, part), "shard int, blob binary")
+
+    def written(rows: DataFrame, what: str):
+        of = rows.where(F.col("what") == what).select(F.col("id").alias("shard"), "blob")
+        return lambda part: of.where(F.col("shard") % PARTS == part)
+
+    seen, spread, words = {k: [0, 0, 0, 0] for k in range(2, order + 1)}, {}, None
+    blobs = counted
     for level in range(order, 1, -1):
-        merge = _plain(_merge_grams(folder, shards, frequent, level, order))
-        # By kind of row, so that the grams, most of its bytes, go once the next level has them.
-        path = f"{shared.root}/pairs{level}"
-        blobs.groupBy("shard").applyInArrow(merge, ROWS).write.partitionBy("what").parquet(path)
+        merged = in_parts(f"pairs{level}", blobs, _merge_grams(folder, shards, frequent, level, order))
         if level < order:
-            shared.drop(f"pairs{level + 1}/what=grams")
-        merged = docs.sparkSession.read.schema(ROWS).parquet(path)
-        blobs = merged.where("what = 'grams'").select(F.col("id").alias("shard"), "blob")
-        own = merged.where("what = 'words'").select(F.col("id").alias("shard"), "blob")
-        words = own if words is None else words.unionByName(own)
+            shared.drop(f"pairs{level + 1}/what=grams")  # the level below has them: most of the bytes
+        blobs = written(merged, "grams")
+        words = merged if words is None else words.unionByName(merged)
         # A few sums, and at most 501 frequent histories.
-        facts = merged.where("what IN ('seen', 'history')")
-        facts = facts.groupBy("what", F.when(F.col("what") == "history", F.col("id")).alias("id")).agg(*sums)
-        seen[level], rows = [0, 0, 0, 0], []
-        for r in facts.collect():
+        facts, rows = merged.where("what IN ('seen', 'history')").groupBy("what", "id").agg(*sums).collect(), []
+        for r in facts:
             if r["what"] == "seen":
-                seen[level] = [r[c] for c in "abcd"]
+                seen[r["id"]] = [n + r[c] for n, c in zip(seen[r["id"]], "abcd")]
             else:
                 rows.append((r["id"], *(r[c] for c in "abcd")))
         table = np.array(rows, np.int64).reshape(-1, 5)
         table = table[np.argsort(table[:, 0].view(np.uint64))]
         spread[level] = (table[:, 0].view(np.uint64), *table[:, 1:].T)
-    word_rows = shared.put(words.groupBy("shard").applyInArrow(_plain(_merge_words(folder)), ROWS), "words")
+    word_rows = in_parts("words", written(words, "words"), _merge_words(folder))
+    for level in range(order, 1, -1):
+        shared.drop(f"pairs{level}")
     totals = {r["what"]: r for r in word_rows.groupBy("what").agg(F.sum("id").alias("id"), *sums).collect()}
     t, k = totals.get("totals"), totals.get("kinds")
     return Model(
@@ -471,6 +602,19 @@ def train(docs: DataFrame, shared: SharedTables, *, order: int = 2, shard_bytes:
     )
 
 
+@contextmanager
+def shuffle_files_removed(spark: SparkSession):
+    """Shuffle files of the queries run inside go when their query ends, not
+    when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def _plain(function):
     """Without the annotations that Spark would read as another kind."""
     return lambda key, table: function(key, table)
@@ -504,36 +648,35 @@ class Scorer:
         m = self.model
         count, kinds = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
         for s, at in self._by_shard(_mix(w) % np.uint64(m.shards)):
-            known, tokens, histories_ = self.maps.get(f"words-{s}", *WORD_KINDS)
+            if (arrays := self.maps.get(f"words-{s}")) is None:
+                continue
+            known, tokens, histories_ = arrays
             i, found = _find(known, w[at])
             count[at[found]], kinds[at[found]] = tokens[i[found]], histories_[i[found]]
         lower = np.maximum(kinds - m.word_discounts[np.minimum(kinds, 3)], 0)
         return count, lower / max(m.pairs, 1) + m.unseen
 
-    def pairs(self, v: np.ndarray, w: np.ndarray, lower: np.ndarray, level: int = 2) -> np.ndarray:
+    def pairs(self, v: np.ndarray, w: np.ndarray, lower: np.ndarray, before: list[np.ndarray] | None = None) -> np.ndarray:
         """p(w|v) of distinct pairs of history and word, given the words'
-        probabilities at the level below."""
+        probabilities at the level below; ``before`` has the histories' tokens,
+        the nearest first (left out: v is that token)."""
         m = self.model
+        before = before or [v]
+        level = len(before) + 1
         count, total = np.zeros(len(v), np.int64), np.zeros(len(v), np.int64)
         followers = np.zeros((3, len(v)), np.int64)
-        spread, key = np.isin(v, m.frequent[level]), pair_hash(v, w)
-        shard = np.where(spread, pair_hash(w, v), _mix(v)) % np.uint64(m.shards)
-        for s, at in self._by_shard(shard):
-            keys, counts, known, *numbers = self.maps.get(f"pairs-{level}-{s}", *PAIR_KINDS)
-            at = at[np.argsort(key[at])]
-            i, found = _find(keys, key[at])
-            count[at[found]] = counts[i[found]]
-            i, found = _find(known, v[at])
-            total[at[found]] = numbers[0][i[found]]
-            for k in range(3):
-                followers[k, at[found]] = numbers[1 + k][i[found]]
-        often, *sums = m.spread[level]
+        far = _find(m.frequent[2], before[0])[1]
+        for s, at in self._by_shard(2 * _shards_of(before, w, m.shards, m.frequent) + far):
+            if (arrays := self.maps.get(f"{'far' if s % 2 else 'near'}-{level}-{s // 2}")) is not None:
+                at = at[np.argsort(v[at])]
+                count[at], total[at], followers[:, at] = Level(*arrays).find(v[at], w[at])
+        often, totals, once, twice, more = m.spread[level]
         if len(often):
-            at = np.flatnonzero(spread)
+            at = np.flatnonzero(far)
             i, found = _find(often, v[at])
-            total[at[found]] = sums[0][i[found]]
-            for k in range(3):
-                followers[k, at[found]] = sums[1 + k][i[found]]
+            at, i = at[found], i[found]
+            total[at] = totals[i]
+            followers[0, at], followers[1, at], followers[2, at] = once[i], twice[i], more[i]
         d = m.pair_discounts[level]
         seen = np.maximum(count - d[np.minimum(count, 3)], 0)
         left = d[1] * followers[0] + d[2] * followers[1] + d[3] * followers[2]
@@ -547,10 +690,11 @@ class Scorer:
         count, lower = self.words(words)
         base = np.log10((count + 1) / (m.tokens + m.words + 1))
         p = lower[which]
+        before = preceding(tokens, ends, m.order)
         for level, v in enumerate(contexts(tokens, ends, m.order), 2):
             order, starts, _ = _counted(pair_hash(v, tokens))
             first = order[starts]
-            of_gram = self.pairs(v[first], tokens[first], p[first], level)
+            of_gram = self.pairs(v[first], tokens[first], p[first], [x[first] for x in before[: level - 1]])
             p = np.empty(len(tokens))
             p[order] = np.repeat(of_gram, np.diff(np.append(starts, len(order))))
         logs = np.log10(p)

@@ -2,9 +2,12 @@
 
 import hashlib
 import math
+import os
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,6 +255,77 @@ def test_probabilities_of_a_history_sum_to_one(spark, small_docs):
         assert 0.9 < p.sum() < 1 and (p > 0).all()
 
 
+def test_grams_of_a_level_are_found_in_its_file(tmp_path):
+    rng = np.random.default_rng(5)
+    words = rng.integers(1, 2**63, 80_000, dtype=np.uint64)  # places need more than two bytes
+    h = rng.integers(1, 2**63, 30_000, dtype=np.uint64)
+    of, w = h[rng.integers(0, 30_000, 90_000) ** 2 // 30_000], words[rng.integers(0, 80_000, 90_000)]
+    grams = {(int(a), int(b)): 1 + i % 2 + 254 * (i % 5 == 0) * (i % 7) for i, (a, b) in enumerate(zip(of, w))}
+    grams |= {(int(h[-1]), int(b)): 1 for b in words}  # a history before every word
+    followers = defaultdict(list)
+    for (a, _), n in grams.items():
+        followers[a].append(n)
+    of, w = (np.array([g[i] for g in grams], np.uint64) for i in (0, 1))
+    path = str(tmp_path / "near-3-0")
+    kneser_ney.Level.write(path, of, w, np.array(list(grams.values())))
+    asked = list(grams) + [(int(a), int(b)) for a, b in zip(of[::3], w[::-3])] + [(1, int(w[0])), (int(of[0]), 2), (3, 4)]
+    got = kneser_ney.Level(*kneser_ney.map_arrays(path)).find(*(np.array([g[i] for g in asked], np.uint64) for i in (0, 1)))
+    for g, count, total, once, twice, more in zip(asked, got[0], got[1], *got[2]):
+        seen = followers.get(g[0], [])
+        numbers = seen.count(1), seen.count(2), len(seen) - seen.count(1) - seen.count(2)
+        assert (count, total, once, twice, more) == (grams.get(g, 0), sum(seen), *numbers) if len(seen) < 9 else count == grams.get(g, 0)
+    assert kneser_ney.map_arrays(str(tmp_path / "none")) is None
+
+
+def test_disk_of_the_language_model(spark, small_docs):
+    shared = SharedTables(spark, "test")
+    texts = [t or "" for (t,) in pairs(small_docs, "text")]
+    kneser_ney.train(small_docs.select(F.coalesce("text", F.lit("")).alias("text")), shared, order=3)
+    root = kneser_ney.local_path(shared.root)
+    grams, tokens = set(), kneser_ney.Tokens()
+    for t in texts:
+        x = [0, 0, *tokens.of(t).tolist()]
+        grams |= set(zip(x, x[1:], x[2:]))
+    levels = [{g[k:] for g in grams} for k in (0, 1)]
+    plain = sum(12 * len(g) + 24 * len({x[:-1] for x in g}) for g in levels)  # hashes and numbers as they are
+    size = sum(os.path.getsize(f"{root}/model/{f}") for f in os.listdir(f"{root}/model") if "words" not in f)
+    assert size < 0.75 * plain
+    # Nothing else stays but the few rows of the word shards' sums.
+    assert sorted(os.listdir(root)) == ["model", "words"]
+
+
+def test_rounds_share_the_grams_out():
+    texts = ["a b c a b", "", "b c d e f g h a b c", "c c c c"] * 3
+    frequent = {2: np.array([kneser_ney.BEGIN]), 3: np.zeros(0, np.uint64)}
+    batch = [pa.RecordBatch.from_pydict({"text": texts})]
+    shards, total = [], 0
+    for part in range(kneser_ney.PARTS):
+        for rows in kneser_ney._count_grams(32, frequent, 3, part)(iter(batch)):
+            shards += rows.column(0).to_pylist()
+            assert {s % kneser_ney.PARTS for s in rows.column(0).to_pylist()} <= {part}
+            total += sum(int(kneser_ney._unpack_grams(b, 3)[2].sum()) for b in rows.column(1).to_pylist())
+    assert len(shards) == len(set(shards)) and total == sum(len(t.split()) + 1 for t in texts)
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    def left() -> set[str]:
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size())}
+
+    def write(name: str) -> None:
+        spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count().write.parquet(str(tmp_path / name))
+
+    before = left()
+    with kneser_ney.shuffle_files_removed(spark):
+        write("inside")
+    until = time.time() + 20
+    while (more := left() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not more
+    write("outside")
+    assert left() - before
+
+
 def test_language_model_query_and_edges(spark, no_docs):
     got = QUERIES["op6_lm_scoring"](spark, SF_SMALL).collect()
     held = [r for r in got if r.held_out]
