@@ -61,7 +61,7 @@ from regstar.llm.shared import SharedTables, columns, for_workers
 
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)  # fixed marks
 CHUNK = 2_000_000  # tokens counted at a time
-PARTS = 6  # rounds in which the shards are built, one after the other
+PARTS = 3  # rounds in which the shards are built, one after the other
 U64 = np.dtype("<u8")
 U32 = np.dtype("<u4")
 
