@@ -15,13 +15,16 @@ that publish the same number, one is told so (:class:`Conflict`).
 
 Claims, responses and both facts are partitioned by ``bucket``, the hash of the
 claim number modulo the number of buckets: a fact row depends on rows of its own
-bucket alone (and on the small dimensions and the products). A change set
-therefore rewrites the buckets of the claim numbers it names and nothing else;
-the new manifest takes these buckets from the new folder and the others from
-where they are. Once a table consists of ``max_parts`` folders, the next change
-set also rewrites the buckets that earlier ones wrote, so the number of folders
-stays bounded. Old versions are removed by :meth:`StarStore.collect`, unless
-they are pinned.
+claim number alone (and on the small dimensions and the products). A change set
+therefore writes all rows, in all four tables, of the claim numbers it names, and
+the list of these numbers (``named``), into a folder that the new manifest puts on
+top of the others: of a claim number the rows of the last folder that names it
+count. So the work follows the change set and not the buckets it falls into.
+Reading leaves out what later folders replaced, by one join in the buckets that
+several folders have; the other buckets are read as they are. Once a table
+consists of ``max_parts`` folders, the next change set rewrites its buckets and
+those that earlier ones wrote, so the number of folders stays bounded. Old versions
+are removed by :meth:`StarStore.collect`, unless they are pinned.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,6 +51,10 @@ from regstar.sources.schemas import CLAIM, RESPONSE_COLUMNS
 BUCKET = "bucket"
 WHOLE_TABLES = ("country", "factory", "indication", "product", "calendar", "dictionary")
 BUCKETED_TABLES = ("claim", "response_row", "registration_claim", "reimbursement_claim")
+# The columns that have the claim number in the tables a change set names rows of.
+NUMBERS = {"claim": "claimnumber", "response_row": "claim_number"}
+# The claim numbers whose rows a change set's folder has, cleaned, and which of these tables it names them in.
+NAMED = "named"
 
 
 class Conflict(RuntimeError):
@@ -151,20 +158,50 @@ class StarStore:
 
     # -------------------------------------------------------------- reading
 
-    def table(self, manifest: dict, name: str, buckets: Iterable[int] | None = None) -> DataFrame:
-        """A table of a version; of a bucketed one, with ``buckets``, only these."""
+    def table(
+        self, manifest: dict, name: str, buckets: Iterable[int] | None = None, *, only: DataFrame | None = None
+    ) -> DataFrame:
+        """A table of a version; of a bucketed one, with ``buckets``, only these,
+        and with ``only`` (column ``key``) only rows of these cleaned claim numbers."""
+        parts = manifest["tables"][name]
+        if parts[0]["buckets"] is None:
+            return union_all([self._part(manifest, part, name) for part in parts])
+        wanted = set(range(manifest["buckets"]) if buckets is None else buckets)
+        live = [wanted.intersection(part["buckets"]) for part in parts]
+        number = clean_bk(NUMBERS[name]) if name in NUMBERS else F.col("claimnumber")
+
+        def these(rows: DataFrame, key: Column) -> DataFrame:
+            return rows if only is None else rows.join(only, key == only["key"], "left_semi")
+
+        frames, below, replaced = [], [], []
+        for at, (part, found) in enumerate(zip(parts, live, strict=True)):
+            earlier, later = set().union(*live[:at]), set().union(*live[at + 1 :])
+            if found - later:
+                frames.append(these(self._part(manifest, part, name, found - later), number))
+            if found & later:
+                rows = these(self._part(manifest, part, name, found & later), number)
+                below.append(rows.withColumn("__at", F.lit(at)))
+            if found & earlier:
+                named = self._named(part["folder"]).where(F.col(BUCKET).isin(sorted(found & earlier)))
+                keys = named.select(F.col("key").alias("__key"), F.lit(at).alias("__by"))
+                replaced.append(these(keys, F.col("__key")))
+        if below:
+            by = union_all(replaced)
+            now = union_all(below).join(by, (number == by["__key"]) & (F.col("__at") < by["__by"]), "left_anti")
+            frames.append(now.drop("__at"))
+        return union_all(frames) if frames else self._part(manifest, parts[-1], name, set())
+
+    def _part(self, manifest: dict, part: dict, name: str, buckets: set[int] | None = None) -> DataFrame:
+        """The rows that one folder has of a table; with ``buckets`` only these."""
         schema = StructType.fromJson(manifest["schemas"][name])
-        wanted = None if buckets is None else set(buckets)
-        frames = []
-        for part in manifest["tables"][name]:
-            live = part["buckets"]
-            if live is not None and wanted is not None:
-                live = sorted(wanted.intersection(live))
-            rows = self.spark.read.schema(schema).parquet(self.files.path("data", part["folder"], name))
-            if live is not None and len(live) < manifest["buckets"]:
-                rows = rows.where(F.col(BUCKET).isin(live))  # prunes folders
-            frames.append(rows)
-        return union_all(frames)
+        rows = self.spark.read.schema(schema).parquet(self.files.path("data", part["folder"], name))
+        if buckets is not None and len(buckets) < manifest["buckets"]:
+            rows = rows.where(F.col(BUCKET).isin(sorted(buckets)))  # prunes folders
+        return rows
+
+    def _named(self, folder: str) -> DataFrame:
+        schema = f"key string, {BUCKET} int, " + ", ".join(f"{name} boolean" for name in NUMBERS)
+        return self.spark.read.schema(schema).parquet(self.files.path("data", folder, NAMED))
 
     def star(self, manifest: dict | None = None) -> Star:
         """The star of a version (by default the last one)."""
@@ -248,7 +285,8 @@ class StarStore:
 
     def apply(self, changes: Changes, *, note: str = "") -> dict:
         """Publish the last version with ``changes`` applied: its manifest. Only
-        buckets with a claim number that the change set names are rewritten."""
+        rows of claim numbers that the change set names are written, unless the
+        tables have ``max_parts`` folders by now."""
         base = self.manifest()
         buckets, folder = base["buckets"], uuid.uuid4().hex
         # The change set is written once: it is read for the claim numbers it
@@ -257,49 +295,76 @@ class StarStore:
         new = {name: None if rows is None else self._stage(rows, folder, name) for name, rows in given.items()}
         if new["response_row"] is not None:
             new["response_row"] = new["response_row"].toDF(*RESPONSE_COLUMNS)
-        claims = _replacing(new["claim"], "claimnumber", changes.withdrawn_claims)
-        responses = _replacing(new["response_row"], "claim_number", changes.withdrawn_responses)
-        # The named claim numbers, written once: two tables and their buckets read them.
-        named = {}
-        for name, frames in (("claim", claims), ("response_row", responses)):
-            if frames:
-                keys = union_all([f.select(clean_bk(k).alias("key")) for f, k in frames]).distinct()
-                keys.withColumn(BUCKET, bucket_of(F.col("key"), buckets)).write.parquet(
-                    self.files.path("data", folder, f"named_{name}")
-                )
-                named[name] = self.spark.read.parquet(self.files.path("data", folder, f"named_{name}"))
-        if not named:
+        naming = {
+            "claim": _replacing(new["claim"], NUMBERS["claim"], changes.withdrawn_claims),
+            "response_row": _replacing(new["response_row"], NUMBERS["response_row"], changes.withdrawn_responses),
+        }
+        if not any(naming.values()):
             return base
-        touched = {r[0] for keys in named.values() for r in keys.select(BUCKET).distinct().collect()}  # at most `buckets`
-        if len(base["tables"]["claim"]) >= self.max_parts:
-            touched |= {b for part in base["tables"]["claim"][1:] for b in part["buckets"]}
-        live = sorted(touched)
-        schemas = dict(base["schemas"])
-        for name, key in (("claim", "claimnumber"), ("response_row", "claim_number")):
-            rows = self.table(base, name, live).drop(BUCKET)
-            if name in named:
-                replaced = named[name].select("key")
-                rows = rows.join(replaced, clean_bk(key) == replaced["key"], "left_anti")
-            added = new[name]
+        found = self._write_named(naming, folder, buckets)
+        named, live = self._named(folder), {r[BUCKET] for r in found}
+        if not live:
+            return self._publish(base | {"version": base["version"] + 1, "parent": base["version"], "note": note})
+        whole = len(base["tables"]["claim"]) >= self.max_parts
+        if whole:
+            live |= {b for part in base["tables"]["claim"][1:] for b in part["buckets"]}
+        schemas, mine = dict(base["schemas"]), {"folder": folder, "buckets": sorted(live)}
+        for name, key in NUMBERS.items():
+            # Of the rows there are, all that the change set does not replace, or
+            # those whose claim number it names in the other table only.
+            added, kept = new[name], []
+            touched = {r[BUCKET] for r in found if r[f"not_{name}"]}
+            if whole:
+                replaced = named.where(F.col(name))
+                kept = [self.table(base, name, live).join(replaced, clean_bk(key) == replaced["key"], "left_anti")]
+            elif touched:
+                kept = [self.table(base, name, touched, only=named.where(~F.col(name)).select("key"))]
             if added is not None:
-                added = added.where(F.col("claimtype").isin(REGISTER, REFUND)) if name == "claim" else added.distinct()
-                rows = rows.unionByName(added.select(*rows.columns))
+                kept.append(added.where(F.col("claimtype").isin(REGISTER, REFUND)) if name == "claim" else added.distinct())
+            columns = StructType([f for f in StructType.fromJson(schemas[name]) if f.name != BUCKET])
+            rows = union_all([self.spark.createDataFrame([], columns), *(f.select(*columns.names) for f in kept)])
             schemas[name] = self._write_rows(rows, folder, name, key, buckets)
+            self._openable(schemas, name, mine)
         tables = {name: base["tables"][name] for name in WHOLE_TABLES}
         for name in BUCKETED_TABLES:
-            parts = [part | {"buckets": sorted(set(part["buckets"]) - touched)} for part in base["tables"][name]]
-            tables[name] = [part for part in parts if part["buckets"]] + [{"folder": folder, "buckets": live}]
+            parts = base["tables"][name]
+            if whole:
+                parts = [part | {"buckets": sorted(set(part["buckets"]) - live)} for part in parts]
+            tables[name] = [part for part in parts if part["buckets"]] + [mine]
         manifest = base | {
             "version": base["version"] + 1, "parent": base["version"], "note": note, "tables": tables, "schemas": schemas,
         }
-        star = self._star(manifest, self.table(manifest, "claim", live), self.table(manifest, "response_row", live))
-        schemas |= self._write_facts(star, folder, buckets)
-        for name in named:
-            self.files.remove("data", folder, f"named_{name}")
+        written = {name: self._part(manifest, mine, name) for name in NUMBERS}
+        if not written["claim"].isEmpty():  # without a claim there is no fact
+            schemas |= self._write_facts(self._star(manifest, written["claim"], written["response_row"]), folder, buckets)
+        for name in BUCKETED_TABLES:
+            self._openable(schemas, name, mine)
         for name in given:
             self.files.remove("data", folder, f"given_{name}")
         return self._publish(manifest)
 
+    def _write_named(self, naming: dict[str, list[tuple[DataFrame, Column]]], folder: str, buckets: int) -> list[Row]:
+        """Write the claim numbers that a change set names, each with the tables it
+        is named in; by bucket (at most ``buckets`` rows) how many are not named in
+        each table. A null names no rows, only its bucket."""
+        frames = [
+            f.select(clean_bk(k).alias("key"), *(F.lit(of == name).alias(of) for of in NUMBERS))
+            for name, named in naming.items()
+            for f, k in named
+        ]
+        keys = union_all(frames).groupBy("key").agg(*(F.bool_or(of).alias(of) for of in NUMBERS))
+        keys = keys.withColumn(BUCKET, bucket_of(F.col("key"), buckets))
+        self._write(keys.sortWithinPartitions(BUCKET), folder, NAMED)
+        lacking = [F.count_if(~F.col(of) & F.col("key").isNotNull()).alias(f"not_{of}") for of in NUMBERS]
+        return self._named(folder).groupBy(BUCKET).agg(*lacking).collect()
+
+    def _openable(self, schemas: dict, name: str, part: dict) -> None:
+        """An empty file where a table has no rows in a folder, so that it opens."""
+        if not any(n.startswith(f"{BUCKET}=") for n in self.files.names("data", part["folder"], name)):
+            schema = StructType([f for f in StructType.fromJson(schemas[name]) if f.name != BUCKET])
+            path = self.files.path("data", part["folder"], name, f"{BUCKET}={part['buckets'][0]}")
+            self.spark.createDataFrame([], schema).coalesce(1).write.parquet(path)
+
 
 def _replacing(rows: DataFrame | None, key: str, withdrawn: DataFrame | None) -> list[tuple[DataFrame, Column]]:
     """Frames that name claim numbers, with the column that has them."""

@@ -1,7 +1,10 @@
 """The lasting star: whole versions, pins, change sets, collection."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from regstar.functions.keys import KEY_WHITESPACE
 from regstar.plans import catalogue as C
@@ -11,6 +14,7 @@ from regstar.plans.store import BUCKETED_TABLES, Changes, Conflict, NoVersion, S
 from regstar.session import shared_dir
 from regstar.sources import Sources, driver_sources
 from regstar.sources.driver_changes import history
+from regstar.sources.schemas import CLAIM, RESPONSE_COLUMNS
 from tests.conftest import SF_SMALL, rows
 
 
@@ -203,3 +207,75 @@ def test_facts_are_dealt_out_narrow_and_without_a_second_distinct(spark):
         lines = plans[name]
         assert not any("Aggregate" in x for x in lines)  # stored response rows are distinct
         assert depth(lines, "= __country_key") < depth(lines, "Rebalance") < depth(lines, "= __response_key")
+
+
+def test_a_change_set_writes_the_rows_of_its_claim_numbers_only(spark):
+    store = StarStore(spark, shared_dir(spark, "store"), buckets=4)
+    base = store.build(driver_sources(spark, SF_SMALL))
+    reimbursed = store.table(base, "reimbursement_claim")
+    answered = store.table(base, "response_row").withColumnRenamed("claim_number", "number").drop("bucket")
+    found = reimbursed.where("response = 'Approved'").groupBy("claimnumber").count().where("count = 1")
+    number = found.join(answered, found["claimnumber"] == answered["number"], "left_semi").first()["claimnumber"]
+    row = answered.where(F.col("number") == number).withColumn("response_date", F.lit("2001-02-03"))
+    new = store.apply(Changes(responses=row))
+    folder = folders(new)[new["tables"]["claim"][-1]["buckets"][0]]
+    for name, key in (("claim", "claimnumber"), ("response_row", "claim_number"), ("reimbursement_claim", "claimnumber")):
+        written = rows(store.spark.read.parquet(store.files.path("data", folder, name)).select(F.upper(F.trim(key))))
+        assert written == [(number,)]  # not the other rows of its bucket
+    before, now = (rows(C.reimbursements(store.star(m))) for m in (base, new))
+    assert len(now) == len(before) and sum(x != y for x, y in zip(before, now, strict=True)) == 1
+
+
+def test_overlapping_changes_equal_a_rebuild(spark):
+    """Change sets that name the same claim numbers again, in one table or both,
+    in other spellings, with rows that repeat and rows without a number, in
+    folders on top of each other and (by ``max_parts``) rewritten ones."""
+    dims = driver_sources(spark, SF_SMALL)
+    given = {n: (lambda n=n: getattr(dims, n)) for n in Sources.NAMES if n not in ("claim", "responses")}
+    schema = StructType([StructField(f.name, f.dataType) for f in CLAIM])
+    answer = StructType([StructField(c, StringType()) for c in RESPONSE_COLUMNS])
+    day = date(1997, 5, 6)
+
+    def claim(number, kind="REFUND", price="5 CHF", country="NB"):
+        return ("RO1", None, country, day, day, number, "PRD1", "IND-BUILDING", kind, "F101", "F111", "F112", price, 7)
+
+    def claims_of(some):
+        return spark.createDataFrame(some, schema)
+
+    def answers_of(some):
+        return spark.createDataFrame(some, answer)
+
+    clean = lambda n: None if n is None else n.strip().upper()
+    claims = [claim("A-1"), claim("A-1"), claim(" b-2\t", "REGISTER", "null"), claim("C-3"), claim(None), claim("D-4", "REGISTER")]
+    answers = [("A-1", "1998-01-01", "F"), ("A-1", "1998-01-02", "O"), ("b-2", "1998-01-01", "F"), ("E-5", "1998-01-01", "F"), (None, "x", "F")]
+    store = StarStore(spark, shared_dir(spark, "store"), buckets=2, max_parts=3)
+    store.build(Sources(claim=claims_of(claims), responses=[answers_of(answers)], **given))
+    steps = [
+        # (claims, withdrawn claims, answers, withdrawn answers)
+        ([claim("a-1 ", price="8 CHF"), claim("E-5"), claim("E-5")], [], [("C-3", "1999-09-09", "O"), ("C-3", "1999-09-09", "O")], []),
+        ([claim("A-1", "OTHER"), claim(None, "REGISTER")], ["c-3", None], [("A-1", "unknown", "F")], ["E-5"]),
+        ([], ["E-5"], [("E-5", "2000-01-01", "F"), ("F-6", "2000-01-01", "P")], ["b-2", "no such"]),
+        ([claim("B-2", "REGISTER"), claim("B-2"), claim("F-6", country="XX")], [], [], ["A-1"]),
+        ([claim("A-1"), claim("C-3", price=None)], ["F-6"], [("d-4", "1999-01-01", "O")], []),
+    ]
+    parts = []
+    for new, gone, said, unsaid in steps:
+        numbers = lambda some: spark.createDataFrame([(x,) for x in some], "n string") if some else None
+        manifest = store.apply(
+            Changes(
+                claims=claims_of(new) if new else None, withdrawn_claims=numbers(gone),
+                responses=answers_of(said) if said else None, withdrawn_responses=numbers(unsaid),
+            )
+        )
+        named = {clean(c[5]) for c in new} | {clean(x) for x in gone}
+        claims = [c for c in claims if c[5] is None or clean(c[5]) not in named] + [c for c in new if c[8] != "OTHER"]
+        named = {clean(a[0]) for a in said} | {clean(x) for x in unsaid}
+        answers = [a for a in answers if a[0] is None or clean(a[0]) not in named] + list(dict.fromkeys(said))
+        want = build_star(spark, Sources(claim=claims_of(claims), responses=[answers_of(answers)], **given))
+        assert facts(store.star()) == facts(want)
+        assert rows(store.table(manifest, "claim").drop("bucket")) == sorted(claims, key=repr)
+        assert rows(store.table(manifest, "response_row").drop("bucket")) == sorted(answers, key=repr)
+        for bucket in range(2):
+            assert rows(store.table(manifest, "claim", [bucket])) == rows(store.table(manifest, "claim").where(F.col("bucket") == bucket))
+        parts.append(len(manifest["tables"]["claim"]))
+    assert max(parts) == 3 and min(parts[2:]) < 3
