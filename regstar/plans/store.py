@@ -168,27 +168,28 @@ class StarStore:
             return union_all([self._part(manifest, part, name) for part in parts])
         wanted = set(range(manifest["buckets"]) if buckets is None else buckets)
         live = [wanted.intersection(part["buckets"]) for part in parts]
+        # A column of its own: a join sorts by its keys, and would clean them again for each comparison.
         number = clean_bk(NUMBERS[name]) if name in NUMBERS else F.col("claimnumber")
 
-        def these(rows: DataFrame, key: Column) -> DataFrame:
-            return rows if only is None else rows.join(only, key == only["key"], "left_semi")
+        def these(rows: DataFrame) -> DataFrame:
+            return rows if only is None else rows.join(only, F.col("__key") == only["key"], "left_semi")
 
         frames, below, replaced = [], [], []
         for at, (part, found) in enumerate(zip(parts, live, strict=True)):
             earlier, later = set().union(*live[:at]), set().union(*live[at + 1 :])
             if found - later:
-                frames.append(these(self._part(manifest, part, name, found - later), number))
+                rows = self._part(manifest, part, name, found - later)
+                frames.append(rows if only is None else these(rows.withColumn("__key", number)).drop("__key"))
             if found & later:
-                rows = these(self._part(manifest, part, name, found & later), number)
+                rows = these(self._part(manifest, part, name, found & later).withColumn("__key", number))
                 below.append(rows.withColumn("__at", F.lit(at)))
             if found & earlier:
                 named = self._named(part["folder"]).where(F.col(BUCKET).isin(sorted(found & earlier)))
-                keys = named.select(F.col("key").alias("__key"), F.lit(at).alias("__by"))
-                replaced.append(these(keys, F.col("__key")))
+                replaced.append(these(named.select(F.col("key").alias("__key"), F.lit(at).alias("__by"))))
         if below:
-            by = union_all(replaced)
-            now = union_all(below).join(by, (number == by["__key"]) & (F.col("__at") < by["__by"]), "left_anti")
-            frames.append(now.drop("__at"))
+            rows, by = union_all(below), union_all(replaced)
+            now = rows.join(by, (rows["__key"] == by["__key"]) & (rows["__at"] < by["__by"]), "left_anti")
+            frames.append(now.drop("__key", "__at"))
         return union_all(frames) if frames else self._part(manifest, parts[-1], name, set())
 
     def _part(self, manifest: dict, part: dict, name: str, buckets: set[int] | None = None) -> DataFrame:
@@ -316,7 +317,8 @@ class StarStore:
             touched = {r[BUCKET] for r in found if r[f"not_{name}"]}
             if whole:
                 replaced = named.where(F.col(name))
-                kept = [self.table(base, name, live).join(replaced, clean_bk(key) == replaced["key"], "left_anti")]
+                rows = self.table(base, name, live).withColumn("__key", clean_bk(key))
+                kept = [rows.join(replaced, rows["__key"] == replaced["key"], "left_anti")]
             elif touched:
                 kept = [self.table(base, name, touched, only=named.where(~F.col(name)).select("key"))]
             if added is not None:
