@@ -66,7 +66,7 @@ def lookup(
     fact: DataFrame,
     dim: DataFrame,
     *,
-    fact_key: Column,
+    fact_key: Column | str,
     dim_key: Column | str,
     carry: Mapping[str, str],
     how: str = "left",
@@ -76,13 +76,19 @@ def lookup(
 
     ``carry`` maps dimension columns to the names they get in the result; only
     those columns (and the key) leave the dimension, so the join moves as few
-    bytes as possible. ``fact_key`` may be any expression over the fact's
-    columns (for example a cleaned key), evaluated before the exchange.
+    bytes as possible. ``fact_key`` names a column of the fact or is an
+    expression over them (for example a cleaned key), which is evaluated once,
+    before the exchange: a sort-merge join would evaluate it again for each
+    comparison of its sort.
     """
     key = f"__{name}_key"
     dkey = F.col(dim_key) if isinstance(dim_key, str) else dim_key
     d = dim.select(dkey.alias(key), *[F.col(src).alias(dst) for src, dst in carry.items()])
-    return fact.join(d, fact_key == d[key], how).drop(key)
+    if isinstance(fact_key, str):
+        return fact.join(d, fact[fact_key] == d[key], how).drop(key)
+    of = f"__{name}_of"
+    fact = fact.withColumn(of, fact_key)
+    return fact.join(d, fact[of] == d[key], how).drop(key, of)
 
 
 def role_lookup(

@@ -97,7 +97,7 @@ def _response(star: Star, f: DataFrame, extra: bool, only: Column | None = None)
     f = lookup(
         f,
         dim,
-        fact_key=F.col("claimnumber"),
+        fact_key="claimnumber",
         dim_key="response_bk",
         carry={"response_id": "response_id", "response_date": "response_date", **({"response": "response"} if extra else {})},
         how="left" if only is None else "inner",
@@ -164,7 +164,7 @@ def answered_prices(star: Star, answers: Column, **bounds) -> DataFrame:
     ``may_match``)."""
     side = star.response.where(answers).select("response_bk")
     claims, side = may_match(_claims(star, (REFUND,)), F.col("claimnumber"), side, "response_bk", **bounds)
-    f = lookup(claims, side, fact_key=F.col("claimnumber"), dim_key="response_bk", carry={}, how="inner", name="response")
+    f = lookup(claims, side, fact_key="claimnumber", dim_key="response_bk", carry={}, how="inner", name="response")
     f = _indication(star, _country(star, f, True), False)
     return f.select(
         "country_bk", price_amount("drugprice").alias("drug_price"), price_currency("drugprice").alias("drug_price_currency")
@@ -174,7 +174,7 @@ def answered_prices(star: Star, answers: Column, **bounds) -> DataFrame:
 def with_products(star: Star, rows: DataFrame) -> DataFrame:
     """Product attributes of ``rows`` (product_key); unknown products drop."""
     carry = {"product_bk": "product_bk", "product_name": "product_name"}
-    return lookup(rows, star.product, fact_key=F.col("product_key"), dim_key="product_bk", carry=carry, how="inner")
+    return lookup(rows, star.product, fact_key="product_key", dim_key="product_bk", carry=carry, how="inner")
 
 
 def weighted_claims(star: Star, claimtypes: tuple[str, ...], *, answers: bool = True) -> DataFrame:

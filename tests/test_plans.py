@@ -143,3 +143,25 @@ def test_sql_response_build_does_not_shuffle_by_code(spark):
     p = _plan(dim_response_sql(spark, SF_SMALL))
     dealt = [line.split("hashpartitioning(")[1] for line in p.splitlines() if "Exchange hashpartitioning(response#" in line]
     assert "BroadcastHashJoin [response#" in p and not dealt
+
+
+def test_a_lookup_evaluates_its_key_once(spark):
+    """A sort-merge join sorts by its keys, so a key that is an expression would
+    be evaluated again for each comparison."""
+    from regstar.functions.keys import KEY_WHITESPACE, clean_bk
+    from regstar.operators import lookup
+
+    fact = spark.createDataFrame([(1, " a\t"), (2, "A"), (3, "b"), (4, None)], "n int, code string")
+    dim = spark.createDataFrame([("A", 7), ("A", 8), ("C", 9), (None, 1)], "bk string, id int")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = lookup(fact, dim, fact_key=clean_bk("code"), dim_key="bk", carry={"id": "id"})
+        plan = found._jdf.queryExecution().executedPlan().toString().replace(KEY_WHITESPACE, "")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    sorts = [x for x in plan.splitlines() if "Sort [" in x or "SortMergeJoin [" in x]
+    assert sorts and not any("btrim" in x or "trim(" in x for x in sorts)
+    assert found.columns == ["n", "code", "id"]
+    got = sorted(map(tuple, found.collect()), key=repr)
+    assert got == [(1, " a\t", 7), (1, " a\t", 8), (2, "A", 7), (2, "A", 8), (3, "b", None), (4, None, None)]
